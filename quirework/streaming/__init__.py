@@ -1,0 +1,5 @@
+"""No streaming operators of its own.
+
+Cleaning, segmentation, label and URL functions work row by row, so they apply as
+they are to a DataFrame from `spark.readStream`; the tests run one such query.
+"""
