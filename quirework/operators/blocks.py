@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quirework.constants import SPACE
 from quirework.functions.text import strip_space
+from quirework.operators.projections import compute_once
 from quirework.schemas import QUESTIONS
 
 # The block grammar.
@@ -28,9 +29,13 @@ def _section(block: Column, title: str) -> Column:
     return F.nullif(strip_space(body), F.lit(""))
 
 
+def _after_first(pieces: Column) -> Column:
+    # The length only has to exceed any array's; naming the size would split twice.
+    return F.slice(pieces, 2, 2_000_000_000)
+
+
 def _options(answers: Column) -> Column:
-    pieces = F.split(F.coalesce(answers, F.lit("")), _OPTION_MARK)
-    texts = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    texts = _after_first(F.split(F.coalesce(answers, F.lit("")), _OPTION_MARK))
     empty = F.array().cast("array<string>")
     return F.transform(
         texts,
@@ -44,8 +49,7 @@ def _options(answers: Column) -> Column:
 
 def question_pieces(text: Column) -> Column:
     """The page cut at its question headings; what precedes the first is dropped."""
-    pieces = F.split(text, _QUESTION_HEADING)
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return _after_first(F.split(text, _QUESTION_HEADING))
 
 
 def question_number(piece: Column) -> Column:
@@ -79,6 +83,6 @@ def segment_pages(
     df: DataFrame, text: str, questions: str = "questions", status: str = "status"
 ) -> DataFrame:
     """Add the page's questions and a status: `ok`, or `no_blocks` for dead letters."""
-    return df.withColumn(questions, segment_questions(F.col(text))).withColumn(
+    return compute_once(df, questions, segment_questions(F.col(text))).withColumn(
         status, F.when(F.size(questions) > 0, "ok").otherwise("no_blocks")
     )

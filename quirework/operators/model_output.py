@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions.jsontext import drop_bad_escapes, json_span, trim_keys
 from quirework.operators.predicates import page_is_valid
+from quirework.operators.projections import compute_once
 from quirework.schemas import QUESTION, QUESTIONS
 
 _LIST = r'(?s)"questions"\s*:\s*(\[.*)'
@@ -62,24 +63,22 @@ def parse_model_output(
     repairs), `no_questions` (no known shape), `invalid` (a question breaks the
     rules, which rejects the page). Questions are null unless the status is `ok`.
     """
-    repaired = trim_keys(drop_bad_escapes(json_span(F.col(raw))))
-    staged = df.withColumn(
-        "_json", F.when(is_json_object(F.col(raw)), trim_keys(F.col(raw))).otherwise(repaired)
-    )
-    located = staged.withColumn(
-        "_found", F.when(is_json_object(F.col("_json")), locate_questions(F.col("_json")))
-    )
-    return (
-        located.withColumn(
-            status,
-            F.when(F.col("_json").isNull(), "no_json")
-            .when(~is_json_object(F.col("_json")), "unparsable")
-            .when(F.col("_found").isNull(), "no_questions")
-            .when(~page_is_valid(F.col("_found")), "invalid")
-            .otherwise("ok"),
-        )
-        .withColumn(questions, F.when(F.col(status) == "ok", F.col("_found")))
-        .drop("_json", "_found")
+    text, json, found = F.col(raw), F.col("_json"), F.col("_found")
+    repaired = trim_keys(drop_bad_escapes(json_span(text)))
+    steps = {
+        "_json": F.when(is_json_object(text), trim_keys(text)).otherwise(repaired),
+        "_whole": is_json_object(json),
+        "_found": F.when(F.col("_whole"), locate_questions(json)),
+        status: F.when(json.isNull(), "no_json")
+        .when(~F.col("_whole"), "unparsable")
+        .when(found.isNull(), "no_questions")
+        .when(~page_is_valid(found), "invalid")
+        .otherwise("ok"),
+    }
+    for name, step in steps.items():
+        df = compute_once(df, name, step)
+    return df.withColumn(questions, F.when(F.col(status) == "ok", found)).drop(
+        "_json", "_whole", "_found"
     )
 
 

@@ -11,6 +11,7 @@ from quirework.constants import (
     TOPIC_MAX_CHARS,
 )
 from quirework.functions.text import hangul_ratio, is_blank
+from quirework.operators.projections import compute_once
 
 
 def has_suffix(name: Column, suffix: str) -> Column:
@@ -103,7 +104,7 @@ def keep_valid(df: DataFrame, questions: str = "questions", scope: str = "page")
     if scope == "page":
         return df.filter(page_is_valid(F.col(questions)))
     if scope == "row":
-        return df.withColumn(questions, F.filter(F.col(questions), is_valid))
+        return compute_once(df, questions, F.filter(F.col(questions), is_valid))
     raise ValueError(f"scope must be 'page' or 'row', not {scope!r}")
 
 

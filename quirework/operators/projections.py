@@ -39,6 +39,17 @@ def compute(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.withColumns(columns)
 
 
+def compute_once(df: DataFrame, name: str, expression: Column) -> DataFrame:
+    """Add a column that is costly to compute and used by later filters.
+
+    A filter on a plain computed column is pushed below it, and the expression is
+    then computed for the filter and once more for the output, doubling at each
+    step of a chain. Filters are not pushed below a one-item explode.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(expression)).alias(name))
+
+
 def fill_text(df: DataFrame, *names: str, value: str = "") -> DataFrame:
     return df.fillna(value, list(names))
 

@@ -9,23 +9,29 @@ from quirework.functions import labels as L
 from quirework.functions import urls as U
 from quirework.operators.aggregates import keep_first
 from quirework.operators.predicates import has_extension
+from quirework.operators.projections import compute_once
 from quirework.operators.windows import carry_forward
 
 HEAD_PARAGRAPHS = 8
 
 
+def _visible(pages: DataFrame) -> DataFrame:
+    """Pages with comments, scripts and styles dropped, once for all extractions."""
+    return compute_once(pages, "_visible", H.drop_hidden(F.col("html"))).drop("html")
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, url, link_pos, href, label): all links of each page in order."""
-    links = H.anchors(H.drop_hidden(F.col("html")))
-    return pages.select(
+    links = H.anchors(F.col("_visible"))
+    return _visible(pages).select(
         "page_id", "url", F.posexplode(links).alias("link_pos", "a")
     ).select("page_id", "url", "link_pos", "a.*")
 
 
 def page_head(pages: DataFrame, *keep: str) -> DataFrame:
     """First h1, h2, title and the first paragraphs of each page, as one row."""
-    visible = H.drop_hidden(F.col("html"))
-    return pages.select(
+    visible = F.col("_visible")
+    return _visible(pages).select(
         *(keep or ("page_id", "url")),
         H.first_text(visible, "h1").alias("h1"),
         H.first_text(visible, "h2").alias("h2"),
@@ -44,7 +50,7 @@ def file_catalogue(
     The page text is reduced to its few facts before links are unfolded, so only
     short columns are shuffled. `paper_formats` (url, format) adds `topik_format`.
     """
-    visible = H.drop_hidden(F.col("html"))
+    visible = F.col("_visible")
     links = F.filter(H.anchors(visible), lambda a: has_extension(a["href"], extensions))
     head = F.concat_ws(
         " ",
@@ -53,7 +59,7 @@ def file_catalogue(
         H.first_text(visible, "title"),
         F.concat_ws(" ", H.paragraph_texts(visible, HEAD_PARAGRAPHS)),
     )
-    facts = pages.select(
+    facts = _visible(pages).select(
         F.col("url").alias("page_url"),
         L.year_from_heading(H.first_text(visible, "h1")).alias("exam_year"),
         L.month_number(head).alias("_month"),

@@ -9,7 +9,13 @@ from quirework.functions.text import clean_text
 from quirework.operators.aggregates import keep_first
 from quirework.operators.nested import explode_answers, explode_questions
 from quirework.operators.predicates import has_suffix, keep_reliable, keep_valid, not_blank
-from quirework.operators.projections import conform, fill_text, rename, stamp_date
+from quirework.operators.projections import (
+    compute_once,
+    conform,
+    fill_text,
+    rename,
+    stamp_date,
+)
 from quirework.schemas import (
     DIM_ANSWER,
     DIM_EXAM,
@@ -57,12 +63,11 @@ def content_pages(
     wanted = pages.filter(
         has_suffix(F.col("filename"), suffix) & (F.col("page_number") >= first_page)
     )
-    cleaned = fill_text(wanted, "raw_text").withColumn(
-        "clean_text", clean_text(F.col("raw_text"))
-    )
-    return cleaned.select("exam_id", "filename", "page_number", "clean_text").filter(
-        not_blank(F.col("clean_text"))
+    filled = fill_text(wanted, "raw_text").select(
+        "exam_id", "filename", "page_number", "raw_text"
     )
+    cleaned = compute_once(filled, "clean_text", clean_text(F.col("raw_text")))
+    return cleaned.drop("raw_text").filter(not_blank(F.col("clean_text")))
 
 
 def reliable_questions(

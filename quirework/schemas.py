@@ -1,26 +1,41 @@
-"""Table schemas, written as DDL and parsed once into StructTypes."""
+"""Table schemas, written as column lists; usable before any session exists."""
 
 from pyspark.sql import types as T
 
-
-def _table(ddl: str, keys: tuple[str, ...] = ()) -> T.StructType:
-    parsed = T.StructType.fromDDL(ddl)
+_MESSAGE = T.StructType().add("role", T.StringType()).add("content", T.StringType())
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "float": T.FloatType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "strings": T.ArrayType(T.StringType()),
+    "messages": T.ArrayType(_MESSAGE),
+    "counts": T.MapType(T.StringType(), T.IntegerType()),
+}
+
+
+def _table(columns: str, keys: tuple[str, ...] = ()) -> T.StructType:
+    fields = [column.split() for column in columns.split(",")]
     return T.StructType(
-        [T.StructField(f.name, f.dataType, f.name not in keys) for f in parsed]
+        [T.StructField(name, _TYPES[kind], name not in keys) for name, kind in fields]
     )
 
 
-METADATA_DDL = """
+_METADATA_COLUMNS = """
     filename string, label string, exam_number string, exam_year string,
     exam_month string, exam_session string, topik_format string, level string,
     section string, file_type string, source_url string, page_url string,
     download_date string, size_kb double, download_status string
 """
 
-METADATA = _table(METADATA_DDL)
+METADATA = _table(_METADATA_COLUMNS)
 
 PAGES_RAW = _table(
-    f"""exam_id string, exam_folder string, exam_edition string, {METADATA_DDL},
+    f"""exam_id string, exam_folder string, exam_edition string, {_METADATA_COLUMNS},
     source_pdf_path string, processed_at string, page_count int, page_number int,
     word_count int, char_count int, raw_text string""",
     keys=("exam_id",),
@@ -41,15 +56,15 @@ DIM_FILE = _table(
 DIM_QUESTION = _table(
     """question_id string, exam_id string, page_number int, question_type string,
     raw_question_text string, question_stimulus string,
-    question_vocabulary_items array<string>, question_grammar_patterns array<string>,
+    question_vocabulary_items strings, question_grammar_patterns strings,
     topic string, difficulty_level string, confidence float""",
     keys=("question_id", "exam_id"),
 )
 
 DIM_ANSWER = _table(
     """answer_id string, question_id string, raw_answer_text string,
-    is_correct boolean, answer_vocabulary_items array<string>,
-    answer_grammar_patterns array<string>""",
+    is_correct boolean, answer_vocabulary_items strings,
+    answer_grammar_patterns strings""",
     keys=("answer_id", "question_id"),
 )
 
@@ -66,7 +81,7 @@ FACT_QA = _table(
 
 CHAT_EXAMPLE = _table(
     """training_id string, exam_id string, question_id string,
-    messages array<struct<role: string, content: string>>, topik_level string,
+    messages messages, topik_level string,
     topic string, difficulty_level string, question_type string, confidence float""",
     keys=("training_id",),
 )
@@ -74,8 +89,8 @@ CHAT_EXAMPLE = _table(
 EXAM_STATS = _table(
     """stats_id string, exam_id string, total_questions int, total_answers int,
     avg_word_count_question double, avg_word_count_answer double,
-    distribution_by_difficulty map<string, int>,
-    distribution_by_type map<string, int>, last_updated timestamp""",
+    distribution_by_difficulty counts,
+    distribution_by_type counts, last_updated timestamp""",
     keys=("stats_id", "exam_id"),
 )
 
