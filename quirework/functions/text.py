@@ -2,7 +2,8 @@
 
 Flags: `m` makes ^ and $ work per line, `d` makes \\n the only line end. Repeated
 groups are possessive, so a run of any length is matched in a loop and cannot
-exhaust the regex engine's stack.
+exhaust the regex engine's stack. Patterns open with a test of one character, so
+that places where nothing can start are passed over quickly.
 """
 
 from pyspark.sql import Column
@@ -11,16 +12,18 @@ from pyspark.sql import functions as F
 from quirework.constants import (
     CIRCLED_DIGITS,
     FOREIGN_SCRIPT,
-    HANGUL_ONLY,
+    NOT_HANGUL,
+    NOT_SPACE,
     SPACE,
+    SPACE_CHARS,
     WORD,
 )
 
 _NUMBER = rf"\p{{Nd}}{{1,3}}(?![{WORD}])"
-_NUMBER_BLOCK = rf"(?<![{WORD}]){_NUMBER}(?:[{SPACE}]{_NUMBER}){{5,}}+"
+_NUMBER_BLOCK = rf"(?=\p{{Nd}})(?<![{WORD}]){_NUMBER}(?:[{SPACE}]{_NUMBER}){{5,}}+"
 _MARKUP = (
-    rf"(?md)<[^>]+>[^{WORD}{SPACE}]*|-{{10,}}|={{5,}}"
-    rf"|＜보[{SPACE}]*기＞|\*[{SPACE}]*$"
+    rf"(?md)(?=[<\-=*＜])(?:<[^>]+>[^{WORD}{SPACE}]*|-{{10,}}|={{5,}}"
+    rf"|＜보[{SPACE}]*기＞|\*[{SPACE}]*$)"
 )
 _POINTS = r"\(\p{Nd}점\)"
 _HEADER_LINE = (
@@ -31,7 +34,7 @@ _HEADER_LINE = (
 
 def strip_space(text: Column) -> Column:
     """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def remove_foreign_script(text: Column) -> Column:
@@ -82,14 +85,15 @@ def clean_text(text: Column, min_chars: int = 0) -> Column:
 
 def hangul_ratio(text: Column) -> Column:
     """Hangul syllables over non-space characters; 0 for empty text."""
-    hangul = F.length(F.regexp_replace(text, HANGUL_ONLY, ""))
-    visible = F.length(F.regexp_replace(text, rf"[{SPACE}]+", ""))
+    hangul = F.length(F.regexp_replace(text, NOT_HANGUL, ""))
+    spaces = F.length(F.regexp_replace(text, NOT_SPACE + "+", ""))
+    visible = F.length(text) - spaces
     return hangul / F.greatest(visible, F.lit(1))
 
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated tokens."""
-    return F.regexp_count(text, F.lit(rf"[^{SPACE}]+"))
+    return F.regexp_count(text, F.lit(NOT_SPACE + "+"))
 
 
 def char_count(text: Column) -> Column:
@@ -99,7 +103,7 @@ def char_count(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True when nothing but white space is left."""
-    return ~F.rlike(text, F.lit(rf"[^{SPACE}]"))
+    return ~F.rlike(text, F.lit(NOT_SPACE))
 
 
 def render_template(template: str, **slots: Column) -> Column:

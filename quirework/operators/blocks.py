@@ -14,18 +14,18 @@ from quirework.operators.projections import compute_once
 from quirework.schemas import QUESTIONS
 
 # The block grammar.
-_QUESTION_HEADING = r"(?m)^##[ \t]+Question[ \t]+(?=\p{Nd})"
+_QUESTION_HEADING = r"(?md)^##[ \t]+Question[ \t]+(?=\p{Nd})"
+_HEADING = r"(?md)^#{2,3}[ \t]+"
 _STIMULUS = "Question Stimulus"
 _REFERENCE = "Reference (?:Image|Text)"
 _ANSWERS = "Answers"
 _OPTION_MARK = rf"(?:^|(?<=[{SPACE}]))(?:[①②③④]|[1-4]\.(?!\p{{Nd}}))[{SPACE}]*"
 
 
-def _section(block: Column, title: str) -> Column:
-    """Text under a `### title` heading up to the next heading; null if missing."""
-    body = F.regexp_extract(
-        block, rf"(?ms)^###[ \t]+{title}[ \t]*$(.*?)(?=^#{{2,3}}[ \t]|\z)", 1
-    )
+def _section(sections: Column, title: str) -> Column:
+    """Text of the first section with this title; null if missing or empty."""
+    titled = F.filter(sections, lambda s: F.rlike(s, F.lit(rf"\A{title}[ \t]*(?:\n|\z)")))
+    body = F.regexp_replace(F.get(titled, F.lit(0)), rf"\A{title}[ \t]*", "")
     return F.nullif(strip_space(body), F.lit(""))
 
 
@@ -63,12 +63,13 @@ def segment_questions(text: Column) -> Column:
     """
     empty = F.array().cast("array<string>")
     missing = F.lit(None).cast("string")
+    cut = F.transform(question_pieces(text), lambda piece: F.split(piece, _HEADING))
     return F.transform(
-        question_pieces(text),
-        lambda piece: F.struct(
-            _section(piece, _REFERENCE).alias("question_text"),
-            _section(piece, _STIMULUS).alias("question_stimulus"),
-            _options(_section(piece, _ANSWERS)).alias("answer_options"),
+        cut,
+        lambda sections: F.struct(
+            _section(sections, _REFERENCE).alias("question_text"),
+            _section(sections, _STIMULUS).alias("question_stimulus"),
+            _options(_section(sections, _ANSWERS)).alias("answer_options"),
             missing.alias("question_type"),
             empty.alias("question_vocabulary_items"),
             empty.alias("question_grammar_patterns"),

@@ -9,6 +9,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from quirework.schemas import QUESTIONS
 
 EXTRACTION = f"questions {QUESTIONS}, status string, error string, attempts int"
+_HELD_CHARS = 8_000_000
 PAGES = "page_count int, page_number int, raw_text string, status string, error string"
 
 
@@ -89,6 +91,7 @@ def parse_documents(
     null page columns and status `failed` or `empty`, for the audit.
     """
     schema = _with_fields(df, PAGES, replaced=(document,))
+    kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
 
     def pages_of(value) -> Iterator[tuple]:
         try:
@@ -103,16 +106,29 @@ def parse_documents(
         for number in range(1, last + 1):
             yield last, number, found.get(number) or "", "ok", None
 
-    names = [f.name for f in T.StructType.fromDDL(PAGES)]
+    names = schema.names
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = batch.drop(columns=[document])
-            # One document at a time, so memory holds the pages of one document.
-            for at, value in enumerate(batch[document]):
-                pages = pd.DataFrame(list(pages_of(value)), columns=names, dtype=object)
-                source = kept.iloc[[at] * len(pages)].reset_index(drop=True)
-                yield pd.concat([source, pages], axis=1)
+            kept = pa.Table.from_batches([batch]).drop_columns([document])
+            sources, pages, held = [], [], 0
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                columns = [pa.array(v, k) for v, k in zip(zip(*pages), kinds)]
+                source = kept.take(pa.array(sources, pa.int64()))
+                yield from pa.table([*source.columns, *columns], names).to_batches()
+
+            for at, value in enumerate(batch.column(document)):
+                for page in pages_of(value.as_py()):
+                    sources.append(at)
+                    pages.append(page)
+                    held += len(page[2] or "")
+                # Hand on finished documents before their pages fill the memory.
+                if held > _HELD_CHARS:
+                    yield from flush()
+                    sources, pages, held = [], [], 0
+            if pages:
+                yield from flush()
 
     spread = df.repartition(parallelism) if parallelism else df
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)
