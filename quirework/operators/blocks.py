@@ -26,7 +26,8 @@ def _section(sections: Column, title: str) -> Column:
     """Text of the first section with this title; null if missing or empty."""
     titled = F.filter(sections, lambda s: F.rlike(s, F.lit(rf"\A{title}[ \t]*(?:\n|\z)")))
     body = F.regexp_replace(F.get(titled, F.lit(0)), rf"\A{title}[ \t]*", "")
-    return F.nullif(strip_space(body), F.lit(""))
+    # A one-item filter names the text once; `nullif` would compute it twice.
+    return F.get(F.filter(F.array(strip_space(body)), lambda t: t != ""), F.lit(0))
 
 
 def _after_first(pieces: Column) -> Column:

@@ -42,8 +42,21 @@ def shuffled_join(
     return df.join(other, on, how)
 
 
-def left_join(df: DataFrame, other: DataFrame, on: str | list[str]) -> DataFrame:
-    return df.join(other, on, "left")
+def left_join(
+    df: DataFrame, other: DataFrame, on: str | list[str], many_matches: bool = False
+) -> DataFrame:
+    """Left outer join.
+
+    Adaptive execution can split a hot key of the left side only. If it is the right
+    side that may hold many rows of one key, `many_matches` joins the matching rows
+    with an inner join, which can be split on both sides, and adds the others after
+    an anti-join on the right side's distinct keys.
+    """
+    if not many_matches:
+        return df.join(other, on, "left")
+    keys = [on] if isinstance(on, str) else on
+    unmatched = df.join(other.select(*keys).distinct(), keys, "left_anti")
+    return df.join(other, keys, "inner").unionByName(unmatched, allowMissingColumns=True)
 
 
 def keep_existing(df: DataFrame, existing: DataFrame, on: str | list[str]) -> DataFrame:
@@ -65,10 +78,17 @@ def fill_gaps(
     so a key with a huge maximum never becomes one long array, and the join is on
     (key, number), so a hot key spreads over all tasks.
     """
-    spine = df.groupBy(*keys).agg(F.max(number).cast("bigint").alias(total))
+    spine = (
+        df.groupBy(*keys)
+        .agg(F.max(number).cast("bigint").alias(total))
+        .filter(F.col(total) >= 1)
+    )
     blocks = spine.withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.floor((F.col(total) - 1) / _BLOCK)))
-    ).filter(F.col(total) >= 1)
+    )
+    # One narrow row per block: spreading them lets many tasks unfold a long line.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(tasks, *keys, "_block")
     first = F.col("_block") * _BLOCK + 1
     dense = blocks.withColumn(
         number,

@@ -117,7 +117,7 @@ def left_join(spark, d):
     lines = table(spark, d, "lineitem").select(
         c("l_orderkey").alias("orderkey"), "l_partkey", "l_linenumber"
     )
-    return J.left_join(orders, lines, "orderkey")
+    return J.left_join(orders, lines, "orderkey", many_matches=True)
 
 
 def semi_join(spark, d):

@@ -8,17 +8,25 @@ from quirework.schemas import METADATA
 from quirework.sources.tables import write_table
 
 
+_LOCAL = "^file:(?://)?(?=/)"
+
+
+def _decoded(text: Column) -> Column:
+    # File paths of a scan are percent-encoded; a plus sign stands for itself.
+    return F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def folder_of(path: Column) -> Column:
     """Name of the folder a file lies in; for `name=value` folders, the value."""
-    folder = F.try_element_at(F.split(path, "/"), F.lit(-2))
-    return F.url_decode(F.regexp_replace(folder, "^[^=]*=", ""))
+    folder = _decoded(F.try_element_at(F.split(path, "/"), F.lit(-2)))
+    value = F.regexp_extract(folder, "^[^=]+=(.*)", 1)
+    return F.when(value != "", _decoded(value)).otherwise(folder)
 
 
 def parent_of(path: Column) -> Column:
     """Folder path of a file, without the `file:` scheme of local paths."""
-    return F.regexp_replace(
-        F.regexp_replace(path, r"/[^/]*\z", ""), "^file:(?://)?(?=/)", ""
-    )
+    folder = _decoded(F.regexp_replace(path, r"/[^/]*\z", ""))
+    return F.regexp_replace(folder, _LOCAL, "")
 
 
 def read_metadata(
@@ -66,7 +74,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFr
         .load(root)
     )
     return files.select(
-        F.regexp_replace("path", "^file:(?://)?(?=/)", "").alias("source_pdf_path"),
+        F.regexp_replace("path", _LOCAL, "").alias("source_pdf_path"),
         F.round(F.col("length") / 1024, 1).alias("size_kb"),
     )
 
