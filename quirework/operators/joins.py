@@ -12,11 +12,18 @@ _BLOCK = 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan; None when it is not exposed."""
+    """Upper estimate of the rows' size from the sizes of the files read.
+
+    None when there is none to trust: for plans that unfold arrays, which Catalyst
+    counts as one row each, and for sessions that do not show their plans.
+    """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+        plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:
         return None
+    if "Generate" in plan.toString():
+        return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def broadcast_join(

@@ -29,7 +29,11 @@ def write_table(
 
     Partitioned writes are rebalanced first: each partition value gets few, evenly
     sized files, and the rows of a hot value are split over several tasks.
+    Overwriting a path that the query itself reads is refused: Spark would delete
+    the input before reading it.
     """
+    if mode == "overwrite":
+        _refuse_own_input(df, path)
     counted = Observation()
     out = df.hint("rebalance", *partition_by) if partition_by else df
     writer = out.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode).format(fmt)
@@ -39,6 +43,30 @@ def write_table(
     return counted.get["n"]
 
 
+def _input_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file relations in the plan, not the files under them."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            roots = leaf.relation().location().rootPaths()
+            found += [roots.apply(k).toString() for k in range(roots.size())]
+    return found
+
+
+def _refuse_own_input(df: DataFrame, path: str) -> None:
+    spark = df.sparkSession
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    target = hadoop_path.makeQualified(file_system.getUri(), file_system.getWorkingDirectory())
+    mine = target.toString().rstrip("/") + "/"
+    for root in _input_roots(df):
+        other = root.rstrip("/") + "/"
+        if mine.startswith(other) or other.startswith(mine):
+            raise ValueError(f"{path} is read by this query (as {root}); write elsewhere")
+
+
 def write_checked(df: DataFrame, path: str, **options) -> int:
     """`write_table`, then compare with a count taken from the files' footers."""
     written = write_table(df, path, **options)
