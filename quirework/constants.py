@@ -26,7 +26,10 @@ NOT_SPACE = (
 # Word characters: letters, all numbers (circled ones too) and underscore.
 WORD = r"\p{L}\p{N}_"
 
-FOREIGN_SCRIPT = r"[\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}]+"
+# Kana and CJK ideographs; the wide range in front turns most text away in one test.
+FOREIGN_SCRIPT = (
+    r"[\x{3040}-\x{9FFF}&&[\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}]]+"
+)
 NOT_HANGUL = r"[^\x{AC00}-\x{D7A3}]+"
 CIRCLED_DIGITS = {"①": "1.", "②": "2.", "③": "3.", "④": "4."}
 

@@ -61,7 +61,7 @@ def normalize_structure(text: Column) -> Column:
 
 def collapse_blank_lines(text: Column) -> Column:
     """At most one empty line in a row; no white space at the ends."""
-    return strip_space(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+    return strip_space(F.regexp_replace(text, r"\n\n\n+", "\n\n"))
 
 
 def clean_text(text: Column, min_chars: int = 0) -> Column:

@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quirework import schemas as S
+from quirework.functions.text import is_blank
 from quirework.operators.aggregates import run_audit
 from quirework.operators.blocks import segment_pages
 from quirework.operators.hooks import parse_documents
@@ -24,19 +25,30 @@ def run_bronze(
     parser: Callable[[object], dict[int, str]],
     as_of: str | None = None,
     parallelism: int | None = None,
-) -> int:
+) -> dict[str, int]:
     """Parse the PDFs under `source` (a folder per exam) into the page table.
 
-    `parser` is called with each file's path, inside the tasks.
+    `parser` is called with each file's path, inside the tasks. The list of files is
+    small beside the work of parsing them, so it is spread over `parallelism` tasks
+    (four per core by default) whatever its size. Returns the audit counts, taken
+    in the same pass: pages, blank pages, files that failed or had no pages.
     """
     metadata = read_metadata(spark, source)
+    tasks = parallelism or 4 * spark.sparkContext.defaultParallelism
+    audit = Observation()
 
     def parse(files: DataFrame) -> DataFrame:
         with_path = files.withColumn("_document", F.col("source_pdf_path"))
-        return parse_documents(with_path, "_document", parser, parallelism)
+        parsed = parse_documents(with_path, "_document", parser, tasks)
+        return parsed.observe(
+            audit,
+            F.count_if(is_blank(F.col("raw_text"))).alias("pages_blank"),
+            F.count_if(F.col("status") == "failed").alias("files_failed"),
+            F.count_if(F.col("status") == "empty").alias("files_empty"),
+        )
 
     pages = pages_raw(metadata, list_files(spark, source), parse, as_of)
-    return write_checked(pages, target)
+    return {"pages": write_checked(pages, target)} | audit.get
 
 
 def run_silver(

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirework.constants import FIRST_CONTENT_PAGE, READING_PAPER_SUFFIX
 from quirework.functions.keys import hash_key
@@ -34,9 +35,13 @@ def keyed_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def dim_exam(base: DataFrame) -> DataFrame:
+def dim_exam(base: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per exam; `extra` adds string columns such as year or session."""
     names = {"label": "exam_name", "level": "topik_level", "section": "exam_section"}
-    return conform(rename(base, names), DIM_EXAM).distinct()
+    schema = T.StructType(list(DIM_EXAM))
+    for name in extra:
+        schema.add(name, T.StringType())
+    return conform(rename(base, names), schema).distinct()
 
 
 def dim_file(base: DataFrame) -> DataFrame:
@@ -99,7 +104,7 @@ def dim_answer(questions: DataFrame, with_position: bool = False) -> DataFrame:
     )
     schema = DIM_ANSWER
     if with_position:
-        schema = type(DIM_ANSWER)(list(DIM_ANSWER)).add("option_pos", "int")
+        schema = T.StructType(list(DIM_ANSWER)).add("option_pos", T.IntegerType())
     return conform(named, schema)
 
 

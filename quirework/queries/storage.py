@@ -20,7 +20,13 @@ def schema_scan(spark, d):
 
 
 def file_listing(spark, d):
-    return M.list_files(spark, d, "*.parquet")
+    """Folders of the metadata files that were written, with whether they hold data."""
+    path = shared_folder(spark)
+    M.write_metadata(D.derive(spark, d, "documents", D.METADATA).drop("source_pdf_path"), path)
+    files = M.list_files(spark, path, "*.json")
+    return files.groupBy(M.folder_of(c("source_pdf_path")).alias("exam_folder")).agg(
+        (F.max("size_kb") > 0).alias("has_data")
+    )
 
 
 def crawled_pages(spark, d):
@@ -82,7 +88,11 @@ def exported_splits(spark, d):
 
 QUERIES = {
     "schema_scan": (schema_scan, "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"),
-    "file_listing": (file_listing, None),
+    "file_listing": (
+        file_listing,
+        f"""SELECT DISTINCT exam_folder, true AS has_data
+        FROM ({D.as_sql('documents', D.METADATA)})""",
+    ),
     "crawled_pages": (
         crawled_pages,
         "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages",

@@ -65,7 +65,7 @@ def write_metadata(df: DataFrame, path: str, folder: str = "exam_folder") -> int
     return write_table(df, path, partition_by=[folder], fmt="json")
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
+def list_files(spark: SparkSession, root: str, pattern: str = "*.[pP][dD][fF]") -> DataFrame:
     """(source_pdf_path, size_kb) of files in any folder under `root`, content unread."""
     files = (
         spark.read.format("binaryFile")

@@ -69,7 +69,8 @@ def built(spark, tmp_path_factory):
 
 def test_counts(built):
     assert built[0] == {
-        "bronze": 18, "dim_exam": 3, "dim_file": 3, "dim_question": 6, "dim_answer": 24,
+        "bronze": {"pages": 18, "pages_blank": 9, "files_failed": 1, "files_empty": 1},
+        "dim_exam": 3, "dim_file": 3, "dim_question": 6, "dim_answer": 24,
         "fact_download": 3, "fact_qa": 24, "chat_examples": 6, "exam_stats": 3,
     }
 
