@@ -34,12 +34,14 @@ def base_name(path: Column) -> Column:
 
 
 def file_name(url: Column) -> Column:
-    return base_name(url_path(url))
+    """Last path segment without `;parameters`."""
+    return F.regexp_extract(url_path(url), r"([^/;]*)(?:;[^/]*)?\z", 1)
 
 
 def folder_name(url: Column) -> Column:
     """Last path segment without a leading `download-`, safe as a folder name."""
-    path = F.regexp_replace(url_path(url), r"^/+|/+\z", "")
+    path = F.regexp_replace(url_path(url), r";[^/]*\z", "")
+    path = F.regexp_replace(path, r"/+\z", "")
     bare = F.regexp_replace(base_name(path), "^download-", "")
     safe = F.regexp_replace(bare, r'[<>:"/\\|?*]', "_")
     return F.coalesce(F.nullif(safe, F.lit("")), F.lit("unknown"))

@@ -25,6 +25,18 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
     return first_rows(df, keys, by, 1, "_first").drop("_first")
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Distinct rows; of rows that differ under one key, the smallest stays.
+
+    Repeats vanish map-side in the first step, so the second one sees about one row
+    per key.
+    """
+    others = [c for c in df.columns if c != key]
+    smallest = F.min(F.struct(*others)).alias("_row")
+    unique = df.distinct().groupBy(key).agg(smallest)
+    return unique.select(*[key if c == key else f"_row.{c}" for c in df.columns])
+
+
 def first_non_null(
     df: DataFrame, keys: list[str], value: str, order: str, fallback: Column | None = None
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from quirework.constants import FIRST_CONTENT_PAGE, READING_PAPER_SUFFIX
 from quirework.functions.keys import hash_key
 from quirework.functions.text import clean_text
-from quirework.operators.aggregates import keep_first
+from quirework.operators.aggregates import keep_first, one_per_key
 from quirework.operators.nested import explode_answers, explode_questions
 from quirework.operators.predicates import has_suffix, keep_reliable, keep_valid, not_blank
 from quirework.operators.projections import (
@@ -36,16 +36,17 @@ def keyed_pages(pages: DataFrame) -> DataFrame:
 
 
 def dim_exam(base: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per exam; `extra` adds string columns such as year or session."""
+    """One row per exam key; `extra` adds string columns such as year or session."""
     names = {"label": "exam_name", "level": "topik_level", "section": "exam_section"}
     schema = T.StructType(list(DIM_EXAM))
     for name in extra:
         schema.add(name, T.StringType())
-    return conform(rename(base, names), schema).distinct()
+    return one_per_key(conform(rename(base, names), schema), "exam_id")
 
 
 def dim_file(base: DataFrame) -> DataFrame:
-    return conform(base, DIM_FILE).distinct()
+    """One row per file key."""
+    return one_per_key(conform(base, DIM_FILE), "file_id")
 
 
 def fact_download(base: DataFrame, as_of: str | None = None, strict: bool = True) -> DataFrame:

@@ -70,6 +70,11 @@ def test_keep_first_takes_the_lowest(hot):
     same(kept.select("k", "i"), hot.groupBy("k").agg(F.min("i").alias("i")))
 
 
+def test_one_per_key(spark):
+    df = spark.createDataFrame([("a", 2, "y"), ("a", 2, "x"), ("a", 2, "x"), ("b", 1, None)], "k string, n int, t string")
+    assert {tuple(r) for r in A.one_per_key(df, "k").collect()} == {("a", 2, "x"), ("b", 1, None)}
+
+
 def test_first_non_null_skips_nulls(spark):
     df = spark.createDataFrame(
         [("a", 1, None), ("a", 2, "x"), ("a", 3, "y"), ("b", 1, None)], "k string, p int, v string"

@@ -137,8 +137,11 @@ def test_urls(spark):
              "mailto:a@b", "../../../../q/.", "d/..", "a/./b/../c", "a b.pdf"]
     got = values(spark, hrefs, lambda v: U.resolve_url(F.lit(base), v))
     assert got == [urljoin(base, h) for h in hrefs]
-    folders = ["https://s.org/download-102nd-test-papers/", "https://s.org/", "https://s.org/a:b?c", "https://s.org"]
-    assert values(spark, folders, U.folder_name) == ["102nd-test-papers", "unknown", "a_b", "unknown"]
+    folders = ["https://s.org/download-102nd-test-papers/", "https://s.org/", "https://s.org/a:b?c",
+               "https://s.org", "https://s.org/x/y;v=1"]
+    assert values(spark, folders, U.folder_name) == ["102nd-test-papers", "unknown", "a_b", "unknown", "y"]
+    names = ["https://s.org/a/b.pdf;v=1?x", "https://s.org/a;b/c.pdf", "https://s.org/a/"]
+    assert values(spark, names, U.file_name) == ["b.pdf", "c.pdf", ""]
 
 
 def test_html(spark):
