@@ -97,13 +97,13 @@ def fill_gaps(
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = blocks.repartition(tasks, *keys, "_block")
     first = F.col("_block") * _BLOCK + 1
-    dense = blocks.withColumn(
-        number,
-        F.explode(F.sequence(first, F.least(F.col(total), first + (_BLOCK - 1)))),
-    ).drop("_block")
-    present = df.select(
-        *keys, F.col(number).cast("bigint").alias(number), F.col(value).alias("_value")
-    )
+    line = F.sequence(first, F.least(F.col(total), first + (_BLOCK - 1)))
+    # Numbers keep the input's type: an input that is already distributed by
+    # (key, number), as after an aggregation, is then not shuffled again.
+    kind = df.schema[number].dataType
+    dense = blocks.withColumn(number, F.explode(line)).drop("_block")
+    dense = dense.withColumn(number, F.col(number).cast(kind))
+    present = df.select(*keys, number, F.col(value).alias("_value"))
     return dense.join(present, [*keys, number], "left").select(
         *keys, number, total, F.coalesce("_value", F.lit(default)).alias(value)
     )

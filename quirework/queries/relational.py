@@ -337,8 +337,8 @@ QUERIES = {
             FROM lineitem GROUP BY ALL),
           spine AS (SELECT l_orderkey, CAST(max(l_linenumber) AS BIGINT) AS line_count
             FROM lineitem GROUP BY 1),
-          dense AS (SELECT l_orderkey, line_count, unnest(range(1, line_count + 1)) AS l_linenumber
-            FROM spine)
+          dense AS (SELECT l_orderkey, line_count,
+            CAST(unnest(range(1, line_count + 1)) AS INTEGER) AS l_linenumber FROM spine)
         SELECT l_orderkey, l_linenumber, line_count, coalesce(quantity, 0) AS quantity
         FROM dense LEFT JOIN q USING (l_orderkey, l_linenumber)""",
     ),
