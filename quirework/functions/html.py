@@ -1,7 +1,7 @@
 """HTML extraction by pattern, one pass over each page, inside the row.
 
 Lazy dots over a single character class are matched in a loop by the JVM, so
-page length is not limited by the stack. Attributes must be quoted.
+page length is not limited by the stack.
 """
 
 from pyspark.sql import Column
@@ -13,9 +13,10 @@ from quirework.functions.text import strip_space
 _HIDDEN = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 )
-_ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>"
-_HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-_HAS_HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*["']"""
+_ANCHOR_START = r"(?i)<a(?=\s)"
+# What follows a link's start: quoted or bare address, then the text up to its end.
+_HREF = r"""(?is)^[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_LABEL = r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)"
 _SEAM = "\ue000"  # private-use character that marks where a tag stood
 
 # Named character references, `&amp;` last so nothing decodes twice.
@@ -55,18 +56,19 @@ def stripped_text(fragment: Column) -> Column:
 
 
 def anchors(html: Column) -> Column:
-    """array<struct<href, label>> of all links with an href, in page order."""
-    tags = F.filter(
-        F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0)),
-        lambda a: F.rlike(a, F.lit(_HAS_HREF)),
-    )
+    """array<struct<href, label>> of all links with an href, in page order.
+
+    The page is cut where links start, so a link that is never closed does not hide
+    the next one; its label then ends there.
+    """
+    starts = F.slice(F.split(html, _ANCHOR_START), 2, 2_000_000_000)
     return F.transform(
-        tags,
+        F.filter(starts, lambda a: F.rlike(a, F.lit(_HREF))),
         lambda a: F.struct(
             unescape(
-                F.concat(F.regexp_extract(a, _HREF, 1), F.regexp_extract(a, _HREF, 2))
+                F.concat(*[F.regexp_extract(a, _HREF, group) for group in (1, 2, 3)])
             ).alias("href"),
-            stripped_text(a).alias("label"),
+            stripped_text(F.regexp_extract(a, _LABEL, 1)).alias("label"),
         ),
     )
 

@@ -8,9 +8,15 @@ from quirework.operators.predicates import page_is_valid
 from quirework.operators.projections import compute_once
 from quirework.schemas import QUESTION, QUESTIONS
 
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_FLAT = rf'(?:{_STRING}|[-+.\w]++|\[[^\[\]{{}}]*+\])'
+# The start of an object that has `answer_options`, after any number of flat fields.
+_OBJECT = (
+    rf'\{{\s*+(?:(?!"answer_options"){_STRING}\s*+:\s*+{_FLAT}\s*+,\s*+)*+"answer_options"\s*+:'
+)
 _LIST = r'(?s)"questions"\s*:\s*(\[.*)'
-_BARE_LIST = r'(?s)(\[\s*\{\s*"(?:question_text|answer_options)"\s*:.*)'
-_SINGLE = r'(?s)(\{\s*"(?:question_text|answer_options)"\s*:.*)'
+_BARE_LIST = rf"(?s)(\[\s*{_OBJECT}.*)"
+_SINGLE = rf"(?s)({_OBJECT}.*)"
 
 
 def _read_list(text: Column) -> Column:

@@ -113,6 +113,10 @@ def test_model_output_shapes(spark):
         (dump(deep), "ok", 2),
         (dump({"text": "x", "list": [q, q, q]}), "ok", 3),
         (dump({"output": q}), "ok", 1),
+        (dump({"output": dict(sorted(q.items(), reverse=True))}), "ok", 1),
+        (dump({"a": {"b": [dict(sorted(q.items())), q]}}), "ok", 2),
+        (dump({"output": {"topic": "x", "question_text": "no options"}}), "no_questions", None),
+        (dump({"output": question(question_text='a "quoted" \\ \n' * 20_000)}), "ok", 1),
         (dump({"questions": [q]}).replace("다음", "\\uXY다음"), "ok", 1),
         (dump({"questions": [question(question_type="essay")]}), "invalid", None),
         (dump({"questions": [question(confidence=1.01)]}), "invalid", None),

@@ -148,10 +148,12 @@ def test_html(spark):
     html = (
         "<!-- <a href='/no'>c</a> --><script>var a='<a href=\"/no\">x</a>';</script>"
         "<a name='top'>no href</a><abbr>x</abbr><a class=\"z\" href='/one'> A <b> b </b>c&amp;d </a>"
-        '<A HREF="/two?x=1&amp;y=2">\n T  </A><a data-href="/no">n</a>'
+        '<A HREF="/two?x=1&amp;y=2">\n T  </A><a data-href="/no">n</a><a href=/three.pdf>3<a href="/four">4</a> tail'
     )
     links = values(spark, [html], lambda v: H.anchors(H.drop_hidden(v)))[0]
-    assert [(a.href, a.label) for a in links] == [("/one", "Abc&d"), ("/two?x=1&y=2", "T")]
+    assert [(a.href, a.label) for a in links] == [
+        ("/one", "Abc&d"), ("/two?x=1&y=2", "T"), ("/three.pdf", "3"), ("/four", "4"),
+    ]
     page = ["<h1 id='a'>One <i>two</i></h1><h1>no</h1><header>x</header>", "<hr>"]
     assert values(spark, page, lambda v: H.first_text(v, "h1")) == ["One two", None]
 
