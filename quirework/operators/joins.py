@@ -81,7 +81,7 @@ def fill_gaps(
 ) -> DataFrame:
     """Dense 1..max rows per key, `default` where a number is missing.
 
-    Rows must be unique per (key, number). The number line is unfolded in blocks,
+    Rows must be unique per (key, number), and keys not null. The number line is unfolded in blocks,
     so a key with a huge maximum never becomes one long array, and the join is on
     (key, number), so a hot key spreads over all tasks.
     """

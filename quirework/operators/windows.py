@@ -9,6 +9,7 @@ as many tasks as it has chunks. Results are the same either way.
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def number_rows(
@@ -23,25 +24,19 @@ def number_rows(
         return df.withColumn(
             name, F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         )
-    parts = list(chunk)
-    chunked = df.withColumns(chunk)
-    inside = Window.partitionBy(*group, *parts).orderBy(*order)
-    before = (
-        Window.partitionBy(*group)
-        .orderBy(*parts)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    chunked, keys, before = _chunked(df, group, chunk)
     starts = (
-        chunked.groupBy(*group, *parts)
+        chunked.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
+    inside = Window.partitionBy(*keys).orderBy(*order)
     return (
         chunked.withColumn("_local", F.row_number().over(inside))
-        .join(starts, [*group, *parts])
+        .join(starts, keys)
         .withColumn(name, (F.col("_start") + F.col("_local")).cast("int"))
-        .drop("_local", "_start", *parts)
+        .drop("_local", "_start", *keys)
     )
 
 
@@ -73,33 +68,21 @@ def carry_forward(
         running = Window.partitionBy(*group).orderBy(*order)
         latest = _latest(value, running)
         return df.withColumn(name, _or_default(latest, default))
-    parts = list(chunk)
-    chunked = df.withColumns(chunk)
-    closing = (
-        chunked.filter(F.col(value).isNotNull())
-        .groupBy(*group, *parts)
-        .agg(F.max(F.struct(*order, F.col(value))).alias("_last"))
-        .select(*group, *parts, F.col("_last").getField(value).alias("_close"))
-    )
-    # Every chunk that occurs needs the value of the nearest earlier closing chunk.
-    before = (
-        Window.partitionBy(*group)
-        .orderBy(*parts)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    chunked, keys, before = _chunked(df, group, chunk)
+    # The last value of each chunk; a chunk without one passes on what came before.
+    last = F.max(F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value))))
     opening = (
-        chunked.select(*group, *parts)
-        .distinct()
-        .join(closing, [*group, *parts], "left")
+        chunked.groupBy(*keys)
+        .agg(last.getField(value).alias("_close"))
         .withColumn("_open", F.last("_close", ignorenulls=True).over(before))
         .drop("_close")
     )
-    inside = Window.partitionBy(*group, *parts).orderBy(*order)
+    inside = Window.partitionBy(*keys).orderBy(*order)
     return (
         chunked.withColumn("_inside", _latest(value, inside))
-        .join(opening, [*group, *parts])
+        .join(opening, keys)
         .withColumn(name, _or_default(F.coalesce("_inside", "_open"), default))
-        .drop("_inside", "_open", *parts)
+        .drop("_inside", "_open", *keys)
     )
 
 
@@ -111,6 +94,42 @@ def number_items(df: DataFrame, items: str, name: str, position: str) -> DataFra
     ).withColumn("_pos", F.col("_pos") + 1).withColumnRenamed("_pos", position)
 
 
+def _chunked(df: DataFrame, group: list[str], chunk: dict[str, Column]):
+    """Rows with never-null keys for (group, chunk), their names, and the window over
+    the earlier chunks of a group.
+
+    A null key would be lost in the join with the chunk summaries, so it becomes its
+    type's zero with a flag beside it. Nulls come first, as in an ascending sort.
+    """
+    sources = {f"_group{i}": F.col(name) for i, name in enumerate(group)}
+    sources |= {f"_chunk{i}": column for i, column in enumerate(chunk.values())}
+    kinds = df.select(*[column.alias(name) for name, column in sources.items()]).schema
+    columns = {}
+    for field in kinds:
+        source = sources[field.name]
+        columns[f"{field.name}_known"] = source.isNotNull()
+        columns[field.name] = F.coalesce(source, _zero(field.dataType))
+    keys = list(columns)
+    before = (
+        Window.partitionBy(*[k for k in keys if k.startswith("_group")])
+        .orderBy(*[k for k in keys if k.startswith("_chunk")])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return df.withColumns(columns), keys, before
+
+
+def _zero(kind: T.DataType) -> Column:
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    raise TypeError(f"a {kind.simpleString()} column cannot be a chunked key")
+
+
 def _latest(value: str, window) -> Column:
     frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return F.last(value, ignorenulls=True).over(frame)

@@ -56,6 +56,8 @@ def _input_roots(df: DataFrame) -> list[str]:
 
 
 def _refuse_own_input(df: DataFrame, path: str) -> None:
+    if not hasattr(df, "_jdf"):  # a remote session does not show its plan
+        return
     spark = df.sparkSession
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

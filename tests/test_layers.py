@@ -11,6 +11,7 @@ from quirework.operators.blocks import segment_questions
 from quirework.plans import chat, layers, star
 from quirework.plans.catalogue import paper_pages
 from quirework.plans.stats import exam_stats
+from quirework.sources.tables import export_examples
 
 c = F.col
 
@@ -95,6 +96,18 @@ def test_examples(spark, built):
     assert {(r.total_questions, r.total_answers, r.avg_word_count_question) for r in stats} == {(2, 8, 8.0)}
 
 
+def test_examples_are_exported_by_split(spark, built, tmp_path):
+    examples = spark.read.parquet(f"{built[3]}/chat_examples")
+    split = chat.split_examples(examples, shares=(50, 30, 20))
+    assert export_examples(split, str(tmp_path / "set")) == 6
+    schema = type(S.CHAT_EXAMPLE)(list(S.CHAT_EXAMPLE)).add("split", "string")
+    back = spark.read.schema(schema).json(str(tmp_path / "set"))
+    assert back.select("training_id", "messages", "split").exceptAll(
+        split.select("training_id", "messages", "split")
+    ).count() == 0
+    assert back.count() == 6
+
+
 def test_audit(spark, built):
     audit = {(r.stage, r.status): r.n_rows for r in layers.silver_audit(spark, built[2]).collect()}
     assert audit == {

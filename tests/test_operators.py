@@ -31,7 +31,7 @@ def hot(spark):
     """A third of all rows share one key; order column has no ties."""
     draw = random.Random(1)
     rows = [
-        (0 if i % 3 == 0 else draw.randrange(1, 200), i, draw.choice([None, None, None, i]))
+        (0 if i % 3 == 0 else draw.choice([None, *range(1, 200)]), i, draw.choice([None, None, None, i]))
         for i in range(30_000)
     ]
     draw.shuffle(rows)
@@ -58,6 +58,15 @@ def test_chunked_carry_forward_equals_plain(hot):
     )
 
 
+def test_null_groups_and_chunks_are_kept(spark):
+    rows = [(g, s, o, v) for g in (None, "a", "") for s, o, v in
+            ((None, 0, None), (None, 1, "x"), ("", 2, None), ("p", 3, None), ("q", 4, "y"), ("q", 5, None))]
+    df = spark.createDataFrame(rows, "g string, s string, o int, v string").repartition(3)
+    same(W.number_rows(df, ["g"], [c("o")], "n", {"b": c("s")}), W.number_rows(df, ["g"], [c("o")], "n"))
+    same(W.carry_forward(df, "v", ["g"], ["o"], "l", "-", {"b": c("s")}),
+         W.carry_forward(df, "v", ["g"], ["o"], "l", "-"))
+
+
 def test_first_rows_are_cut_before_the_shuffle(hot):
     df = W.first_rows(hot, ["k"], [c("i")], 4)
     text = plan(df)
@@ -146,6 +155,7 @@ def test_hot_key_of_a_shuffled_join_is_split(spark, hot):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
+        hot = hot.fillna(0, ["k"])
         keys = spark.range(0, 200).select(c("id").cast("int").alias("k"), F.lit("x").alias("x"))
         joined = J.shuffled_join(hot, keys, "k")
         assert len(joined.collect()) == 30_000
