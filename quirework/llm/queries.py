@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import mixing, tokens
+from quirework.llm import mixing, simhash, tokens, warc
+from quirework.llm.shared import written
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_warc_members(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.normalise(warc.write_archives(table(spark, folder, "pages")))
+    records = written(warc.read_records(archives, with_payload=False).drop("payload"), "records")
+    number = lambda c: F.regexp_extract(c, r"page:(-?\d+)", 1).cast("long")
+    return warc.resolved(records).select(
+        number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+def op8_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op7_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     manifest = tokens.write_tokens(docs, tokenizer_path())
@@ -73,6 +95,8 @@ FROM cuts
 """
 
 QUERIES = {
+    "op2_warc_members": (op2_warc_members, None),
+    "op8_simhash_pigeonring": (op8_simhash_pigeonring, None),
     "op7_token_shards": (op7_token_shards, None),
     "op10_capped_mix": (op10_capped_mix, OP10_SQL),
 }

@@ -47,7 +47,7 @@ class NewFile:
 
     def __enter__(self):
         self.files.create_dir(os.path.dirname(self.path), recursive=True)
-        self.out = self.files.open_output_stream(f"{self.path}.part")
+        self.out = self.files.open_output_stream(f"{self.path}.part", compression=None)
         return self
 
     def write(self, data) -> None:
@@ -61,5 +61,5 @@ class NewFile:
 
 def read_bytes(uri: str) -> bytes:
     files, path = located(uri)
-    with files.open_input_stream(path) as f:
+    with files.open_input_stream(path, compression=None) as f:
         return f.read()
