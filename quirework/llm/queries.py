@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import mixing, simhash, tokens, warc
+from quirework.llm import mixing, simhash, substrings, tokens, warc
 from quirework.llm.shared import written
 
 
@@ -48,6 +48,13 @@ def op7_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_cover_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return substrings.without_repeats(docs, with_text=False).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.lower(F.hex("kept")).alias("kept_sha256")
+    )
+
+
 def op10_capped_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies"
@@ -98,5 +105,6 @@ QUERIES = {
     "op2_warc_members": (op2_warc_members, None),
     "op8_simhash_pigeonring": (op8_simhash_pigeonring, None),
     "op7_token_shards": (op7_token_shards, None),
+    "op9_cover_anchors": (op9_cover_anchors, None),
     "op10_capped_mix": (op10_capped_mix, OP10_SQL),
 }

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm.shared import NewFile, located, new_folder, read_bytes, written
+from quirework.llm.words import mixed_bits
 
 MANIFEST = (
     "part long, seq long, n_docs long, n_tokens long, width long, ids_uri string, mph_uri string"
@@ -106,15 +107,6 @@ def encoder(path: str) -> WordEncoder:
 # The index ----------------------------------------------------------------------------
 
 
-def mixed_bits(x: np.ndarray, salt: int) -> np.ndarray:
-    """64 well mixed bits of each 64-bit number (the splitmix64 finalizer)."""
-    with np.errstate(over="ignore"):
-        x = x + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x1234567) % 2**64)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def key_bits(hashes: np.ndarray, repeats: np.ndarray) -> np.ndarray:
     """Of a key's hash and its number among equal keys."""
     return mixed_bits(hashes.astype(np.int64).view(np.uint64), 1) ^ mixed_bits(
