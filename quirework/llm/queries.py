@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import mixing, simhash, substrings, tokens, warc
+from quirework.llm import decontaminate, language, lattice, mixing, quality, simhash, substrings, tokens, warc
 from quirework.llm.shared import written
 
 
@@ -19,6 +19,25 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+LEAST_QUALITY = 0.3
+
+
+def quality_model(spark: SparkSession, folder: str) -> dict:
+    """Learnt from the labels of the rows that are not held out."""
+    labels = table(spark, folder, "labels").where(~language.held_out(F.col("doc_id")))
+    return quality.train(table(spark, folder, "documents"), labels)
+
+
+def op1_attention_mil(spark: SparkSession, folder: str) -> DataFrame:
+    scores = quality.score(table(spark, folder, "documents"), quality_model(spark, folder))
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        language.held_out(F.col("id")).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
+    )
+
+
 def op2_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     archives = warc.normalise(warc.write_archives(table(spark, folder, "pages")))
     records = written(warc.read_records(archives, with_payload=False).drop("payload"), "records")
@@ -40,6 +59,23 @@ def op8_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_naive_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    return language.predict(docs, model).select(
+        F.col("id").alias("doc_id"), language.held_out(F.col("id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op4_lattice_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op6_window_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.matches(docs, items).withColumnRenamed("id", "doc_id")
+
+
 def op7_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     manifest = tokens.write_tokens(docs, tokenizer_path())
@@ -102,9 +138,13 @@ FROM cuts
 """
 
 QUERIES = {
+    "op1_attention_mil": (op1_attention_mil, None),
     "op2_warc_members": (op2_warc_members, None),
-    "op8_simhash_pigeonring": (op8_simhash_pigeonring, None),
+    "op3_naive_bayes": (op3_naive_bayes, None),
+    "op4_lattice_cells": (op4_lattice_cells, None),
+    "op6_window_simhash": (op6_window_simhash, None),
     "op7_token_shards": (op7_token_shards, None),
+    "op8_simhash_pigeonring": (op8_simhash_pigeonring, None),
     "op9_cover_anchors": (op9_cover_anchors, None),
     "op10_capped_mix": (op10_capped_mix, OP10_SQL),
 }

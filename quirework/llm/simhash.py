@@ -21,7 +21,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.llm.links import components
@@ -53,18 +53,20 @@ def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
 def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42
 ) -> DataFrame:
-    """`id`, `fingerprint` (the 64 bits as a signed long) for each row."""
+    """`id`, `tag` (a hash of the text), `fingerprint` (the 64 bits as a signed long) for each row."""
 
     def run(batches):
         for batch in batches:
             prints = [fingerprint(t.as_py(), words, seed) for t in batch["text"]]
             values = np.array(prints, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(values)], ["id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], batch["tag"], pa.array(values)], ["id", "tag", "fingerprint"]
+            )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, fingerprint long"
-    )
+    return docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tag"), F.col(text_col).alias("text")
+    ).mapInArrow(run, f"id {kind}, tag long, fingerprint long")
 
 
 # Candidates ---------------------------------------------------------------------------
@@ -136,64 +138,58 @@ def tied(prints: np.ndarray, radius: int) -> np.ndarray:
 
 
 PAIRS = "a long, b long"
-MEETINGS = "a long, b long, key long, block long, prints binary, nodes binary"
+MEETINGS = "a long, b long, key long, block long, prints binary"
+MEETING_SCHEMA = pa.schema(
+    [("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("block", pa.int64()), ("prints", pa.binary())]
+)
 SHORT = 32
 
 
-def short_runs(key, prints, nodes, radius):
+def pairs(a: np.ndarray, b: np.ndarray) -> list[pa.Array]:
+    return [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
+
+
+def ties(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    root = tied(prints, radius)
+    rest = np.flatnonzero(root != np.arange(len(root)))
+    return prints[root[rest]], prints[rest]
+
+
+def short_runs(key, prints, radius):
     """Links between neighbours in runs of equal keys, by their distance in the run."""
     for step in range(1, SHORT):
         at = np.flatnonzero(key[step:] == key[:-step]) if step < len(key) else key[:0]
         if not len(at):
             return
         near = at[chained(prints[at], prints[at + step], radius)]
-        yield nodes[near], nodes[near + step]
+        yield prints[near], prints[near + step]
+
+
+def in_runs(key, prints, radius):
+    """Links in whole runs of equal keys."""
+    edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+    sizes = np.diff(edges)
+    few = np.repeat((sizes > 1) & (sizes <= SHORT), sizes)
+    found = list(short_runs(key[few], prints[few], radius))
+    for start, size in zip(edges[:-1][sizes > SHORT], sizes[sizes > SHORT], strict=True):
+        found.append(ties(prints[start : start + size], radius))
+    return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
 def meetings(rows: DataFrame, radius: int, block_rows: int) -> DataFrame:
-    """Links from keys with up to `block_rows` fingerprints; others are cut into blocks.
+    """Links under keys with up to `block_rows` fingerprints; the others are cut into blocks.
 
-    Rows: `key`, `print`, `node`, sorted by key. Gives pairs `a`, `b`, or, of a longer run,
-    the blocks in which it passed.
+    Rows: `key`, `print`, sorted by key. Gives pairs `a`, `b`, or, of a longer run, the
+    blocks in which it passed. At any time a task holds some batches.
     """
 
     def run(batches):
-        key = np.zeros(0, np.int64)
-        prints, nodes = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        key, prints = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         block, long_key = 0, None
 
-        def pairs(a, b):
-            n = len(a)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
-                ["a", "b", "key", "block", "prints", "nodes"],
-            )
-
-        def cut(k, number, p, n):
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([int(k)]), pa.array([number]), pa.array([p.tobytes()]), pa.array([n.tobytes()])],
-                ["a", "b", "key", "block", "prints", "nodes"],
-            )
-
-        def settled(key, prints, nodes):
-            """Links in whole runs."""
-            if not len(key):
-                return
-            edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            sizes = np.diff(edges)
-            few = np.repeat((sizes > 1) & (sizes <= SHORT), sizes)
-            found = list(short_runs(key[few], prints[few], nodes[few], radius))
-            for start, size in zip(edges[:-1][sizes > SHORT], sizes[sizes > SHORT], strict=True):
-                own = slice(start, start + size)
-                root = tied(prints[own], radius)
-                other = np.flatnonzero(root != np.arange(size))
-                found.append((nodes[own][root[other]], nodes[own][other]))
-            if found:
-                yield pairs(*(np.concatenate(x) for x in zip(*found, strict=True)))
-
         def passed(last):
             """What can be told without the rows to come; the others are kept."""
-            nonlocal key, prints, nodes, block, long_key
+            nonlocal key, prints, block, long_key
             edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
             sizes, keys = np.diff(edges), key[edges[:-1]]
             long = sizes > block_rows
@@ -202,21 +198,27 @@ def meetings(rows: DataFrame, radius: int, block_rows: int) -> DataFrame:
             kept = np.zeros(len(key), bool)
             if not last:
                 kept[edges[-2] :] = True
-            yield from settled(*(x[~kept & ~np.repeat(long, sizes)] for x in (key, prints, nodes)))
+            whole = ~kept & ~np.repeat(long, sizes)
+            if whole.any() and (found := in_runs(key[whole], prints[whole], radius)):
+                n = len(found[0])
+                nothing = [pa.nulls(n, f.type) for f in MEETING_SCHEMA][2:]
+                yield pa.RecordBatch.from_arrays(pairs(*found) + nothing, schema=MEETING_SCHEMA)
             for start, end in zip(edges[:-1][long], edges[1:][long], strict=True):
                 if key[start] != long_key:
                     long_key, block = key[start], 0
                 for at in range(start, end, block_rows):
                     stop = min(at + block_rows, end)
                     if stop - at == block_rows or not kept[start]:
-                        yield cut(long_key, block, prints[at:stop], nodes[at:stop])
+                        row = {"key": [int(long_key)], "block": [block], "prints": [prints[at:stop].tobytes()]}
+                        yield pa.RecordBatch.from_pydict(
+                            {"a": pa.nulls(1, pa.int64()), "b": pa.nulls(1, pa.int64())} | row, schema=MEETING_SCHEMA
+                        )
                         block, kept[at:stop] = block + 1, False
-            key, prints, nodes = key[kept], prints[kept], nodes[kept]
+            key, prints = key[kept], prints[kept]
 
         for batch in batches:
             key = np.concatenate((key, batch["key"].to_numpy()))
             prints = np.concatenate((prints, batch["print"].to_numpy().view(np.uint64)))
-            nodes = np.concatenate((nodes, batch["node"].to_numpy()))
             if len(key) > 4 * block_rows:
                 yield from passed(False)
         if len(key):
@@ -226,11 +228,11 @@ def meetings(rows: DataFrame, radius: int, block_rows: int) -> DataFrame:
 
 
 def links(prints: DataFrame, radius: int = 4, chain: int = 5, block_rows: int = 16_384) -> DataFrame:
-    """Ties between nodes whose fingerprints hang together: `a`, `b`.
+    """Ties between fingerprints that hang together: `a`, `b`.
 
-    `prints`: `print` (long, each once), `node` (long). Under a key with more than
-    `block_rows` fingerprints, each pair of blocks is a task's work, so a key that very
-    many share is dealt out; a task holds two blocks.
+    `prints`: `print` (long, each once). Under a key with more than `block_rows`
+    fingerprints, each pair of blocks is a task's work, so a key that very many share is
+    dealt out; a task holds two blocks.
     """
     if radius >= SEGMENTS:
         raise ValueError(f"the first segment of a chain is only equal within {SEGMENTS - 1} bits")
@@ -242,32 +244,25 @@ def links(prints: DataFrame, radius: int = 4, chain: int = 5, block_rows: int =
             value = value * 256 + byte[s]
         keys.append(value)
     rows = (
-        prints.select("print", "node", F.explode(F.array(*keys)).alias("key"))
+        prints.select("print", F.explode(F.array(*keys)).alias("key"))
         .repartition("key")
         .sortWithinPartitions("key")
     )
     met = written(meetings(rows, radius, block_rows), "meetings")
-    blocks = met.where(F.col("key").isNotNull()).select("key", "block", "prints", "nodes")
-    other = blocks.select(
-        "key", F.col("block").alias("block_b"), F.col("prints").alias("prints_b"), F.col("nodes").alias("nodes_b")
-    )
+    blocks = met.where(F.col("key").isNotNull()).select("key", "block", "prints")
+    other = blocks.select("key", F.col("block").alias("block_b"), F.col("prints").alias("prints_b"))
 
     def across(batches):
         for batch in batches:
-            for p, n, q, m in zip(*(batch[c] for c in ("prints", "nodes", "prints_b", "nodes_b")), strict=True):
-                prints = np.frombuffer(p.as_py() + q.as_py(), np.uint64)
-                nodes = np.frombuffer(n.as_py() + m.as_py(), np.int64)
-                root = tied(prints, radius)
-                rest = np.flatnonzero(root != np.arange(len(root)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[root[rest]]), pa.array(nodes[rest])], ["a", "b"]
-                )
+            for p, q in zip(batch["prints"], batch["prints_b"], strict=True):
+                both = np.frombuffer(p.as_py() + q.as_py(), np.uint64)
+                yield pa.RecordBatch.from_arrays(pairs(*ties(both, radius)), ["a", "b"])
 
     crossed = (
         blocks.join(other, "key")
         .where("block < block_b")
         .repartition("key", "block", "block_b")
-        .select("prints", "nodes", "prints_b", "nodes_b")
+        .select("prints", "prints_b")
         .mapInArrow(across, PAIRS)
     )
     return met.where(F.col("key").isNull()).select("a", "b").unionByName(crossed)
@@ -282,19 +277,53 @@ def near_duplicates(
     chain: int = 5,
     block_rows: int = 16_384,
 ) -> DataFrame:
-    """`id`, `fingerprint` (signed long), `component_id` for each row.
+    """`id`, `tag`, `fingerprint`, `component_id`, `group` for each row.
 
     The component is the smallest id that links reach, the row's own included; links are at
     most `radius` differing bits. Texts without words, nulls included, have fingerprint
-    zero and link like any other. Rows without an id count as larger than all others.
+    zero and link like any other. Rows without an id count as larger than all others: a
+    component of such rows alone is null. `tag` is a hash of the text, `group` one of the
+    component's fingerprints; fingerprints are signed longs here.
     """
     prints = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    node = F.coalesce(F.col("id"), F.lit(NO_ID))
-    nodes = written(
-        prints.groupBy(F.col("fingerprint").alias("print")).agg(F.min(node).alias("node")), "nodes"
+    least = F.min(F.coalesce(F.col("id"), F.lit(NO_ID)))
+    nodes = written(prints.groupBy(F.col("fingerprint").alias("print")).agg(least.alias("least")), "nodes")
+    roots = components(links(nodes.select("print"), radius, chain, block_rows))
+    rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
+        "print", "least", F.coalesce("root", "print").alias("group")
+    )
+    named = rooted.groupBy("group").agg(F.min("least").alias("component_id"))
+    by_print = rooted.join(named, "group").select(
+        F.col("print").alias("fingerprint"),
+        "group",
+        F.nullif(F.col("component_id"), F.lit(NO_ID)).alias("component_id"),
+    )
+    return prints.join(by_print, "fingerprint").select("id", "tag", "fingerprint", "component_id", "group")
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group of near-duplicates, as it is: that with the smallest id.
+
+    Of rows that share this id, that with the smallest fingerprint and hash of its text
+    stays; rows without an id come last. The texts are shuffled once, by id and hash.
+    """
+    order = F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "fingerprint", "tag")
+    kept = (
+        near_duplicates(docs, id_col, text_col, **options)
+        .groupBy("group")
+        .agg(F.min(order).alias("first"))
+        .select("first.id", "first.tag")
+    )
+    kept = written(kept, "kept")
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.xxhash64(F.col(text_col)).alias("tag"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
-    roots = components(links(nodes, radius, chain, block_rows))
-    rooted = nodes.join(roots, "node", "left").select(
-        F.col("print").alias("fingerprint"), F.coalesce("root", "node").alias("component_id")
+    number = F.row_number().over(Window.partitionBy("id", "tag").orderBy(F.lit(0)))
+    return (
+        rows.join(kept, ["id", "tag"], "left_semi")
+        .withColumn("number", number)
+        .where("number = 1")
+        .select("row.*")
     )
-    return prints.join(rooted, "fingerprint").select("id", "fingerprint", "component_id")

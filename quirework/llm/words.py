@@ -123,7 +123,7 @@ def groups_of_texts(texts: Iterable[bytes], limit: int = 4 * PIECE) -> Iterator[
     held, size, first = [], 0, 0
     for n, text in enumerate(texts):
         held.append(text)
-        size += len(text)
+        size += len(text or "")
         if size >= limit:
             yield first, held
             held, size, first = [], 0, n + 1

@@ -54,7 +54,15 @@ def test_odd_texts(spark, docs_of):
 
 def test_missing_and_repeated_ids(spark, docs_of):
     got = simhash.near_duplicates(docs_of([(None, "x y z", None, None), (7, "x y z", None, None), (7, "x y z", None, None)]))
-    assert sorted(str(tuple(r)[::2]) for r in got.collect()) == ["(7, 7)", "(7, 7)", "(None, 7)"]
+    assert sorted(str((r.id, r.component_id)) for r in got.collect()) == ["(7, 7)", "(7, 7)", "(None, 7)"]
+    rows = [(None, "x y z", None, None), (None, "other text here", None, None), (None, None, None, None)]
+    docs = docs_of(rows * 2 + [(7, "x y z", None, "b"), (7, "far from that one", None, "b")])
+    assert {r.component_id for r in simhash.near_duplicates(docs).where("id is null").collect()} == {None, 7}
+    first = simhash.first_of_each(docs)
+    assert first.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in first.collect()) == [
+        (0, ""), (0, "other text here"), (7, "far from that one"), (7, "x y z")
+    ]
 
 
 @pytest.mark.parametrize("block_rows", [7, 64, 16_384])
@@ -69,14 +77,19 @@ def test_clusters_and_long_runs(spark, block_rows):
     prints += [prints[5] ^ flips(5) for _ in range(40)]
     prints = sorted(set(prints))
     rows = [(i, p) for i, p in enumerate(prints)]
-    frame = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p, i) for i, p in rows], "print long, node long")
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    frame = spark.createDataFrame([(p,) for p in signed], "print long")
     roots = {r.node: r.root for r in simhash.components(simhash.links(frame, block_rows=block_rows)).collect()}
-    assert [roots.get(i, i) for i, _ in rows] == plain_components(rows)
+    groups, want = {}, {}
+    for p, c in zip(signed, plain_components(rows), strict=True):
+        groups.setdefault(roots.get(p, p), set()).add(p)
+        want.setdefault(c, set()).add(p)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
     if block_rows == 7:
-        keyed = frame.selectExpr("pmod(node, 3) as key", "print", "node").repartition(2, "key").sortWithinPartitions("key")
+        keyed = frame.selectExpr("pmod(print, 3) as key", "print").repartition(2, "key").sortWithinPartitions("key")
         cut = simhash.meetings(keyed, 4, 7).where("key is not null").collect()
-        assert sum(len(r.nodes) for r in cut) == 8 * len(prints)
-        assert all(len(r.nodes) <= 7 * 8 for r in cut)
+        assert sum(len(r.prints) for r in cut) == 8 * len(prints)
+        assert all(len(r.prints) <= 7 * 8 for r in cut)
 
 
 def test_pigeonring_is_the_hamming_check():
