@@ -158,11 +158,14 @@ def fit(
 ) -> dict:
     """Adam over shuffled batches of bags, on the cross entropy of the document labels."""
     draw = np.random.default_rng(seed)
-    every = np.concatenate(bags) if bags else np.zeros((1, FEATURES), np.float32)
+    # Sums in place of one array of all passages: the bags are in memory once.
+    n = max(sum(map(len, bags)), 1)
+    mean = sum((b.sum(axis=0, dtype=np.float64) for b in bags), np.zeros(FEATURES)) / n
+    spread = sum((((b - mean) ** 2).sum(axis=0) for b in bags), np.zeros(FEATURES)) / n
     f32 = lambda a: np.asarray(a, np.float32)
     model = {
-        "mean": every.mean(axis=0),
-        "spread": every.std(axis=0) + np.float32(0.02),
+        "mean": f32(mean),
+        "spread": f32(np.sqrt(spread) + 0.02),
         "W": f32(draw.normal(size=(FEATURES, hidden)) / np.sqrt(FEATURES)),
         "b": np.zeros(hidden, np.float32),
         "V": f32(draw.normal(size=(hidden, attention)) / np.sqrt(hidden)),
@@ -171,7 +174,6 @@ def fit(
         "c": f32(draw.normal(size=hidden) / np.sqrt(hidden)),
         "d": np.zeros(1, np.float32),
     }
-    del every
     first = {k: np.zeros_like(v) for k, v in model.items()}
     second = {k: np.zeros_like(v) for k, v in model.items()}
     step, y = 0, f32(y)
