@@ -16,6 +16,7 @@ from __future__ import annotations
 import bisect
 import io
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ MANIFEST = (
 _INNER_SPACE = re.compile(r" (?=\s|\Z)")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Latin letters, then at most some plain signs: its pieces are known without a search.
-_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*$#%&|]+)?")
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*$#%&|]+)?")
 
 
 class WordEncoder:
@@ -44,9 +45,9 @@ class WordEncoder:
 
     The library's pre-tokenizer never joins characters over a space that is followed by
     something else than white space. So a text is cut there, and each piece has the same
-    ids wherever it stands; up to `memory` of them are kept. New pieces go through the
-    library's own pre-tokenizer and model. Strings of special tokens in a text are
-    ordinary text.
+    ids wherever it stands. The pieces of the last `memory` to twice as many different ones
+    are kept. New ones go through the library's own pre-tokenizer and model. Strings of
+    special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str, memory: int = 400_000):
@@ -60,38 +61,49 @@ class WordEncoder:
             raise ValueError("the tokenizer must split by its pattern, without a prefix space")
         self.model, self.split = whole.model, whole.pre_tokenizer.pre_tokenize_str
         self.type = np.dtype("<u2" if whole.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
-        self.memory, self.after, self.first = memory, {}, {}
-        # The characters by which the model writes bytes.
-        signs = {ord(c): self.split(c)[0][0] for c in " !\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"}
-        self.signs = signs | {n: self.split(chr(n))[0][0] for n in range(0xC0, 0x250)}
+        self.code = "H" if self.type.itemsize == 2 else "I"
+        self.memory, self.after, self.before = memory, {}, {}
+        # The characters by which the model writes the bytes of a blank and of Latin letters.
+        self.blank = self.split(" ")[0][0]
+        self.signs = {n: self.split(chr(n))[0][0] for n in range(0xC0, 0x250)}
+
+    def bytes_of(self, pieces: list[str]) -> bytes:
+        return array(self.code, [t.id for p in pieces for t in self.model.tokenize(p)]).tobytes()
 
     def piece(self, text: str) -> bytes:
+        """Ids of a blank and what follows it."""
+        if text.isascii() and text.isalpha():
+            return self.bytes_of([self.blank + text])
         if plain := _PLAIN.fullmatch(text):
-            parts = [p.translate(self.signs) for p in plain.groups() if p]
-        else:
-            parts = [p for p, _ in self.split(text)]
-        ids = [t.id for p in parts for t in self.model.tokenize(p)]
-        return np.array(ids, self.type).tobytes()
-
-    def known(self, kept: dict, prefix: str, text: str) -> bytes:
-        if (ids := kept.get(text)) is None:
-            ids = self.piece(prefix + text)
-            if len(kept) >= self.memory:
-                kept.clear()
+            word, signs = plain.groups()
+            if signs:
+                return self.known(word) + self.bytes_of([signs])
+            return self.bytes_of([self.blank + word.translate(self.signs)])
+        return self.bytes_of([p for p, _ in self.split(f" {text}")])
+
+    def known(self, text: str) -> bytes:
+        """As `piece`, remembered: in two halves, of which the older one is dropped in turn."""
+        if (ids := self.after.get(text)) is None:
+            if (ids := self.before.get(text)) is None:
+                ids = self.piece(text)
             if len(text) < 64:
-                kept[text] = ids
+                if len(self.after) >= self.memory:
+                    self.after, self.before = {}, self.after
+                self.after[text] = ids
         return ids
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if _INNER_SPACE.search(text):
-            return b"".join(self.known(self.first, "", p) for p in _SAFE_CUT.split(text))
-        first, *rest = text.split(" ")
+            first, *rest = _SAFE_CUT.split(text)
+            rest = [p[1:] for p in rest]
+        else:
+            first, *rest = text.split(" ")
         found = list(map(self.after.get, rest))
         if None in found:
-            found = [self.known(self.after, " ", w) if f is None else f for w, f in zip(rest, found, strict=True)]
-        return self.known(self.first, "", first) + b"".join(found)
+            found = [self.known(w) if f is None else f for w, f in zip(rest, found, strict=True)]
+        return self.bytes_of([p for p, _ in self.split(first)]) + b"".join(found)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
