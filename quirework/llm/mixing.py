@@ -24,7 +24,8 @@ def water_fill(sources: DataFrame, weights: tuple[float, ...], max_epochs: float
     No target is above `max_epochs` times its size; what is above is shared by the others
     by weight, again and again. That ends at one level: with sources in order of cap over
     weight, the first ones stay at their caps and the others get level times weight, where
-    the level is what the capped ones leave over the weight of the others.
+    the level is what the capped ones leave over the weight of the others. From the first
+    source that its level leaves below its cap, levels only fall: it is the highest such.
     """
     weight = F.element_at(
         F.array(*[F.lit(float(w)) for w in weights]),
@@ -44,7 +45,7 @@ def water_fill(sources: DataFrame, weights: tuple[float, ...], max_epochs: float
         .withColumn("total", F.sum("size").over(everything).cast("double"))
         .withColumn("level", level)
         .withColumn(
-            "level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything)
+            "level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything)
         )
         .select("key", "size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
     )

@@ -118,7 +118,7 @@ levels AS (
   FROM weighed),
 targets AS (
   SELECT source, source_size,
-         least(cap, (SELECT min(level) FROM levels WHERE level <= ratio) * weight) AS target
+         least(cap, (SELECT max(level) FROM levels WHERE level <= ratio) * weight) AS target
   FROM levels),
 placed AS (
   SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words,

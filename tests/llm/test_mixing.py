@@ -1,8 +1,10 @@
 import collections
+import random
 
 import pytest
 
 from quirework.llm import mixing
+from quirework.llm.queries import op10_capped_mix
 
 ROWS = (
     [(i, "w " * (i % 7 + 1), "en", "hot") for i in range(60)]
@@ -69,3 +71,30 @@ def test_empty_and_wordless_tables(docs_of):
     assert mixing.mix(docs_of(ROWS).limit(0)).count() == 0
     assert [r.taken for r in mixing.mix(docs_of([(1, None, None, None), (2, " ", "en", "a")])).collect()] == [0, 0]
     assert mixing.mixed(docs_of([(1, None, None, None)])).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_many_sources_against_repeated_clamping(spark, seed):
+    """From sources of about one size to a few that hold nearly all."""
+    rng = random.Random(seed)
+    sizes = {f"s{n:02}": int(10 ** rng.uniform(2, 2 + seed / 2)) for n in range(4 + 5 * seed)}
+    frame = spark.createDataFrame(list(sizes.items()), "key string, size long")
+    got = {r.key: r.target for r in mixing.water_fill(frame, (1, 2, 3), 3).collect()}
+    want = filled(sizes, (1, 2, 3), 3)
+    assert got == {k: pytest.approx(want[k]) for k in sizes}
+    assert sum(got.values()) == pytest.approx(sum(sizes.values()))
+
+
+def test_query_meets_the_contract(spark, small):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = op10_capped_mix(spark, small).collect()
+    sizes, taken, target = collections.Counter(), collections.Counter(), {}
+    for r in rows:
+        source = docs[r.doc_id].source
+        assert r.size == len(docs[r.doc_id].text.encode().split()) and 0 <= r.taken <= 3 * r.size
+        sizes[source] += r.size
+        taken[source] += r.taken
+        target[source] = r.target
+    want = filled(sizes, (1, 2, 3), 3)
+    assert target == {s: pytest.approx(want[s]) for s in sizes}
+    assert all(abs(taken[s] - target[s]) <= 0.5 for s in sizes) and len(rows) == len(docs)
