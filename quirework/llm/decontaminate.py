@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.words import groups_of_texts, hashed_words, window_hashes
+from quirework.llm.words import PIECE, groups_of_texts, hashed_words, values_of, window_hashes
 
 SHINGLE = 5
 #: The bits of the six blocks.
@@ -246,7 +246,7 @@ def matches(
         def run(batches, sent=sent):
             known = sent.value
             for batch in batches:
-                for first, texts in groups_of_texts(batch["text"].to_pylist()):
+                for first, texts in groups_of_texts(values_of(batch["text"]), PIECE):
                     found = list(known.matches(texts))
                     if found:
                         place, item, score, start, n = zip(*found, strict=True)
@@ -289,7 +289,7 @@ def decontaminated(
         def run(batches, sent=sent):
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for first, texts in groups_of_texts(batch[text_col].to_pylist()):
+                for first, texts in groups_of_texts(values_of(batch[text_col]), PIECE):
                     for place, *_ in sent.value.matches(texts):
                         keep[first + place] = False
                 yield batch.filter(pa.array(keep))

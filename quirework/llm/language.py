@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.words import groups_of_texts
+from quirework.llm.words import groups_of_texts, values_of
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -104,7 +104,7 @@ def train(
 
         for batch in batches:
             langs = batch["lang"].to_pylist()
-            for first, texts in groups_of_texts(batch["text"].to_pylist(), 1 << 20):
+            for first, texts in groups_of_texts(values_of(batch["text"])):
                 grams, limits = gram_buckets(texts, buckets)
                 for k in range(len(texts)):
                     own = sums.setdefault(langs[first + k], np.zeros(buckets + 1, np.int64))
@@ -148,7 +148,7 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
         alpha = letters()
         for batch in batches:
             names, scores = [], []
-            for _, texts in groups_of_texts(batch["text"].to_pylist(), 1 << 20):
+            for _, texts in groups_of_texts(values_of(batch["text"])):
                 grams, limits = gram_buckets(texts, buckets)
                 points, counts = code_points([t or "" for t in texts])
                 ends = np.cumsum(counts)

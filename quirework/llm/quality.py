@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm.language import code_points
-from quirework.llm.words import groups_of_texts, hashed_words, mixed_bits
+from quirework.llm.words import groups_of_texts, hashed_words, mixed_bits, values_of
 
 PASSAGE = 40
 #: Classes: 0 other, 1 small letter, 2 capital, 3 digit, 4 blank, 5 line end, then ASCII signs.
@@ -221,7 +221,7 @@ def train(
     def featured(batches):
         for batch in batches:
             data = []
-            for _, texts in groups_of_texts(batch["text"].to_pylist(), 1 << 20):
+            for _, texts in groups_of_texts(values_of(batch["text"])):
                 x, limits = passages(texts)
                 for a, b in zip(limits[:-1], limits[1:], strict=True):
                     rows = np.unique(np.linspace(a, b - 1, min(b - a, most_passages)).astype(np.int64))
@@ -249,7 +249,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         for batch in batches:
-            scores = [scored(sent.value, t) for _, t in groups_of_texts(batch["text"].to_pylist(), 1 << 20)]
+            scores = [scored(sent.value, t) for _, t in groups_of_texts(values_of(batch["text"]))]
             column = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(column)], ["id", "score"])
 
@@ -270,7 +270,7 @@ def accepted(docs: DataFrame, model: dict, text_col: str = "text", least: float
 
     def run(batches):
         for batch in batches:
-            scores = [scored(sent.value, t) for _, t in groups_of_texts(batch[text_col].to_pylist(), 1 << 20)]
+            scores = [scored(sent.value, t) for _, t in groups_of_texts(values_of(batch[text_col]))]
             keep = np.concatenate(scores) >= least if scores else np.zeros(0, bool)
             yield batch.filter(pa.array(keep, pa.bool_()))
 

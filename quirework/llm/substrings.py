@@ -23,7 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm.words import OTHER, WORDS, groups_of_texts, hashed_words, mixed_bits, window_hashes
+from quirework.llm.words import (
+    OTHER,
+    PIECE,
+    WORDS,
+    groups_of_texts,
+    hashed_words,
+    mixed_bits,
+    window_hashes,
+)
 
 #: Perfect difference sets: every residue is the difference of two members (fixed values).
 COVERS = {
@@ -106,7 +114,7 @@ def emit_anchors(window: int):
     def run(batches):
         for batch in batches:
             ids = batch["id"].to_numpy()
-            for first, texts in groups_of_texts(t.as_buffer().to_pybytes() for t in batch["text"]):
+            for first, texts in groups_of_texts((t.as_buffer().to_pybytes() for t in batch["text"]), 4 * PIECE):
                 cut = Cut(texts, window)
                 at, hashes = cut.anchors()
                 own = ids[first + cut.text[at]]
@@ -172,7 +180,7 @@ def emit_windows(window: int):
         for batch in batches:
             ids, tags = batch["id"].to_numpy(), batch["tag"].to_numpy()
             lists = batch["shared"]
-            for first, texts in groups_of_texts(t.as_buffer().to_pybytes() for t in batch["text"]):
+            for first, texts in groups_of_texts((t.as_buffer().to_pybytes() for t in batch["text"]), 4 * PIECE):
                 cut = Cut(texts, window)
                 at, hashes = cut.anchors()
                 part = lists.slice(first, len(texts))

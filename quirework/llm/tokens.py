@@ -50,7 +50,7 @@ class WordEncoder:
     special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, memory: int = 400_000):
+    def __init__(self, path: str, memory: int = 300_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 

@@ -118,8 +118,14 @@ def hashed_words(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def groups_of_texts(texts: Iterable[bytes], limit: int = 4 * PIECE) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts in order, some MB together, with the place of the first of them."""
+def values_of(column) -> Iterator:
+    """An Arrow column's values as Python ones, some rows at a time."""
+    for at in range(0, len(column), 200):
+        yield from column.slice(at, 200).to_pylist()
+
+
+def groups_of_texts(texts: Iterable, limit: int = PIECE // 4) -> Iterator[tuple[int, list]]:
+    """Texts in order, about `limit` characters together, with the place of the first of them."""
     held, size, first = [], 0, 0
     for n, text in enumerate(texts):
         held.append(text)
