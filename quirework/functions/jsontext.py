@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quirework.constants import SPACE
+
 
 def json_span(text: Column) -> Column:
     """Widest {...} span; null when there is none."""
@@ -16,4 +18,4 @@ def drop_bad_escapes(text: Column) -> Column:
 
 def trim_keys(text: Column) -> Column:
     """Remove white space inside the quotes of object keys."""
-    return F.regexp_replace(text, r'"\s*(\w+)\s*"\s*:', '"$1":')
+    return F.regexp_replace(text, rf'"[{SPACE}]*(\w+)[{SPACE}]*"[{SPACE}]*:', '"$1":')

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quirework.constants import FILE_TYPES, LEVELS, MONTHS, SECTIONS
+from quirework.constants import FILE_TYPES, LEVELS, MONTHS, SECTIONS, SPACE
 from quirework.functions.text import strip_space
 
 _ORDINAL = r"(?i)(\p{Nd}+)(?:st|nd|rd|th)"
@@ -42,7 +42,7 @@ def exam_number(label: Column, filename: Column) -> Column:
 
 
 def year_from_heading(heading: Column) -> Column:
-    return _found(heading, r"(?i)Year\s+(\p{Nd}{4})")
+    return _found(heading, rf"(?i)Year[{SPACE}]+(\p{{Nd}}{{4}})")
 
 
 def month_number(text: Column) -> Column:

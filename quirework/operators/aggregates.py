@@ -101,15 +101,14 @@ def group_max(df: DataFrame, keys: list[str], value: str, name: str) -> DataFram
     return df.groupBy(*keys).agg(F.max(value).alias(name))
 
 
-def category_counts(column: Column, categories: tuple[str, ...]) -> Column:
-    """Aggregate: map<category, count> over a closed category list, zeros left out.
+def category_maps(df: DataFrame, keys: list[str], category: str, name: str) -> DataFrame:
+    """(keys, map<category, count>) of all categories that occur; nulls aren't counted.
 
-    One counter per category, so it shares a single pass with other aggregates.
+    Rows are counted by key and category first, so a map is put together from one row
+    for each category.
     """
-    counters = []
-    for category in categories:
-        counters += [F.lit(category), F.count_if(column == category).cast("int")]
-    return F.map_filter(F.create_map(*counters), lambda _, n: n > 0)
+    pairs = F.collect_list(F.struct(category, F.col("_n").cast("int")))
+    return category_rows(df, keys, category, "_n").groupBy(*keys).agg(F.map_from_entries(pairs).alias(name))
 
 
 def category_rows(df: DataFrame, keys: list[str], category: str, name: str = "n") -> DataFrame:

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quirework.schemas import QUESTIONS
 
@@ -46,35 +47,43 @@ def extract_pages(
 ) -> DataFrame:
     """Add `questions, status, error, attempts` by calling `extractor` for each page.
 
-    Any exception is retried inside the task; a page that keeps failing becomes a
-    row with status `failed`, not a failed job. `parallelism` bounds the number of
-    concurrent callers, and spreads the pages evenly over them.
+    A result has to be a list of dicts that fit the columns. Anything else, and any
+    exception, is retried inside the task; a page that keeps failing becomes a row with
+    status `failed` and the last error, not a failed job. The other columns stay the Arrow
+    arrays they are. `parallelism` bounds the number of concurrent callers, and spreads
+    the pages evenly over them.
     """
     schema = _with_fields(df, EXTRACTION)
+    added = to_arrow_schema(T.StructType.fromDDL(EXTRACTION))
+    kind = added.field("questions").type
 
     def one(page: str | None) -> tuple:
         error = None
         for attempt in range(1, max_attempts + 1):
             try:
-                return extractor(page), "ok", None, attempt
-            except Exception as exc:  # the user's code may raise anything
+                found = extractor(page)
+                if not isinstance(found, (list, tuple)) or not all(isinstance(q, dict) for q in found):
+                    raise TypeError("the result is no list of dicts")
+                return pa.array([found], kind), "ok", None, attempt
+            except Exception as exc:  # the user's code may raise or return anything
                 error = f"{type(exc).__name__}: {exc}"
                 if attempt < max_attempts:
                     time.sleep(retry_delay)
-        return None, "failed", error, max_attempts
+        return pa.nulls(1, kind), "failed", error, max_attempts
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results = pd.DataFrame(
-                [one(page) for page in batch[text]],
-                columns=["questions", "status", "error", "attempts"],
-                index=batch.index,
-                dtype=object,
+            if not batch.num_rows:
+                continue
+            found, *rest = zip(*(one(page) for page in batch[text].to_pylist()), strict=True)
+            columns = [pa.concat_arrays(found)]
+            columns += [pa.array(x, f.type) for x, f in zip(rest, list(added)[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *columns], names=[*batch.schema.names, *added.names]
             )
-            yield pd.concat([batch, results], axis=1)
 
     spread = df.repartition(parallelism) if parallelism else df
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)
 
 
 def parse_documents(

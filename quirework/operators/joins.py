@@ -1,46 +1,24 @@
 """Equi-joins and gap filling.
 
-Only a side whose estimated size is under a bound is broadcast. Everything else is
-a shuffled join, where adaptive execution splits the partitions of hot keys.
+No join carries a hint: adaptive execution broadcasts a side by its measured size and
+splits the partitions of hot keys in the others.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 * 1024 * 1024
 _BLOCK = 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Upper estimate of the rows' size from the sizes of the files read.
-
-    None when there is none to trust: for plans that unfold arrays, which Catalyst
-    counts as one row each, and for sessions that do not show their plans.
-    """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-    except AttributeError:
-        return None
-    if "Generate" in plan.toString():
-        return None
-    return int(str(plan.stats().sizeInBytes()))
-
-
 def broadcast_join(
-    df: DataFrame,
-    small: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    max_bytes: int = BROADCAST_BYTES,
+    df: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner"
 ) -> DataFrame:
-    """Equi-join that broadcasts `small` only when its estimate is within the bound.
+    """Equi-join with a side that is thought to be small.
 
-    Beyond it the join carries no hint: Spark shuffles, and adaptive execution may
-    still broadcast when the measured size turns out small.
+    It carries no hint, which nothing could undo when the side turns out large: adaptive
+    execution broadcasts the side when its measured size is under the session's bound.
     """
-    size = estimated_bytes(small)
-    fits = size is not None and size <= max_bytes
-    return df.join(F.broadcast(small) if fits else small, on, how)
+    return df.join(small, on, how)
 
 
 def shuffled_join(

@@ -3,10 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.constants import DIFFICULTY_LEVELS, QUESTION_TYPES
 from quirework.functions.keys import hash_key
 from quirework.functions.text import word_count
-from quirework.operators.aggregates import category_counts
+from quirework.operators.aggregates import category_maps
 from quirework.operators.projections import conform
 from quirework.schemas import EXAM_STATS
 
@@ -15,14 +14,12 @@ def exam_stats(
     questions: DataFrame,
     answers: DataFrame,
     as_of: str | None = None,
-    difficulties: tuple[str, ...] = DIFFICULTY_LEVELS,
-    types: tuple[str, ...] = QUESTION_TYPES,
 ) -> DataFrame:
     """One row per exam: counts, mean word counts, distributions.
 
     Answers are summed up per question first, so joining them does not repeat
-    question rows, and all measures come from one aggregation, combined map-side:
-    an exam holding a third of all questions sends one row per task.
+    question rows. Measures and category counts are combined map-side: an exam holding a
+    third of all questions sends one row (and one for each category) per task.
     """
     per_question = answers.groupBy("question_id").agg(
         F.count(F.lit(1)).alias("_answers"),
@@ -40,11 +37,15 @@ def exam_stats(
         F.coalesce(F.sum("_answers"), F.lit(0)).alias("total_answers"),
         F.avg("_words").alias("avg_word_count_question"),
         F.try_divide(F.sum("_answer_words"), F.sum("_answers")).alias("avg_word_count_answer"),
-        category_counts(F.col("difficulty_level"), difficulties).alias(
-            "distribution_by_difficulty"
-        ),
-        category_counts(F.col("question_type"), types).alias("distribution_by_type"),
     )
+    for category, name in (
+        ("difficulty_level", "distribution_by_difficulty"),
+        ("question_type", "distribution_by_type"),
+    ):
+        maps = category_maps(questions.filter(F.col("exam_id").isNotNull()), ["exam_id"], category, name)
+        stats = stats.join(maps, "exam_id", "left").withColumn(
+            name, F.coalesce(name, F.create_map().cast("map<string,int>"))
+        )
     updated = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
     keyed = stats.withColumns({"stats_id": hash_key("exam_id"), "last_updated": updated})
     return conform(keyed, EXAM_STATS)

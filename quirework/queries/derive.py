@@ -98,12 +98,12 @@ METADATA = {
 # with the document's whole text as the stimulus of the first block.
 BLOCKS = (
     f"concat('## Question ', doc_id, {NL}, '### Question Stimulus', {NL}, text, {NL}, "
-    f"'### Reference Text', {NL}, '오늘은 날씨가 좋아서 친구와 공원에 갔다 ', n_chars, {NL}, "
+    f"'### Reference Text', {NL}, '창가에 둔 화분에 물을 주고 문을 닫았다 ', n_chars, {NL}, "
     f"'### Answers', {NL}, '① 첫째 ', source, {NL}, '② 둘째 ', lang, {NL}, '③ 셋째', {NL}, "
     f"'④ 넷째 ', doc_id, {NL}, {NL}, "
     f"'## Question ', doc_id + 1, {NL}, '### Reference Image', {NL}, '붉게 (        )', {NL}, "
     f"'### Answers', {NL}, '1. 가 2. 나', {NL}, '3. 다', {NL}, '4. 라', {NL}, "
-    f"'## Question ', doc_id + 2, {NL}, '### Reference Text', {NL}, '이 동네로 이사를 온 지 일 년이 됐다', "
+    f"'## Question ', doc_id + 2, {NL}, '### Reference Text', {NL}, '새 책상을 주문한 뒤 사흘을 기다렸다', "
     f"{NL}, '### Answers', {NL}, '1.', {NL}, '온', {NL}, '지', {NL}, '2. 올 때', {NL}, '3. 오거나')"
 )
 

@@ -218,12 +218,12 @@ _BLOCKS_SQL = f"""WITH b AS (
   SELECT doc_id, lang, source, n_chars, {sql_strip('text')} AS stimulus FROM documents),
   q AS (
     SELECT doc_id, CAST(0 AS INTEGER) AS pos, CAST(doc_id AS INTEGER) AS number, stimulus,
-      '오늘은 날씨가 좋아서 친구와 공원에 갔다 ' || n_chars AS text,
+      '창가에 둔 화분에 물을 주고 문을 닫았다 ' || n_chars AS text,
       ['첫째 ' || source, '둘째 ' || lang, '셋째', '넷째 ' || doc_id] AS options FROM b
     UNION ALL SELECT doc_id, 1, CAST(doc_id + 1 AS INTEGER), NULL, '붉게 (        )',
       ['가', '나', '다', '라'] FROM b
     UNION ALL SELECT doc_id, 2, CAST(doc_id + 2 AS INTEGER), NULL,
-      '이 동네로 이사를 온 지 일 년이 됐다', ['온 지', '올 때', '오거나'] FROM b),
+      '새 책상을 주문한 뒤 사흘을 기다렸다', ['온 지', '올 때', '오거나'] FROM b),
   k AS (SELECT *, CAST(doc_id AS VARCHAR) AS exam_id,
     sha256(concat_ws('||', doc_id, 3, text, stimulus)) AS question_id FROM q)"""
 

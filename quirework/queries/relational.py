@@ -192,9 +192,7 @@ def group_max(spark, d):
 
 def distribution_map(spark, d):
     orders = table(spark, d, "orders")
-    maps = orders.groupBy("o_custkey").agg(
-        A.category_counts(c("o_orderstatus"), ("F", "O", "P")).alias("m")
-    )
+    maps = A.category_maps(orders, ["o_custkey"], "o_orderstatus", "m")
     return maps.select("o_custkey", F.explode("m").alias("status", "n"))
 
 

@@ -20,7 +20,7 @@ def _pages(spark, d):
     documents = D.derive(
         spark, d, "documents", {**D.METADATA, "n_chars": "n_chars", "blocks": D.BLOCKS}
     )
-    files = documents.filter(c("n_chars") >= 50).select("source_pdf_path")
+    files = documents.select("source_pdf_path")
 
     def parse(papers):
         texts = F.array(F.lit("표지 안내"), F.lit(""), c("blocks"))
@@ -38,7 +38,7 @@ _PAGES_SQL = f"""WITH m AS (SELECT *, sha256(concat_ws('||', exam_folder, filena
           WHEN exam_number LIKE '%1' THEN 'st' WHEN exam_number LIKE '%2' THEN 'nd'
           WHEN exam_number LIKE '%3' THEN 'rd' ELSE 'th' END END AS exam_edition
     FROM ({D.as_sql('documents', {**D.METADATA, 'n_chars': 'n_chars', 'blocks': D.BLOCKS})})
-    WHERE n_chars >= 50 AND lower(filename) LIKE '%.pdf' AND lower(file_type) = 'test paper'),
+    WHERE lower(filename) LIKE '%.pdf' AND lower(file_type) = 'test paper'),
   t AS (SELECT *, '표지 안내' AS raw_text, CAST(1 AS INTEGER) AS page_number FROM m
     UNION ALL SELECT *, '', 2 FROM m UNION ALL SELECT *, blocks, 3 FROM m),
   pages_raw AS (SELECT * EXCLUDE (n_chars, blocks), '{AS_OF}T00:00:00+00:00' AS processed_at,

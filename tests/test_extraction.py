@@ -183,3 +183,16 @@ def test_text_udf_equals_expression(spark):
     df = spark.createDataFrame([(" a　",), (None,), ("",)], "t string")
     strip = hooks.text_udf(str.strip)
     assert df.filter(~strip(c("t")).eqNullSafe(strip_space(c("t")))).count() == 0
+
+
+def test_extractor_never_alters_keys_or_kills_the_job(spark):
+    def bad(page):
+        return {"word": [{"confidence": "high"}], "text": "ab", "none": None, "mixed": [1]}.get(page, [])
+
+    rows = [(9007199254740993, "word"), (None, "text"), (3, "none"), (4, "mixed"), (5, "fine"), (6, None)]
+    df = spark.createDataFrame([(k, float("nan"), t) for k, t in rows], "k long, x double, t string").coalesce(1)
+    found = {r.k: r for r in hooks.extract_pages(df, "t", bad, 2, 0.0).collect()}
+    assert set(found) == {9007199254740993, None, 3, 4, 5, 6}
+    assert all(r.x != r.x for r in found.values())
+    assert [found[k].status for k in (9007199254740993, None, 3, 4)] == ["failed"] * 4
+    assert found[5].status == found[6].status == "ok" and found[3].attempts == 2

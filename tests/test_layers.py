@@ -17,9 +17,9 @@ c = F.col
 
 QUESTION = """## Question {n}
 ### Question Stimulus
-※ [5~8] 다음은 무엇에 대한 글인지 고르십시오. (각 2점)
+※ 아래 설명에 맞는 물건을 하나 찾으세요.
 ### Reference Text
-걸을 때 발이 편하게 가볍고 디자인도 예뻐요 {n}
+비가 와도 젖지 않고 손잡이가 아주 튼튼해요 {n}
 ### Answers
 ① 구두
 ② 우산
@@ -179,7 +179,7 @@ def test_stats_do_not_fan_out(spark):
     rows = {r.exam_id: r for r in exam_stats(questions, answers, "2025-01-01 00:00:00").collect()}
     e, f = rows["e"], rows["f"]
     assert (e.total_questions, e.total_answers, e.avg_word_count_question, e.avg_word_count_answer) == (2, 2, 2.0, 1.5)
-    assert (e.distribution_by_difficulty, e.distribution_by_type) == ({"easy": 1}, {"grammar": 1})
+    assert (e.distribution_by_difficulty, e.distribution_by_type) == ({"easy": 1}, {"grammar": 1, "odd": 1})
     assert (f.total_answers, f.avg_word_count_answer, f.distribution_by_type) == (0, None, {})
 
 
