@@ -164,6 +164,11 @@ def write_archives(
     return written(rows.mapInArrow(write, FILES), "written")
 
 
+def dealt(files: DataFrame) -> DataFrame:
+    """A task for each file, up to 10,000 tasks; rows this small would else be put together."""
+    return files.repartition(min(max(files.count(), 1), 10_000))
+
+
 # Normalising --------------------------------------------------------------------------
 
 
@@ -227,7 +232,7 @@ def normalise(archives: DataFrame, level: int = 6, folder: str | None = None) ->
     ends inside a record, or holds something else than records, fails the job.
     """
     folder = folder or new_folder(archives.sparkSession, "normalised")
-    spread = archives.select("uri").repartition(F.col("uri"))
+    spread = dealt(archives.select("uri"))
 
     def rewrite(batches):
         for batch in batches:
@@ -274,7 +279,7 @@ def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     no payload: its digest is what its head says, its payload and bytes are null. See
     `resolved` for those of the record it refers to.
     """
-    spread = archives.select("uri", "index_uri").repartition(F.col("uri"))
+    spread = dealt(archives.select("uri", "index_uri"))
 
     def read(batches):
         for batch in batches:
