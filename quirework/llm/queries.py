@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import decontaminate, language, lattice, mixing, quality, simhash, substrings, tokens, warc
+from quirework.llm import decontaminate, language, lattice, mixing, private, quality, simhash, substrings, tokens, warc
 from quirework.llm.shared import written
 
 
@@ -71,6 +71,11 @@ def op4_lattice_cells(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op5_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    # The key of the test tables; a real one comes from the caller's secrets.
+    return private.pseudonyms(table(spark, folder, "documents"), "test tables").withColumnRenamed("id", "doc_id")
+
+
 def op6_window_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.matches(docs, items).withColumnRenamed("id", "doc_id")
@@ -142,6 +147,7 @@ QUERIES = {
     "op2_warc_members": (op2_warc_members, None),
     "op3_naive_bayes": (op3_naive_bayes, None),
     "op4_lattice_cells": (op4_lattice_cells, None),
+    "op5_feistel_pseudonyms": (op5_feistel_pseudonyms, None),
     "op6_window_simhash": (op6_window_simhash, None),
     "op7_token_shards": (op7_token_shards, None),
     "op8_simhash_pigeonring": (op8_simhash_pigeonring, None),
