@@ -19,12 +19,14 @@ _HREF = r"""(?is)^[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _LABEL = r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)"
 _SEAM = "\ue000"  # private-use character that marks where a tag stood
 
+_AMPERSAND = "\ue001"  # stands for a numbered `&`, which starts no further reference
+_REFERENCE = r"^&#(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));"
+
 # Named character references, `&amp;` last so nothing decodes twice.
 _ENTITIES = {
     "&lt;": "<",
     "&gt;": ">",
     "&quot;": '"',
-    "&#39;": "'",
     "&apos;": "'",
     "&nbsp;": "\u00a0",
     "&amp;": "&",
@@ -36,10 +38,30 @@ def drop_hidden(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
+def _numbered(piece: Column) -> Column:
+    """A piece that may start with a decimal or hexadecimal reference, with it decoded."""
+    decimal = F.regexp_extract(piece, _REFERENCE, 1)
+    code = F.conv(
+        F.when(decimal != "", F.hex(decimal.cast("long"))).otherwise(
+            F.nullif(F.regexp_extract(piece, _REFERENCE, 2), F.lit(""))
+        ),
+        16,
+        10,
+    ).cast("long")
+    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = F.when(code == 38, _AMPERSAND).when(
+        known, F.decode(F.unhex(F.lpad(F.hex(F.when(known, code)), 8, "0")), "UTF-32")
+    )
+    rest = F.regexp_replace(piece, _REFERENCE, "")
+    return F.when(code.isNull(), piece).otherwise(F.concat(F.coalesce(char, F.lit("\ufffd")), rest))
+
+
 def unescape(text: Column) -> Column:
+    """Named and numbered character references decoded, each once."""
+    text = F.array_join(F.transform(F.split(text, "(?=&#)"), _numbered), "")
     for entity, char in _ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return F.replace(text, F.lit(_AMPERSAND), F.lit("&"))
 
 
 def inner_text(fragment: Column) -> Column:

@@ -7,6 +7,7 @@ non-repeatable code should be written to a table before they are used twice.
 
 import time
 from collections.abc import Callable, Iterator
+from operator import index
 
 import pandas as pd
 import pyarrow as pa
@@ -95,9 +96,10 @@ def parse_documents(
     """One row per page of each document, keeping the document's other columns.
 
     `parser` gets the value of the `document` column (a path, or the bytes of a
-    binary scan) and returns {page number: text}. Missing numbers up to the highest
-    become empty pages. A document that fails, or has no page, gives one row with
-    null page columns and status `failed` or `empty`, for the audit.
+    binary scan) and returns {page number: text}, counted from 1. Missing numbers up to
+    the highest and null texts become empty pages. A document that fails, whose result is
+    anything else, or that has no page, gives one row with null page columns and status
+    `failed` or `empty`, for the audit.
     """
     schema = _with_fields(df, PAGES, replaced=(document,))
     kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
@@ -105,15 +107,23 @@ def parse_documents(
     def pages_of(value) -> Iterator[tuple]:
         try:
             found = parser(value)
-        except Exception as exc:  # the user's code may raise anything
+            if found is not None and not isinstance(found, dict):
+                raise TypeError("the result is no dict of pages")
+            pages = {index(number): text for number, text in (found or {}).items()}
+            if any(not 1 <= number < 2**31 for number in pages):
+                raise ValueError("a page number below 1 or too large")
+            if any(text is not None and not isinstance(text, str) for text in pages.values()):
+                raise TypeError("a page that is no text")
+            pa.array(list(pages.values()), pa.string())
+        except Exception as exc:  # the user's code may raise or return anything
             yield None, None, None, "failed", f"{type(exc).__name__}: {exc}"
             return
-        if not found:
+        if not pages:
             yield None, None, None, "empty", None
             return
-        last = max(found)
+        last = max(pages)
         for number in range(1, last + 1):
-            yield last, number, found.get(number) or "", "ok", None
+            yield last, number, pages.get(number) or "", "ok", None
 
     names = schema.names
 

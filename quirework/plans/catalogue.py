@@ -7,7 +7,7 @@ from quirework.constants import DEFAULT_FORMAT, DOWNLOAD_EXTENSIONS, FORMAT_MARK
 from quirework.functions import html as H
 from quirework.functions import labels as L
 from quirework.functions import urls as U
-from quirework.operators.aggregates import keep_first
+from quirework.operators.aggregates import keep_first, one_per_key
 from quirework.operators.predicates import has_extension
 from quirework.operators.projections import compute_once
 from quirework.operators.windows import carry_forward
@@ -48,22 +48,32 @@ def file_catalogue(
     """One row per downloadable file of each page, with what its label tells.
 
     The page text is reduced to its few facts before links are unfolded, so only
-    short columns are shuffled. `paper_formats` (url, format) adds `topik_format`.
+    short columns are shuffled. `paper_formats` (url, format) adds `topik_format`, null
+    for pages without one; of several formats of a page the smallest counts.
     """
     visible = F.col("_visible")
     links = F.filter(H.anchors(visible), lambda a: has_extension(a["href"], extensions))
     head = F.concat_ws(
         " ",
-        H.first_text(visible, "h1"),
+        F.col("_h1"),
         H.first_text(visible, "h2"),
         H.first_text(visible, "title"),
         F.concat_ws(" ", H.paragraph_texts(visible, HEAD_PARAGRAPHS)),
     )
-    facts = _visible(pages).select(
+    # Each step is computed before the next one repeats it: a month reads its text 12 times.
+    staged = _visible(pages)
+    for name, step in {
+        "_links": links,
+        "_h1": H.first_text(visible, "h1"),
+        "_head": head,
+        "_month": L.month_number(F.col("_head")),
+    }.items():
+        staged = compute_once(staged, name, step)
+    facts = staged.select(
         F.col("url").alias("page_url"),
-        L.year_from_heading(H.first_text(visible, "h1")).alias("exam_year"),
-        L.month_number(head).alias("_month"),
-        F.posexplode(links).alias("_pos", "_a"),
+        L.year_from_heading(F.col("_h1")).alias("exam_year"),
+        "_month",
+        F.posexplode("_links").alias("_pos", "_a"),
     )
     files = facts.withColumn("source_url", U.resolve_url(F.col("page_url"), F.col("_a.href")))
     first = keep_first(files, ["page_url", "source_url"], ["_pos"])
@@ -84,7 +94,7 @@ def file_catalogue(
     formats = paper_formats.select(
         F.col("url").alias("page_url"), F.col("format").alias("topik_format")
     )
-    return catalogue.join(formats, "page_url")
+    return catalogue.join(one_per_key(formats, "page_url"), "page_url", "left")
 
 
 def paper_pages(pages: DataFrame, link_pattern: str) -> DataFrame:

@@ -171,17 +171,16 @@ def model_output_dead_letters(spark, d):
 # The user functions are local ones, so that they travel to the workers by value and
 # need no installed package there.
 def extractor_hook(spark, d):
-    def first_line_question(text: str) -> list[dict]:
-        if len(text) > 1500:
-            raise ValueError("page too long")
-        first = text.split("\n")[0]
+    def line_questions(text: str) -> list[dict]:
+        if "\n" not in text:
+            raise ValueError("a page of one line")
         return [
             {
-                "question_text": first,
+                "question_text": line,
                 "question_stimulus": None,
                 "answer_options": [
                     {"answer_text": w, "answer_vocabulary_items": [], "answer_grammar_patterns": []}
-                    for w in first.split(" ")[:2]
+                    for w in line.split(" ")
                 ],
                 "question_type": "grammar",
                 "question_vocabulary_items": [],
@@ -190,17 +189,20 @@ def extractor_hook(spark, d):
                 "difficulty_level": None,
                 "confidence": 0.5,
             }
+            for line in text.split("\n")
         ]
 
     docs = D.table(spark, d, "documents").select("doc_id", "text")
-    found = hooks.extract_pages(docs, "text", first_line_question, max_attempts=2, retry_delay=0.0)
-    question = F.try_element_at("questions", F.lit(1))
+    found = hooks.extract_pages(docs, "text", line_questions, max_attempts=2, retry_delay=0.0)
     return found.select(
+        "doc_id", "status", "attempts", F.posexplode_outer("questions").alias("pos", "q")
+    ).select(
         "doc_id",
         "status",
         "attempts",
-        question["question_text"].alias("question_text"),
-        F.array_join(question["answer_options"]["answer_text"], "|").alias("options"),
+        "pos",
+        "q.question_text",
+        F.array_join("q.answer_options.answer_text", "|").alias("options"),
     )
 
 
@@ -284,12 +286,11 @@ QUERIES = {
     ),
     "extractor_hook": (
         extractor_hook,
-        """SELECT doc_id, CASE WHEN length(text) > 1500 THEN 'failed' ELSE 'ok' END AS status,
-          CAST(CASE WHEN length(text) > 1500 THEN 2 ELSE 1 END AS INTEGER) AS attempts,
-          CASE WHEN length(text) <= 1500 THEN split_part(text, chr(10), 1) END AS question_text,
-          CASE WHEN length(text) <= 1500 THEN array_to_string(
-            string_split(split_part(text, chr(10), 1), ' ')[1:2], '|') END AS options
-        FROM documents""",
+        """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+          q AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM l WHERE len(lines) > 1)
+        SELECT doc_id, 'ok' AS status, CAST(1 AS INTEGER) AS attempts, CAST(i - 1 AS INTEGER) AS pos,
+          lines[i] AS question_text, replace(lines[i], ' ', '|') AS options FROM q
+        UNION ALL SELECT doc_id, 'failed', 2, NULL, NULL, NULL FROM l WHERE len(lines) = 1""",
     ),
     "parser_hook": (
         parser_hook,

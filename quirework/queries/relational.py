@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirework.functions.keys import hash_key
+from quirework.functions.text import is_blank
 from quirework.operators import aggregates as A
 from quirework.operators import joins as J
 from quirework.operators import ordering as O
@@ -213,7 +214,7 @@ def term_coverage(spark, d):
 def run_audit(spark, d):
     docs = table(spark, d, "documents")
     state = (
-        F.when(c("n_chars") < 60, "blank").when(c("lang") == "fr", "failed").otherwise("ok")
+        F.when(is_blank(c("text")), "blank").when(c("lang") == "fr", "failed").otherwise("ok")
     )
     labels = table(spark, d, "labels").withColumn(
         "kept", F.when(c("quality") == 1, "kept").otherwise("seen")
@@ -403,7 +404,8 @@ QUERIES = {
     ),
     "run_audit": (
         run_audit,
-        """SELECT 'page' AS stage, CASE WHEN n_chars < 60 THEN 'blank' WHEN lang = 'fr'
+        r"""SELECT 'page' AS stage, CASE WHEN
+          NOT regexp_matches(text, '[^\s\x{a0}\x{3000}]') THEN 'blank' WHEN lang = 'fr'
           THEN 'failed' ELSE 'ok' END AS status, count(*) AS n_rows FROM documents GROUP BY 2
         UNION ALL SELECT 'question', CASE WHEN quality = 1 THEN 'kept' ELSE 'seen' END, count(*)
         FROM labels GROUP BY 2""",

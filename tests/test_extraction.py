@@ -177,6 +177,21 @@ def test_parser_fills_gaps_and_reports(spark):
     ]
 
 
+def test_parser_results_of_other_kinds_fail_their_document_only(spark):
+    answers = {
+        "words": {"1": "a"}, "zero": {0: "a", 1: "b"}, "bytes": {1: b"a"}, "list": ["a"],
+        "surrogate": {1: "\ud800"}, "null": {2: None}, "nothing": None, "fine": {1: "a"},
+    }
+    df = spark.createDataFrame([(k,) for k in answers], "d string").select("d", c("d").alias("keep")).coalesce(1)
+    found = {}
+    for r in hooks.parse_documents(df, "d", answers.get).collect():
+        found.setdefault(r.keep, []).append((r.status, r.page_number, r.raw_text))
+    for kind in ("words", "zero", "bytes", "list", "surrogate"):
+        assert found[kind] == [("failed", None, None)]
+    assert found["null"] == [("ok", 1, ""), ("ok", 2, "")]
+    assert found["nothing"] == [("empty", None, None)] and found["fine"] == [("ok", 1, "a")]
+
+
 def test_text_udf_equals_expression(spark):
     from quirework.functions.text import strip_space
 

@@ -9,7 +9,7 @@ from quirework import schemas as S
 from quirework.functions.text import clean_text
 from quirework.operators.blocks import segment_questions
 from quirework.plans import chat, layers, star
-from quirework.plans.catalogue import paper_pages
+from quirework.plans.catalogue import file_catalogue, paper_pages
 from quirework.plans.stats import exam_stats
 from quirework.sources.tables import export_examples
 
@@ -183,6 +183,16 @@ def test_stats_do_not_fan_out(spark):
     assert (f.total_answers, f.avg_word_count_answer, f.distribution_by_type) == (0, None, {})
 
 
+def test_catalogue_keeps_pages_without_a_format_once(spark):
+    html = "<a href='/x&#038;y.pdf'>102nd &#8211; READING &#x41;&amp;#65;&#38;lt;&#0;&#xD800; &#junk</a>"
+    pages = spark.createDataFrame([(1, "http://h/a", html), (2, "http://h/b", html)], "page_id long, url string, html string")
+    formats = spark.createDataFrame([("http://h/a", "Old"), ("http://h/a", "New")], "url string, format string")
+    rows = file_catalogue(pages, paper_formats=formats).orderBy("page_url").collect()
+    assert [(r.page_url, r.topik_format) for r in rows] == [("http://h/a", "New"), ("http://h/b", None)]
+    assert rows[0].source_url == "http://h/x&y.pdf"
+    assert rows[0].label == "102nd \u2013 READING A&#65;&lt;\ufffd\ufffd &#junk"
+
+
 def test_paper_pages_carry_the_format(spark):
     html = ("<a href='https://site.org/90th'>a</a><h2>New Format</h2><a href='/91st?x#y'>b</a>"
             "<h3>Notes</h3><a href='/92nd'>c</a><h2>The <b>Old Format</b></h2><h3>old<i> format</i></h3><a href='/91st'>b</a><a href='35th/'>d</a>")
