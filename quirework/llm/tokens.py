@@ -16,7 +16,6 @@ from __future__ import annotations
 import bisect
 import io
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +33,27 @@ MANIFEST = (
 # Encoding -----------------------------------------------------------------------------
 
 #: A space before something else than white space: the text can be cut in front of it.
-_INNER_SPACE = re.compile(r" (?=\s|\Z)")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Latin letters, then at most some plain signs: its pieces are known without a search.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*$#%&|]+)?")
+#: A line end between two pieces is a piece of its own; a plain word after it has no blank.
+_LINE_END = re.compile(rf"(\S+)\n{_PLAIN.pattern}")
+RUNS = 10_000
+
+
+class NoCut(Exception):
+    """A space stands before white space or at the end: the text can't be cut there."""
+
+
+class Words(dict):
+    """Ids of pieces; one that is not here is worked out by `known`."""
+
+    def __init__(self, known):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, text: str) -> bytes:
+        return self.known(text)
 
 
 class WordEncoder:
@@ -61,24 +77,42 @@ class WordEncoder:
             raise ValueError("the tokenizer must split by its pattern, without a prefix space")
         self.model, self.split = whole.model, whole.pre_tokenizer.pre_tokenize_str
         self.type = np.dtype("<u2" if whole.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
-        self.code = "H" if self.type.itemsize == 2 else "I"
-        self.memory, self.after, self.before = memory, {}, {}
-        # The characters by which the model writes the bytes of a blank and of Latin letters.
-        self.blank = self.split(" ")[0][0]
+        size = self.type.itemsize
+        self.tokenize = self.model.tokenize
+        self.codes = [n.to_bytes(size, "little") for n in range(whole.get_vocab_size(with_added_tokens=True))]
+        self.memory, self.after, self.before, self.runs = memory, Words(self.known), {}, {}
+        # The characters by which the model writes the bytes of blanks and of Latin letters.
+        self.blank, self.line_end = self.split(" ")[0][0], self.split("\n")[0][0]
         self.signs = {n: self.split(chr(n))[0][0] for n in range(0xC0, 0x250)}
 
     def bytes_of(self, pieces: list[str]) -> bytes:
-        return array(self.code, [t.id for p in pieces for t in self.model.tokenize(p)]).tobytes()
+        codes = self.codes
+        return b"".join([codes[t.id] for p in pieces for t in self.tokenize(p)])
+
+    def run(self, signs: str) -> bytes:
+        """Ids of plain signs, of which few different runs are common; up to `RUNS` are kept."""
+        if (ids := self.runs.get(signs)) is None:
+            ids = self.bytes_of([signs])
+            if len(self.runs) < RUNS:
+                self.runs[signs] = ids
+        return ids
 
     def piece(self, text: str) -> bytes:
         """Ids of a blank and what follows it."""
         if text.isascii() and text.isalpha():
-            return self.bytes_of([self.blank + text])
+            codes = self.codes
+            return b"".join([codes[t.id] for t in self.tokenize(self.blank + text)])
+        if not text or text[0].isspace():
+            raise NoCut
         if plain := _PLAIN.fullmatch(text):
             word, signs = plain.groups()
             if signs:
-                return self.known(word) + self.bytes_of([signs])
+                return self.known(word) + self.run(signs)
             return self.bytes_of([self.blank + word.translate(self.signs)])
+        if line := _LINE_END.fullmatch(text):
+            left, word, signs = line.groups()
+            right = self.bytes_of([self.line_end, word.translate(self.signs)])
+            return self.known(left) + right + (self.run(signs) if signs else b"")
         return self.bytes_of([p for p, _ in self.split(f" {text}")])
 
     def known(self, text: str) -> bytes:
@@ -88,22 +122,20 @@ class WordEncoder:
                 ids = self.piece(text)
             if len(text) < 64:
                 if len(self.after) >= self.memory:
-                    self.after, self.before = {}, self.after
+                    self.after, self.before = Words(self.known), self.after
                 self.after[text] = ids
         return ids
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _INNER_SPACE.search(text):
+        first, *rest = text.split(" ")
+        try:
+            found = b"".join(map(self.after.__getitem__, rest))
+        except NoCut:
             first, *rest = _SAFE_CUT.split(text)
-            rest = [p[1:] for p in rest]
-        else:
-            first, *rest = text.split(" ")
-        found = list(map(self.after.get, rest))
-        if None in found:
-            found = [self.known(w) if f is None else f for w, f in zip(rest, found, strict=True)]
-        return self.bytes_of([p for p, _ in self.split(first)]) + b"".join(found)
+            found = b"".join([self.after[p[1:]] for p in rest])
+        return self.bytes_of([p for p, _ in self.split(first)]) + found
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
