@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quirework.constants import SPACE
+from quirework.constants import SPACE, WORD
 
 
 def json_span(text: Column) -> Column:
@@ -18,4 +18,4 @@ def drop_bad_escapes(text: Column) -> Column:
 
 def trim_keys(text: Column) -> Column:
     """Remove white space inside the quotes of object keys."""
-    return F.regexp_replace(text, rf'"[{SPACE}]*(\w+)[{SPACE}]*"[{SPACE}]*:', '"$1":')
+    return F.regexp_replace(text, rf'"[{SPACE}]*([{WORD}]+)[{SPACE}]*"[{SPACE}]*:', '"$1":')

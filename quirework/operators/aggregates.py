@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirework.operators.windows import first_rows
+from quirework.operators.windows import first_rows, number_rows
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -66,24 +66,18 @@ def pivot_slots(
 def ordered_collect(
     df: DataFrame,
     keys: list[str],
-    position: str,
-    order: list[str],
+    order: list[Column],
     value: str,
-    name: str,
-    part_size: int = 4096,
+    position: str = "position",
+    chunk: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Values of each group in order, as arrays.
+    """Values of each group in order, in long form: (keys, position, value), from 1.
 
-    `position` counts from 1 within the group (see `number_rows`). Groups longer
-    than `part_size` come as several rows, numbered by `part`, so no array and no
-    task ever holds an unbounded group; all others come as one row with part 0.
+    The same shape for a group of any size, so no array holds an unbounded group.
+    `chunk` is for groups that may be hot; see `number_rows`. A bounded number of slots
+    as columns comes from `first_rows` and `pivot_slots`.
     """
-    part = F.floor((F.col(position) - 1) / part_size).cast("int")
-    return (
-        df.groupBy(*keys, part.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.struct(*order, F.col(value)))).alias("_items"))
-        .select(*keys, "part", F.transform("_items", lambda i: i[value]).alias(name))
-    )
+    return number_rows(df, keys, order, position, chunk).select(*keys, position, value)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -4,12 +4,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirework.functions.jsontext import drop_bad_escapes, json_span, trim_keys
-from quirework.operators.predicates import page_is_valid
+from quirework.operators.predicates import all_of, page_is_valid
 from quirework.operators.projections import compute_once
-from quirework.schemas import QUESTION, QUESTIONS
+
+# The shape of a question with values of any JSON type, so that the types can be checked.
+_ITEMS = "array<variant>"
+ANY_QUESTION = (
+    "struct<question_text: variant, question_stimulus: variant, answer_options: array<struct<"
+    f"answer_text: variant, answer_vocabulary_items: {_ITEMS}, answer_grammar_patterns: {_ITEMS}>>, "
+    f"question_type: variant, question_vocabulary_items: {_ITEMS}, "
+    f"question_grammar_patterns: {_ITEMS}, topic: variant, difficulty_level: variant, confidence: variant>"
+)
+ANY_QUESTIONS = f"array<{ANY_QUESTION}>"
 
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_FLAT = rf'(?:{_STRING}|[-+.\w]++|\[[^\[\]{{}}]*+\])'
+_FLAT = rf'(?:{_STRING}|[-+.\w]++|\[(?:{_STRING}|[^"\[\]{{}}]++)*+\])'
 # The start of an object that has `answer_options`, after any number of flat fields.
 _OBJECT = (
     rf'\{{\s*+(?:(?!"answer_options"){_STRING}\s*+:\s*+{_FLAT}\s*+,\s*+)*+"answer_options"\s*+:'
@@ -20,7 +29,7 @@ _SINGLE = rf"(?s)({_OBJECT}.*)"
 
 
 def _read_list(text: Column) -> Column:
-    return F.from_json(text, QUESTIONS, {"mode": "PERMISSIVE"})
+    return F.from_json(text, ANY_QUESTIONS, {"mode": "PERMISSIVE"})
 
 
 def _as_single(question: Column) -> Column:
@@ -29,20 +38,20 @@ def _as_single(question: Column) -> Column:
 
 
 def locate_questions(json: Column) -> Column:
-    """The question array of a JSON object; null when it holds none.
+    """The question array of a JSON object, with values as they stand; null when it holds none.
 
     Tried in turn: a `questions` list at the root, a single question at the root, a
     `questions` list at any depth, a bare list of questions or one question under
     some other key. The nested shapes are read from where they start; the parser
     stops at the end of the value, whatever follows it.
     """
-    root = F.from_json(json, f"struct<questions: {QUESTIONS}>", {"mode": "PERMISSIVE"})
-    single = F.from_json(json, QUESTION, {"mode": "PERMISSIVE"})
+    root = F.from_json(json, f"struct<questions: {ANY_QUESTIONS}>", {"mode": "PERMISSIVE"})
+    single = F.from_json(json, ANY_QUESTION, {"mode": "PERMISSIVE"})
 
     def nested(pattern: str) -> Column:
         return F.nullif(F.regexp_extract(json, pattern, 1), F.lit(""))
 
-    below = F.from_json(nested(_SINGLE), QUESTION, {"mode": "PERMISSIVE"})
+    below = F.from_json(nested(_SINGLE), ANY_QUESTION, {"mode": "PERMISSIVE"})
     return F.coalesce(
         root["questions"],
         _as_single(single),
@@ -52,6 +61,75 @@ def locate_questions(json: Column) -> Column:
     )
 
 
+def _is_text(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+
+def _is_optional_text(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).isin("STRING", "VOID"), F.lit(True))
+
+
+def _are_texts(items: Column) -> Column:
+    return F.coalesce(F.forall(items, _is_text), F.lit(False))
+
+
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _texts(items: Column) -> Column:
+    return F.transform(items, _text)
+
+
+def typed_questions(questions: Column) -> Column:
+    """Questions in their fixed schema; one with a value of a wrong JSON type is null.
+
+    Texts must be texts. A confidence may be a number in a text, and counts as 0 where
+    the field is missing; null or a word is wrong.
+    """
+
+    def fits(q: Column) -> Column:
+        def option_fits(o: Column) -> Column:
+            return all_of(
+                _is_text(o["answer_text"]),
+                _are_texts(o["answer_vocabulary_items"]),
+                _are_texts(o["answer_grammar_patterns"]),
+            )
+
+        optional = ("question_stimulus", "question_type", "topic", "difficulty_level")
+        return all_of(
+            _is_text(q["question_text"]),
+            *[_is_optional_text(q[name]) for name in optional],
+            F.coalesce(F.forall(q["answer_options"], option_fits), F.lit(False)),
+            _are_texts(q["question_vocabulary_items"]),
+            _are_texts(q["question_grammar_patterns"]),
+            q["confidence"].isNull() | F.try_variant_get(q["confidence"], "$", "double").isNotNull(),
+        )
+
+    def typed(q: Column) -> Column:
+        options = F.transform(
+            q["answer_options"],
+            lambda o: F.struct(
+                _text(o["answer_text"]).alias("answer_text"),
+                _texts(o["answer_vocabulary_items"]).alias("answer_vocabulary_items"),
+                _texts(o["answer_grammar_patterns"]).alias("answer_grammar_patterns"),
+            ),
+        )
+        return F.struct(
+            _text(q["question_text"]).alias("question_text"),
+            _text(q["question_stimulus"]).alias("question_stimulus"),
+            options.alias("answer_options"),
+            _text(q["question_type"]).alias("question_type"),
+            _texts(q["question_vocabulary_items"]).alias("question_vocabulary_items"),
+            _texts(q["question_grammar_patterns"]).alias("question_grammar_patterns"),
+            _text(q["topic"]).alias("topic"),
+            _text(q["difficulty_level"]).alias("difficulty_level"),
+            F.try_variant_get(q["confidence"], "$", "double").alias("confidence"),
+        )
+
+    return F.transform(questions, lambda q: F.when(fits(q), typed(q)))
+
+
 def is_json_object(text: Column) -> Column:
     """The text is one well-formed JSON object."""
     return F.coalesce(
@@ -74,7 +152,8 @@ def parse_model_output(
     steps = {
         "_json": F.when(is_json_object(text), trim_keys(text)).otherwise(repaired),
         "_whole": is_json_object(json),
-        "_found": F.when(F.col("_whole"), locate_questions(json)),
+        "_any": F.when(F.col("_whole"), locate_questions(json)),
+        "_found": typed_questions(F.col("_any")),
         status: F.when(json.isNull(), "no_json")
         .when(~F.col("_whole"), "unparsable")
         .when(found.isNull(), "no_questions")
@@ -84,7 +163,7 @@ def parse_model_output(
     for name, step in steps.items():
         df = compute_once(df, name, step)
     return df.withColumn(questions, F.when(F.col(status) == "ok", found)).drop(
-        "_json", "_whole", "_found"
+        "_json", "_whole", "_any", "_found"
     )
 
 

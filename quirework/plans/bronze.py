@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quirework.functions.keys import hash_key
 from quirework.functions.labels import exam_edition
-from quirework.functions.text import char_count, word_count
+from quirework.functions.text import char_count, is_blank, word_count
+from quirework.operators.aggregates import first_non_null
 from quirework.operators.joins import keep_existing
 from quirework.operators.predicates import equals_ignoring_case, has_suffix_ignoring_case
 from quirework.operators.projections import conform, stamp_time
@@ -50,11 +51,24 @@ def pages_raw(
     return conform(stamp_time(counted, "processed_at", as_of), PAGES_RAW)
 
 
-def folder_editions(pages: DataFrame) -> DataFrame:
-    """Edition per folder: the first known one in file order, else the folder name."""
-    first = F.min_by(
-        "exam_edition", F.when(F.col("exam_edition").isNotNull(), F.col("filename"))
+def folder_editions(papers: DataFrame, order: str = "record") -> DataFrame:
+    """Edition per folder: the first known one in record order, else the folder name."""
+    return first_non_null(papers, ["exam_folder"], "exam_edition", order, F.col("exam_folder"))
+
+
+def file_audit(parsed: DataFrame) -> DataFrame:
+    """One row for each parsed file: status, pages, blank pages and the error, if any."""
+    blank = F.count_if(F.col("page_number").isNotNull() & is_blank(F.col("raw_text")))
+    return parsed.groupBy("exam_folder", "filename", "source_pdf_path").agg(
+        F.max("status").alias("status"),
+        F.count("page_number").alias("n_pages"),
+        blank.alias("n_blank"),
+        F.max("error").alias("error"),
     )
-    return pages.groupBy("exam_folder").agg(
-        F.coalesce(first, F.col("exam_folder")).alias("exam_edition")
+
+
+def folder_audit(files: DataFrame) -> DataFrame:
+    """(exam_folder, n_files, n_with_pages) out of a file audit, folders without data too."""
+    return files.groupBy("exam_folder").agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("n_pages") > 0).alias("n_with_pages")
     )

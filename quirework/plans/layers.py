@@ -10,7 +10,7 @@ from quirework.functions.text import is_blank
 from quirework.operators.aggregates import run_audit
 from quirework.operators.blocks import segment_pages
 from quirework.operators.hooks import parse_documents
-from quirework.plans.bronze import pages_raw
+from quirework.plans.bronze import file_audit, folder_audit, pages_raw
 from quirework.plans.chat import chat_examples
 from quirework.plans.stats import exam_stats
 from quirework.plans import star
@@ -25,6 +25,7 @@ def run_bronze(
     parser: Callable[[object], dict[int, str]],
     as_of: str | None = None,
     parallelism: int | None = None,
+    audit_path: str | None = None,
 ) -> dict[str, int]:
     """Parse the PDFs under `source` (a folder per exam) into the page table.
 
@@ -32,6 +33,11 @@ def run_bronze(
     small beside the work of parsing them, so it is spread over `parallelism` tasks
     (four per core by default) whatever its size. Returns the audit counts, taken
     in the same pass: pages, blank pages, files that failed or had no pages.
+
+    With `audit_path`, what the parser gives is written to `<audit_path>/parsed` and read
+    back, and `<audit_path>/files` has a row for each file, with the error of those that
+    failed; `<audit_path>/folders` counts them by folder. A metadata file that can't be
+    read stops the job; `broken_metadata` names such files.
     """
     metadata = read_metadata(spark, source)
     tasks = parallelism or 4 * spark.sparkContext.defaultParallelism
@@ -40,6 +46,9 @@ def run_bronze(
     def parse(files: DataFrame) -> DataFrame:
         with_path = files.withColumn("_document", F.col("source_pdf_path"))
         parsed = parse_documents(with_path, "_document", parser, tasks)
+        if audit_path:
+            write_table(parsed, f"{audit_path}/parsed")
+            parsed = read_table(spark, f"{audit_path}/parsed")
         return parsed.observe(
             audit,
             F.count_if(is_blank(F.col("raw_text"))).alias("pages_blank"),
@@ -48,7 +57,11 @@ def run_bronze(
         )
 
     pages = pages_raw(metadata, list_files(spark, source), parse, as_of)
-    return {"pages": write_checked(pages, target)} | audit.get
+    counts = {"pages": write_checked(pages, target)} | audit.get
+    if audit_path:
+        write_table(file_audit(read_table(spark, f"{audit_path}/parsed")), f"{audit_path}/files")
+        write_table(folder_audit(read_table(spark, f"{audit_path}/files")), f"{audit_path}/folders")
+    return counts
 
 
 def run_silver(
@@ -65,7 +78,8 @@ def run_silver(
     default reads question blocks natively. Its output is written once, to
     `<target>/extracted`, so a slow or unrepeatable extractor never runs twice,
     not even when executors are lost. Dimensions are written even when no question
-    was found.
+    was found. A date that is none becomes null, and its event stands in `bad_dates`,
+    whose row count is returned like the others.
     """
     pages = read_table(spark, source, S.PAGES_RAW)
     extract = extract or (lambda df: segment_pages(df, "clean_text"))
@@ -79,8 +93,9 @@ def run_silver(
             "dim_exam": star.dim_exam(base),
             "dim_file": star.dim_file(base),
             "dim_question": star.dim_question(questions),
-            "dim_answer": star.dim_answer(questions),
-            "fact_download": star.fact_download(base, as_of),
+            "dim_answer": star.dim_answer(questions, with_position=True),
+            "fact_download": star.fact_download(base, as_of, strict=False),
+            "bad_dates": star.bad_dates(base),
         },
         target,
     )
@@ -92,15 +107,26 @@ def run_silver(
 
 
 def run_gold(
-    spark: SparkSession, source: str, target: str, as_of: str | None = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    as_of: str | None = None,
+    drop_incomplete: bool = False,
 ) -> dict[str, int]:
-    """Dimensions to chat examples and exam statistics; returns rows per table."""
+    """Dimensions to chat examples and exam statistics; returns rows per table.
+
+    Options come in their printed order, which the silver job's answers carry.
+    `drop_incomplete` leaves out examples with a message that could not be worded.
+    """
     exams = read_table(spark, f"{source}/dim_exam", S.DIM_EXAM)
     questions = read_table(spark, f"{source}/dim_question", S.DIM_QUESTION)
-    answers = read_table(spark, f"{source}/dim_answer", S.DIM_ANSWER)
+    answers = read_table(spark, f"{source}/dim_answer", S.PRINTED_ANSWER)
+    examples = chat_examples(
+        exams, questions, answers, ["option_pos", "answer_id"], drop_incomplete=drop_incomplete
+    )
     return write_tables(
         {
-            "chat_examples": chat_examples(exams, questions, answers),
+            "chat_examples": examples,
             "exam_stats": exam_stats(questions, answers, as_of),
         },
         target,

@@ -24,6 +24,7 @@ from quirework.schemas import (
     DIM_QUESTION,
     FACT_DOWNLOAD,
     FACT_QA,
+    PRINTED_ANSWER,
 )
 
 
@@ -56,6 +57,13 @@ def fact_download(base: DataFrame, as_of: str | None = None, strict: bool = True
     return conform(stamped, FACT_DOWNLOAD, strict).distinct()
 
 
+def bad_dates(base: DataFrame) -> DataFrame:
+    """(download_id, download_date) of the download events whose date can't be read."""
+    date = F.col("download_date")
+    bad = date.isNotNull() & date.try_cast("date").isNull()
+    return base.filter(bad).select("download_id", date.cast("string").alias("download_date")).distinct()
+
+
 def content_pages(
     pages: DataFrame,
     suffix: str = READING_PAPER_SUFFIX,
@@ -103,10 +111,7 @@ def dim_answer(questions: DataFrame, with_position: bool = False) -> DataFrame:
     named = options.withColumnRenamed("answer_text", "raw_answer_text").withColumn(
         "is_correct", F.lit(None).cast("boolean")
     )
-    schema = DIM_ANSWER
-    if with_position:
-        schema = T.StructType(list(DIM_ANSWER)).add("option_pos", T.IntegerType())
-    return conform(named, schema)
+    return conform(named, PRINTED_ANSWER if with_position else DIM_ANSWER)
 
 
 def fact_qa(answers: DataFrame, questions: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from quirework.operators.blocks import question_number, question_pieces, segment
 from quirework.operators.model_output import dead_letters, parse_model_output
 from quirework.operators.nested import explode_answers, explode_questions
 from quirework.operators.predicates import is_reliable, keep_reliable, keep_valid
+from quirework.plans import bronze
 from quirework.queries import derive as D
 from quirework.queries.text import sql_strip
 from quirework.schemas import QUESTIONS
@@ -111,7 +112,7 @@ def reliability_flags(spark, d):
 # ---- Model output with injected faults -------------------------------------
 def _model_output(spark, d):
     turns = D.table(spark, d, "conversations")
-    kind = (c("conv_id") + c("turn")) % 11
+    kind = (c("conv_id") + c("turn")) % 15
     option = [
         F.struct(
             F.concat(F.lit(f"보기 {i} "), c("role")).alias("answer_text"),
@@ -122,11 +123,11 @@ def _model_output(spark, d):
     ]
     question = F.to_json(
         F.struct(
+            F.array(F.concat(F.lit("["), c("role"), F.lit("]"))).alias("question_vocabulary_items"),
             F.concat(F.lit("질문 "), c("text")).alias("question_text"),
             c("role").alias("question_stimulus"),
             F.array(*option).alias("answer_options"),
             F.when(kind == 8, "essay").otherwise("grammar").alias("question_type"),
-            F.array(c("role")).alias("question_vocabulary_items"),
             F.array().cast("array<string>").alias("question_grammar_patterns"),
             F.lit("여행").alias("topic"),
             F.lit("easy").alias("difficulty_level"),
@@ -144,6 +145,10 @@ def _model_output(spark, d):
         .when(kind == 7, F.substring(wrapped, F.lit(1), F.length(wrapped) - 5))
         .when(kind == 9, F.lit("I found no questions."))
         .when(kind == 10, F.lit('{"answer": [1, 2]}'))
+        .when(kind == 11, F.replace(wrapped, F.lit('"confidence":0.75'), F.lit('"confidence":"high"')))
+        .when(kind == 12, F.replace(wrapped, F.lit('"confidence":0.75'), F.lit('"confidence":null')))
+        .when(kind == 13, F.replace(wrapped, F.lit('"confidence":0.75'), F.lit('"confidence":"0.75"')))
+        .when(kind == 14, F.replace(wrapped, F.lit('"topic":"여행"'), F.lit('"topic":12')))
         .otherwise(wrapped)
     )
     return parse_model_output(turns.select("conv_id", "turn", raw.alias("raw")), "raw")
@@ -216,6 +221,20 @@ def parser_hook(spark, d):
     )
 
 
+def file_audit(spark, d):
+    """A row for each document as a file: those of one line fail, with their error."""
+
+    def lines_as_pages(text: str) -> dict[int, str]:
+        if "\n" not in text:
+            raise ValueError("a file of one line")
+        return {i: line for i, line in enumerate(text.split("\n"), start=1) if line.strip(" ")}
+
+    columns = {k: D.METADATA[k] for k in ("exam_folder", "filename", "source_pdf_path")}
+    files = D.derive(spark, d, "documents", {**columns, "text": "text"})
+    return bronze.file_audit(hooks.parse_documents(files, "text", lines_as_pages)).drop("source_pdf_path")
+
+
+_AUDIT_COLUMNS = {k: D.METADATA[k] for k in ("exam_folder", "filename")}
 _BLOCKS_SQL = f"""WITH b AS (
   SELECT doc_id, lang, source, n_chars, {sql_strip('text')} AS stimulus FROM documents),
   q AS (
@@ -273,16 +292,16 @@ QUERIES = {
     "model_output_questions": (
         model_output_questions,
         """SELECT conv_id, turn, CAST(0 AS INTEGER) AS pos,
-          CASE WHEN (conv_id + turn) % 11 = 3 THEN '질문 ZZ' ELSE '질문 ' END || text AS question_text,
+          CASE WHEN (conv_id + turn) % 15 = 3 THEN '질문 ZZ' ELSE '질문 ' END || text AS question_text,
           role AS question_stimulus, 'grammar' AS question_type, CAST(0.75 AS DOUBLE) AS confidence,
           '보기 1 ' || role || '|보기 2 ' || role || '|보기 3 ' || role || '|보기 4 ' || role AS options
-        FROM conversations WHERE (conv_id + turn) % 11 < 7""",
+        FROM conversations WHERE (conv_id + turn) % 15 < 7 OR (conv_id + turn) % 15 = 13""",
     ),
     "model_output_dead_letters": (
         model_output_dead_letters,
-        """SELECT conv_id, turn, CASE (conv_id + turn) % 11 WHEN 7 THEN 'unparsable'
-          WHEN 8 THEN 'invalid' WHEN 9 THEN 'no_json' ELSE 'no_questions' END AS status
-        FROM conversations WHERE (conv_id + turn) % 11 >= 7""",
+        """SELECT conv_id, turn, CASE (conv_id + turn) % 15 WHEN 7 THEN 'unparsable'
+          WHEN 9 THEN 'no_json' WHEN 10 THEN 'no_questions' ELSE 'invalid' END AS status
+        FROM conversations WHERE (conv_id + turn) % 15 >= 7 AND (conv_id + turn) % 15 <> 13""",
     ),
     "extractor_hook": (
         extractor_hook,
@@ -292,6 +311,17 @@ QUERIES = {
           lines[i] AS question_text, replace(lines[i], ' ', '|') AS options FROM q
         UNION ALL SELECT doc_id, 'failed', 2, NULL, NULL, NULL FROM l WHERE len(lines) = 1""",
     ),
+    "file_audit": (
+        file_audit,
+        f"""WITH l AS (SELECT exam_folder, filename, string_split(text, chr(10)) AS lines
+            FROM ({D.as_sql('documents', {**_AUDIT_COLUMNS, 'text': 'text'})})),
+          n AS (SELECT *, len(lines) = 1 AS bad, coalesce(list_max(list_filter(range(1, len(lines) + 1),
+            lambda i: trim(lines[i], ' ') <> '')), 0) AS last FROM l)
+        SELECT exam_folder, filename, CASE WHEN bad THEN 'failed' WHEN last = 0 THEN 'empty' ELSE 'ok' END
+            AS status, CASE WHEN bad THEN 0 ELSE last END AS n_pages,
+          CASE WHEN bad THEN 0 ELSE len(list_filter(lines[1:last], lambda x: trim(x, ' ') = '')) END AS n_blank,
+          CASE WHEN bad THEN 'ValueError: a file of one line' END AS error FROM n""",
+    ),
     "parser_hook": (
         parser_hook,
         """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),

@@ -143,17 +143,9 @@ def distinct_values(spark, d):
     return A.distinct_values(table(spark, d, "lineitem"), "l_linenumber")
 
 
-def _ranked_options(spark, d):
-    lines = table(spark, d, "lineitem").select("l_orderkey", *OPTION_ORDER)
-    # Never decreasing along the option order, so a huge order is cut into pieces.
-    chunk = {"_line": c("l_linenumber"), "_block": F.floor(c("l_partkey") / 500)}
-    return W.number_rows(
-        lines, ["l_orderkey"], [c(o) for o in OPTION_ORDER], "option_pos", chunk
-    )
-
-
 def option_order(spark, d):
-    return _ranked_options(spark, d).select("l_orderkey", *OPTION_ORDER, "option_pos")
+    lines = table(spark, d, "lineitem").select("l_orderkey", *OPTION_ORDER)
+    return W.number_rows(lines, ["l_orderkey"], [c(o) for o in OPTION_ORDER], "option_pos")
 
 
 def pivot_options(spark, d):
@@ -163,9 +155,8 @@ def pivot_options(spark, d):
 
 
 def ordered_options(spark, d):
-    return A.ordered_collect(
-        _ranked_options(spark, d), ["l_orderkey"], "option_pos", ["option_pos"], "l_partkey", "parts"
-    ).select("l_orderkey", "part", F.array_join(F.transform("parts", lambda p: p.cast("string")), ",").alias("parts"))
+    lines = table(spark, d, "lineitem").select("l_orderkey", *OPTION_ORDER)
+    return A.ordered_collect(lines, ["l_orderkey"], [c(o) for o in OPTION_ORDER], "l_partkey")
 
 
 def row_counts(spark, d):
@@ -358,9 +349,8 @@ QUERIES = {
     ),
     "ordered_options": (
         ordered_options,
-        f"""SELECT l_orderkey, CAST(0 AS INTEGER) AS part,
-        string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY {_ORDER_SQL}) AS parts
-        FROM lineitem GROUP BY 1""",
+        f"""SELECT l_orderkey, l_partkey, CAST(row_number() OVER
+        (PARTITION BY l_orderkey ORDER BY {_ORDER_SQL}) AS INTEGER) AS position FROM lineitem""",
     ),
     "row_counts": (
         row_counts,

@@ -18,7 +18,7 @@ AS_OF = "2025-03-01"
 # ---- The page table, out of documents --------------------------------------
 def _pages(spark, d):
     documents = D.derive(
-        spark, d, "documents", {**D.METADATA, "n_chars": "n_chars", "blocks": D.BLOCKS}
+        spark, d, "documents", {**D.METADATA, "blocks": D.BLOCKS}
     )
     files = documents.select("source_pdf_path")
 
@@ -37,11 +37,11 @@ _PAGES_SQL = f"""WITH m AS (SELECT *, sha256(concat_ws('||', exam_folder, filena
         CASE WHEN CAST(exam_number AS INTEGER) % 100 BETWEEN 10 AND 20 THEN 'th'
           WHEN exam_number LIKE '%1' THEN 'st' WHEN exam_number LIKE '%2' THEN 'nd'
           WHEN exam_number LIKE '%3' THEN 'rd' ELSE 'th' END END AS exam_edition
-    FROM ({D.as_sql('documents', {**D.METADATA, 'n_chars': 'n_chars', 'blocks': D.BLOCKS})})
+    FROM ({D.as_sql('documents', {**D.METADATA, 'record': 'doc_id', 'blocks': D.BLOCKS})})
     WHERE lower(filename) LIKE '%.pdf' AND lower(file_type) = 'test paper'),
   t AS (SELECT *, '표지 안내' AS raw_text, CAST(1 AS INTEGER) AS page_number FROM m
     UNION ALL SELECT *, '', 2 FROM m UNION ALL SELECT *, blocks, 3 FROM m),
-  pages_raw AS (SELECT * EXCLUDE (n_chars, blocks), '{AS_OF}T00:00:00+00:00' AS processed_at,
+  pages_raw AS (SELECT * EXCLUDE (record, blocks), '{AS_OF}T00:00:00+00:00' AS processed_at,
     CAST(3 AS INTEGER) AS page_count,
     CAST(len(regexp_extract_all(raw_text, '[^{SPACE}]+')) AS INTEGER) AS word_count,
     CAST(length(raw_text) AS INTEGER) AS char_count FROM t),
@@ -74,7 +74,9 @@ def pages_raw(spark, d):
 
 
 def folder_editions(spark, d):
-    return bronze.folder_editions(_pages(spark, d))
+    records = D.derive(spark, d, "documents", {**D.METADATA, "record": "doc_id"})
+    papers = bronze.paper_files(records, records.select("source_pdf_path"))
+    return bronze.folder_editions(papers, "record")
 
 
 def keyed_pages(spark, d):
@@ -176,12 +178,9 @@ def chat_examples_by_key(spark, d):
 
 
 def answer_order(spark, d):
-    """Rank by key, with groups cut along the head of the key."""
-    return number_rows(
-        _order_answers(spark, d).select("question_id", "answer_id").distinct(),
-        ["question_id"], [c("answer_id")], "answer_order",
-        chunk={"_head": F.substring("answer_id", 1, 2)},
-    )
+    """Rank by key."""
+    unique = _order_answers(spark, d).select("question_id", "answer_id").distinct()
+    return number_rows(unique, ["question_id"], [c("answer_id")], "answer_order")
 
 
 def exam_stats(spark, d):
@@ -240,8 +239,8 @@ QUERIES = {
     ),
     "folder_editions": (
         folder_editions,
-        f"""{_PAGES_SQL} SELECT exam_folder, coalesce(arg_min(exam_edition, filename)
-        FILTER (exam_edition IS NOT NULL), exam_folder) AS exam_edition FROM pages_raw GROUP BY 1""",
+        f"""{_PAGES_SQL} SELECT exam_folder, coalesce(arg_min(exam_edition, record)
+        FILTER (exam_edition IS NOT NULL), exam_folder) AS exam_edition FROM m GROUP BY 1""",
     ),
     "keyed_pages": (
         keyed_pages,

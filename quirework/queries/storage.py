@@ -14,9 +14,10 @@ c = F.col
 
 
 def schema_scan(spark, d):
-    return T.read_table(
-        spark, f"{d}/orders.parquet", spark.read.parquet(f"{d}/orders.parquet").schema
-    ).select("o_orderkey", "o_custkey", "o_orderstatus")
+    """Two columns of the file and one that it lacks, which is null."""
+    stored = spark.read.parquet(f"{d}/orders.parquet").schema
+    schema = type(stored)([stored["o_orderkey"], stored["o_orderstatus"]]).add("o_note", "string")
+    return T.read_table(spark, f"{d}/orders.parquet", schema)
 
 
 def file_listing(spark, d):
@@ -29,6 +30,23 @@ def file_listing(spark, d):
     )
 
 
+def broken_metadata(spark, d):
+    """Metadata of which every tenth record lost its last character, counted by folder."""
+    path = shared_folder(spark)
+    records = D.derive(spark, d, "documents", {**D.METADATA, "doc_id": "doc_id"})
+    text = F.to_json(F.struct(*METADATA.names))
+    cut = F.when(c("doc_id") % 10 == 9, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    T.write_table(records.select("exam_folder", cut.alias("value")), path, ["exam_folder"], fmt="text")
+    broken = M.broken_metadata(spark, path, pattern="*/*.txt", json_array=False)
+    read = M.read_metadata(spark, path, pattern="*/*.txt", json_array=False, strict=False)
+    return (
+        read.select("exam_folder", F.lit("read").alias("status"))
+        .unionByName(broken.select("exam_folder", F.lit("broken").alias("status")))
+        .groupBy("exam_folder", "status")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def crawled_pages(spark, d):
     return M.read_pages(spark, f"{d}/pages.parquet").select(
         "page_id", "url", F.length("html").alias("html_chars")
@@ -87,12 +105,19 @@ def exported_splits(spark, d):
 
 
 QUERIES = {
-    "schema_scan": (schema_scan, "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"),
+    "schema_scan": (schema_scan, "SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_note FROM orders"),
     "file_listing": (
         file_listing,
         f"""SELECT DISTINCT exam_folder, true AS has_data
         FROM ({D.as_sql('documents', D.METADATA)})""",
     ),
+    "broken_metadata": (
+        broken_metadata,
+        f"""SELECT exam_folder, CASE WHEN doc_id % 10 = 9 THEN 'broken' ELSE 'read' END AS status,
+          count(*) AS n
+        FROM ({D.as_sql('documents', {'exam_folder': D.METADATA['exam_folder'], 'doc_id': 'doc_id'})})
+        GROUP BY 1, 2""",
+    ),
     "crawled_pages": (
         crawled_pages,
         "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages",

@@ -68,6 +68,9 @@ DIM_ANSWER = _table(
     keys=("answer_id", "question_id"),
 )
 
+# Answers with the place at which they are printed, as the layer jobs keep them.
+PRINTED_ANSWER = T.StructType(list(DIM_ANSWER)).add("option_pos", T.IntegerType())
+
 FACT_DOWNLOAD = _table(
     """download_id string, exam_id string, file_id string, download_date date,
     download_status string, bronze_processed_at date, silver_processed_at date""",

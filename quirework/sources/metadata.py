@@ -29,23 +29,45 @@ def parent_of(path: Column) -> Column:
     return F.regexp_replace(folder, _LOCAL, "")
 
 
+def _json_texts(
+    spark: SparkSession, root: str, schema: T.StructType, pattern: str, json_array: bool
+) -> DataFrame:
+    """Files, or lines of them, with their records; `_records` is null where they are broken."""
+    texts = (
+        spark.read.text(f"{root}/{pattern}", wholetext=json_array)
+        .select("value", F.col("_metadata.file_path").alias("_path"))
+    )
+    if json_array:
+        records = F.from_json("value", T.ArrayType(schema))
+        whole = F.json_array_length("value").isNotNull() & ~F.exists(records, F.isnull)
+        return texts.withColumn("_records", F.when(whole, records))
+    record = F.when(F.startswith(F.get_json_object("value", "$"), F.lit("{")), F.from_json("value", schema))
+    lines = texts.filter(F.trim("value") != "")
+    return lines.withColumn("_records", F.when(record.isNotNull(), F.array(record)))
+
+
 def read_metadata(
     spark: SparkSession,
     root: str,
     schema: T.StructType = METADATA,
     pattern: str = "*/metadata.json",
     json_array: bool = True,
+    strict: bool = True,
 ) -> DataFrame:
     """Metadata records of every folder under `root`, with lineage columns.
 
     Missing keys are null, except that file name and type become empty. A file is
-    one JSON array; `json_array=False` reads JSON lines, which also split.
+    one JSON array, and `record` the position in it from 0; `json_array=False` reads JSON
+    lines, which also split. A file (or line) that is none fails the job; with
+    `strict=False` it gives no records, and `broken_metadata` reports it.
     """
-    raw = (
-        spark.read.schema(schema)
-        .option("multiLine", json_array)
-        .json(f"{root}/{pattern}")
-        .select("*", F.col("_metadata.file_path").alias("_path"))
+    texts = _json_texts(spark, root, schema, pattern, json_array)
+    records = F.col("_records")
+    if strict:
+        message = F.concat(F.lit("no JSON metadata: "), F.col("_path"))
+        records = F.coalesce(records, F.raise_error(message).cast(texts.schema["_records"].dataType))
+    raw = texts.select("_path", F.posexplode(records).alias("record", "_row")).select(
+        "_row.*", *(["record"] if json_array else []), "_path"
     )
     filled = {
         c: F.coalesce(F.col(c), F.lit("")) for c in ("filename", "file_type") if c in raw.columns
@@ -60,6 +82,25 @@ def read_metadata(
     )
 
 
+def broken_metadata(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType = METADATA,
+    pattern: str = "*/metadata.json",
+    json_array: bool = True,
+) -> DataFrame:
+    """(exam_folder, path, content) of metadata files, or lines, that can't be read.
+
+    Spark's scan skips files of no bytes: their folders are like those without a file.
+    """
+    broken = _json_texts(spark, root, schema, pattern, json_array).filter(F.col("_records").isNull())
+    return broken.select(
+        folder_of(F.col("_path")).alias("exam_folder"),
+        F.col("_path").alias("path"),
+        F.col("value").alias("content"),
+    )
+
+
 def write_metadata(df: DataFrame, path: str, folder: str = "exam_folder") -> int:
     """JSON lines per folder, text written as it is (no escaping beyond JSON's own)."""
     return write_table(df, path, partition_by=[folder], fmt="json")

@@ -120,6 +120,15 @@ def test_model_output_shapes(spark):
         (dump({"questions": [q]}).replace("다음", "\\uXY다음"), "ok", 1),
         (dump({"questions": [question(question_type="essay")]}), "invalid", None),
         (dump({"questions": [question(confidence=1.01)]}), "invalid", None),
+        (dump({"questions": [question(confidence="high")]}), "invalid", None),
+        (dump({"questions": [q, question(confidence=None)]}), "invalid", None),
+        (dump({"questions": [question(confidence="0.9")]}), "ok", 1),
+        (dump({"questions": [{k: v for k, v in q.items() if k != "confidence"}]}), "ok", 1),
+        (dump({"questions": [question(question_text=5)]}), "invalid", None),
+        (dump({"questions": [question(topic=12)]}), "invalid", None),
+        (dump({"questions": [question(question_vocabulary_items=["a", 1])]}), "invalid", None),
+        (dump({"data": [{"question_vocabulary_items": ["[말]"]} | q]}), "ok", 1),
+        (dump({"data": [{"question_grammar_patterns": ["a]", '"[{']} | q]}), "ok", 1),
         (dump({"questions": [{k: v for k, v in q.items() if k != "answer_options"}]}), "invalid", None),
         (dump({"questions": [q]})[:-4], "unparsable", None),
         ("nothing", "no_json", None),

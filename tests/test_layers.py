@@ -62,7 +62,8 @@ def built(spark, tmp_path_factory):
 
     out = tmp_path_factory.mktemp("out")
     bronze, silver, gold = (str(out / n) for n in ("bronze", "silver", "gold"))
-    counts = {"bronze": layers.run_bronze(spark, str(root), bronze, parser, "2025-03-01T00:00:00", 4)}
+    counts = {"bronze": layers.run_bronze(spark, str(root), bronze, parser, "2025-03-01T00:00:00", 4,
+                                          audit_path=str(out / "audit"))}
     counts |= layers.run_silver(spark, bronze, silver, as_of="2025-03-02")
     counts |= layers.run_gold(spark, silver, gold, as_of="2025-03-03 00:00:00")
     return counts, bronze, silver, gold
@@ -72,10 +73,22 @@ def test_counts(built):
     assert built[0] == {
         "bronze": {"pages": 18, "pages_blank": 9, "files_failed": 1, "files_empty": 1},
         "dim_exam": 3, "dim_file": 3, "dim_question": 6, "dim_answer": 24,
-        "fact_download": 3, "fact_qa": 24, "chat_examples": 6, "exam_stats": 3,
+        "fact_download": 3, "bad_dates": 0, "fact_qa": 24, "chat_examples": 6, "exam_stats": 3,
     }
 
 
+def test_files_are_audited(spark, built):
+    audit = built[1].removesuffix("bronze") + "audit"
+    files = {r.filename: r for r in spark.read.parquet(f"{audit}/files").collect()}
+    assert {f: r.status for f, r in files.items() if r.status != "ok"} == {
+        "broken-Reading-Test-Paper.pdf": "failed", "sample-Listening-Test-Paper.PDF": "empty"}
+    assert files["broken-Reading-Test-Paper.pdf"].error == "ValueError: cannot parse"
+    ok = files["sample-Reading-Test-Paper.pdf"]
+    assert (ok.n_pages, ok.n_blank, ok.error) == (6, 3, None)
+    folders = {tuple(r) for r in spark.read.parquet(f"{audit}/folders").collect()}
+    assert folders == {("102nd-papers", 3, 2), ("sample", 2, 1)}
+
+
 def test_pages(spark, built):
     pages = spark.read.parquet(built[1])
     assert pages.columns == S.PAGES_RAW.names
@@ -91,7 +104,8 @@ def test_examples(spark, built):
     # Nothing classifies the questions here, so the request cannot be worded.
     row = examples.first()
     assert [m.role for m in row.messages] == ["system", "user", "assistant"]
-    assert row.messages[1].content is None and "Option 4. " in row.messages[2].content
+    assert row.messages[1].content is None
+    assert "Option 1. 구두\nOption 2. 우산\nOption 3. 자전거" in row.messages[2].content
     stats = spark.read.parquet(f"{built[3]}/exam_stats").collect()
     assert {(r.total_questions, r.total_answers, r.avg_word_count_question) for r in stats} == {(2, 8, 8.0)}
 
@@ -156,6 +170,7 @@ def test_bad_dates(spark):
         star.fact_download(base).collect()
     row = star.fact_download(base, strict=False).first()
     assert row.download_date is None and str(row.bronze_processed_at) == "2025-01-01"
+    assert [tuple(r) for r in star.bad_dates(base).collect()] == [("d", "not a date")]
 
 
 def test_splits_are_disjoint_and_stable(spark):

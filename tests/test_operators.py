@@ -100,13 +100,13 @@ def test_pivot_slots_equals_pivot(spark):
     same(A.pivot_slots(df, ["q"], "s", [1, 2, 3, 4], "t", "answer_"), want)
 
 
-def test_ordered_collect_cuts_long_groups(hot):
-    ranked = W.number_rows(hot, ["k"], [c("i")], "n", {"_b": F.floor(c("i") / 1000)})
-    parts = A.ordered_collect(ranked, ["k"], "n", ["n"], "i", "items", part_size=100)
-    assert parts.agg(F.max(F.size("items"))).first()[0] == 100
-    long = [r for r in parts.filter("k = 0").orderBy("part").collect()]
-    flat = [x for r in long for x in r["items"]]
-    assert flat == sorted(flat) and len(flat) == 10_000
+def test_ordered_collect_has_one_shape(hot):
+    chunk = {"_b": F.floor(c("i") / 1000)}
+    rows = A.ordered_collect(hot, ["k"], [c("i")], "i", chunk=chunk)
+    assert rows.columns == ["k", "position", "i"] and rows.count() == 30_000
+    long = rows.filter("k = 0").orderBy("position").collect()
+    assert [r.position for r in long] == list(range(1, 10_001))
+    assert [r.i for r in long] == sorted(r.i for r in long)
 
 
 def test_category_maps_take_any_category(spark):
@@ -210,8 +210,8 @@ def test_keys_do_not_depend_on_partitioning(spark, hot):
 def test_no_python_and_no_cross_join_in_native_queries(spark, small):
     from quirework.queries import all_queries
 
-    hooks = {"extractor_hook", "parser_hook", "vectorized_text"}
-    writes = {"partition_scan", "written_counts", "refreshed_partition", "metadata_round_trip", "exported_splits"}
+    hooks = {"extractor_hook", "file_audit", "parser_hook", "vectorized_text"}
+    writes = {"partition_scan", "written_counts", "refreshed_partition", "metadata_round_trip", "broken_metadata", "exported_splits"}
     for name, (run, _) in all_queries().items():
         if name in hooks or name in writes:
             continue

@@ -79,6 +79,20 @@ def test_metadata_folders(spark, tmp_path):
     assert [tuple(r) for r in files] == [(f"{tmp_path}/odd +name%20/x.pdf", 2.5)]
 
 
+def test_broken_metadata_stops_or_is_reported(spark, tmp_path):
+    texts = {"good": '[{"filename": "a.pdf"}, {"filename": "b.pdf"}]', "none": "[]", "cut": '[{"filename": "c.pdf"}, {',
+             "object": '{"filename": "d.pdf"}', "numbers": "[1, 2]", "blank": "\n"}
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "metadata.json").write_text(text, encoding="utf-8")
+    broken = M.broken_metadata(spark, str(tmp_path)).collect()
+    assert {r.exam_folder for r in broken} == {"cut", "object", "numbers", "blank"}
+    with pytest.raises(Exception, match="no JSON metadata"):
+        M.read_metadata(spark, str(tmp_path)).collect()
+    rows = M.read_metadata(spark, str(tmp_path), strict=False).collect()
+    assert [(r.exam_folder, r.record, r.filename) for r in rows] == [("good", 0, "a.pdf"), ("good", 1, "b.pdf")]
+
+
 def test_metadata_sink_keeps_text_readable(spark, tmp_path):
     df = spark.createDataFrame([("한 글/x", "가나"), ("b", "é\n")], "exam_folder string, filename string")
     assert M.write_metadata(df, str(tmp_path / "m")) == 2
