@@ -6,6 +6,7 @@ from quirework.constants import SPACE, SYSTEM_PROMPT
 from quirework.functions.keys import hash_key
 from quirework.operators.aggregates import keep_first
 from quirework.operators.blocks import segment_pages
+from quirework.operators.model_output import parse_model_output
 from quirework.operators.windows import number_rows
 from quirework.plans import bronze, chat, star, stats
 from quirework.queries import derive as D
@@ -177,6 +178,76 @@ def chat_examples_by_key(spark, d):
     )
 
 
+# ---- From a model's replies to chat examples --------------------------------
+def _replies(spark, d):
+    """Each conversation turn as a page and the model's reply to it. Of five replies one is
+    plain JSON, one stands in prose, one is unsure, one is cut and one lacks an option."""
+    turns = D.table(spark, d, "conversations")
+    kind = (c("conv_id") + c("turn")) % 5
+
+    def option(i):
+        return F.struct(
+            F.concat(F.lit(f"보기 {i} "), c("role")).alias("answer_text"),
+            F.array(F.lit(f"낱말{i}")).alias("answer_vocabulary_items"),
+            F.array(c("role")).alias("answer_grammar_patterns"),
+        )
+
+    options = F.array(*[option(i) for i in range(1, 5)])
+    question = F.struct(
+        F.concat(F.lit("다음 글에 알맞은 제목을 하나만 고르십시오 "), c("turn").cast("string")).alias("question_text"),
+        F.concat(F.lit("지문 "), c("text")).alias("question_stimulus"),
+        F.when(kind == 4, F.slice(options, 1, 3)).otherwise(options).alias("answer_options"),
+        F.lit("reading comprehension").alias("question_type"),
+        F.array(F.lit("[제목]"), c("role")).alias("question_vocabulary_items"),
+        F.array(F.lit("-(으)ㄴ")).alias("question_grammar_patterns"),
+        F.lit("신문").alias("topic"),
+        F.lit("medium").alias("difficulty_level"),
+        F.when(kind == 2, 0.25).otherwise(0.75).alias("confidence"),
+    )
+    reply = F.to_json(F.struct(F.array(question).alias("questions")))
+    raw = (
+        F.when(kind == 1, F.concat(F.lit("Here you are: "), reply, F.lit(" That is all.")))
+        .when(kind == 3, F.substring(reply, F.lit(1), F.length(reply) - 4))
+        .otherwise(reply)
+    )
+    return turns.select(
+        c("conv_id").cast("string").alias("exam_id"), c("turn").cast("int").alias("page_number"), raw.alias("raw")
+    )
+
+
+def _model_questions(spark, d):
+    return star.reliable_questions(parse_model_output(_replies(spark, d), "raw"))
+
+
+def model_dim_question(spark, d):
+    flat = star.dim_question(_model_questions(spark, d))
+    items = ("question_vocabulary_items", "question_grammar_patterns")
+    return flat.withColumns({name: F.array_join(name, "|") for name in items})
+
+
+def model_dim_answer(spark, d):
+    flat = star.dim_answer(_model_questions(spark, d), with_position=True)
+    items = ("answer_vocabulary_items", "answer_grammar_patterns")
+    return flat.withColumns({name: F.array_join(name, "|") for name in items})
+
+
+def model_chat_examples(spark, d):
+    exams = D.table(spark, d, "conversations").select(
+        c("conv_id").cast("string").alias("exam_id"),
+        F.when(c("conv_id") % 2 == 0, "TOPIK I").otherwise("TOPIK II").alias("topik_level"),
+    )
+    questions = _model_questions(spark, d)
+    return _flat(
+        chat.chat_examples(
+            exams.distinct(),
+            star.dim_question(questions),
+            star.dim_answer(questions, with_position=True),
+            option_order=["option_pos"],
+            drop_incomplete=True,
+        )
+    )
+
+
 def answer_order(spark, d):
     """Rank by key."""
     unique = _order_answers(spark, d).select("question_id", "answer_id").distinct()
@@ -212,10 +283,23 @@ def split_and_gate(spark, d):
 _ORDER = ", ".join(D.OPTION_ORDER)
 
 
-def _examples_sql(options: str, where: str = "") -> str:
+_ORDERS_SQL = f"""WITH e AS ({D.as_sql('customer', D.EXAMS)}), q AS ({D.as_sql('orders', D.QUESTIONS)}),
+      a AS ({D.as_sql('lineitem', D.ANSWERS)})"""
+_REPLIES_SQL = """WITH t AS (SELECT CAST(conv_id AS VARCHAR) AS exam_id, CAST(turn AS INTEGER) AS page_number,
+    conv_id, role, '다음 글에 알맞은 제목을 하나만 고르십시오 ' || turn AS raw_question_text,
+    '지문 ' || text AS question_stimulus FROM conversations WHERE (conv_id + turn) % 5 IN (0, 1)),
+  q AS (SELECT *, sha256(concat_ws('||', exam_id, page_number, raw_question_text, question_stimulus))
+      AS question_id, 'reading comprehension' AS question_type, '신문' AS topic,
+    'medium' AS difficulty_level, CAST(0.75 AS FLOAT) AS confidence FROM t),
+  a AS (SELECT question_id, role, i, '보기 ' || i || ' ' || role AS raw_answer_text
+    FROM q, (VALUES (1), (2), (3), (4)) v(i)),
+  e AS (SELECT DISTINCT CAST(conv_id AS VARCHAR) AS exam_id,
+    CASE WHEN conv_id % 2 = 0 THEN 'TOPIK I' ELSE 'TOPIK II' END AS topik_level FROM conversations)"""
+
+
+def _examples_sql(options: str, where: str = "", tables: str = _ORDERS_SQL) -> str:
     prompt = SYSTEM_PROMPT.replace("'", "''")
-    return f"""WITH e AS ({D.as_sql('customer', D.EXAMS)}), q AS ({D.as_sql('orders', D.QUESTIONS)}),
-      a AS ({D.as_sql('lineitem', D.ANSWERS)}), {options},
+    return f"""{tables}, {options},
       p AS (SELECT question_id, max(raw_answer_text) FILTER (n = 1) AS o1,
         max(raw_answer_text) FILTER (n = 2) AS o2, max(raw_answer_text) FILTER (n = 3) AS o3,
         max(raw_answer_text) FILTER (n = 4) AS o4 FROM r GROUP BY 1),
@@ -324,6 +408,27 @@ QUERIES = {
             "WHERE content_1 IS NOT NULL AND content_2 IS NOT NULL",
         ),
     ),
+    "model_dim_question": (
+        model_dim_question,
+        f"""{_REPLIES_SQL} SELECT question_id, exam_id, page_number, question_type, raw_question_text,
+        question_stimulus, '[제목]|' || role AS question_vocabulary_items,
+        '-(으)ㄴ' AS question_grammar_patterns, topic, difficulty_level, confidence FROM q""",
+    ),
+    "model_dim_answer": (
+        model_dim_answer,
+        f"""{_REPLIES_SQL} SELECT sha256(question_id || '||' || raw_answer_text) AS answer_id,
+        question_id, raw_answer_text, CAST(NULL AS BOOLEAN) AS is_correct,
+        '낱말' || i AS answer_vocabulary_items, role AS answer_grammar_patterns,
+        CAST(i - 1 AS INTEGER) AS option_pos FROM a""",
+    ),
+    "model_chat_examples": (
+        model_chat_examples,
+        _examples_sql(
+            "r AS (SELECT *, i AS n FROM a)",
+            "WHERE content_1 IS NOT NULL AND content_2 IS NOT NULL",
+            _REPLIES_SQL,
+        ),
+    ),
     "exam_stats": (
         exam_stats,
         f"""WITH q AS ({D.as_sql('orders', D.QUESTIONS)}), a AS ({D.as_sql('lineitem', D.ANSWERS)}),
