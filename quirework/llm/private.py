@@ -27,6 +27,8 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 DAYS = (LAST_DAY - FIRST_DAY).days + 1
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
+#: Values told by their form alone. They are looked for before runs of digit groups, so that
+#: a number beside one is not joined to it.
 KINDS = re.compile(
     r"""
     (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-]))
@@ -34,10 +36,25 @@ KINDS = re.compile(
   | (?P<date>(?<![\w./-])(?:[0-9]{4}(?P<d1>[-/.])[0-9]{2}(?P=d1)[0-9]{2}|[0-9]{2}(?P<d2>[-/.])[0-9]{2}(?P=d2)[0-9]{4})(?![\w/-]|\.[0-9]))
   | (?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9]))
   | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
-  | (?P<digits>(?<![\w+])(?:\+|\()?[0-9](?:[ ().-]{0,2}[0-9]){6,18}(?!\w))
     """,
     re.VERBOSE,
 )
+#: Groups of digits with up to two signs between them, as many as there are.
+RUN = re.compile(r"(?<![\w+])[+(]?[0-9](?:[ ().-]{0,2}[0-9]){6,}")
+GROUP = re.compile("[0-9]+")
+#: A telephone number that goes on with what looks like a social security number.
+DIALLED = re.compile(r"\+[0-9][0-9 ().-]{0,8}$")
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 
 def permuted(x: int, size: int, key: bytes, kind: str) -> int:
@@ -74,13 +91,18 @@ def digits_of(digits: str, key: bytes, kind: str) -> str:
     return f"{permuted(int(digits), 10 ** len(digits), key, f'{kind}{len(digits)}'):0{len(digits)}}"
 
 
-def card_or_phone(text: str, key: bytes) -> str | None:
+def card(text: str, key: bytes) -> str | None:
     digits = "".join(filter(is_digit, text))
     if 13 <= len(digits) <= 19 and luhn_digit(digits[:-1]) == digits[-1]:
         body = digits_of(digits[:-1], key, "card")
         return shaped(text, body + luhn_digit(body), is_digit)
-    # Plain runs of digits, decimals and lists of small numbers are no telephone numbers.
-    groups = re.findall("[0-9]+", text)
+    return None
+
+
+def phone(text: str, key: bytes) -> str | None:
+    """Plain runs of digits, decimals and lists of small numbers are no telephone numbers."""
+    groups = GROUP.findall(text)
+    digits = "".join(groups)
     marked = text[0] in "+(" or len(groups) > 2
     if 7 <= len(digits) <= 15 and marked and all(len(g) > 1 for g in groups[1:]):
         return shaped(text, digits_of(digits, key, "phone"), is_digit)
@@ -155,22 +177,137 @@ def email(text: str, key: bytes) -> str:
     return f"{name}@{domain.lower()}"
 
 
-MAKERS = {"email": email, "iban": iban, "date": date, "ip": ip, "ssn": ssn, "digits": card_or_phone}
+MAKERS = {"email": email, "iban": iban, "date": date, "ip": ip, "ssn": ssn}
 
 
-def pseudonymised(text: str | None, key: bytes) -> tuple[str | None, int]:
-    """The text with pseudonyms, and how many values were replaced."""
-    count = 0
+def iban_within(text: str, key: bytes) -> tuple[int, str | None]:
+    """Where the IBAN at the start ends, and its pseudonym; of a country's length if that is known."""
+    ends = [n for n, c in enumerate(text, 1) if c != " " and not text[n : n + 1].isalnum()]
+    length = IBAN_LENGTHS.get(text[:2].upper())
+    fits = [n for n in ends if length in (None, n - text.count(" ", 0, n))]
+    for end in [*reversed(fits), *ends[-1:]]:
+        if new := iban(text[:end], key):
+            return end, new
+    return (fits[-1] if length and fits else 0), None
+
+
+def card_shaped(sizes: list[int]) -> bool:
+    return len(sizes) == 1 or sizes in ([4, 6, 5], [4, 6, 4]) or (set(sizes[:-1]) == {4} and sizes[-1] <= 4)
 
-    def replace(found: re.Match) -> str:
-        nonlocal count
-        new = MAKERS[found.lastgroup if found.lastgroup in MAKERS else "date"](found[0], key)
-        if new is None:
-            return found[0]
-        count += 1
-        return new
 
-    return (None, 0) if text is None else (KINDS.sub(replace, text), count)
+def in_run(text: str, start: int, end: int, key: bytes, phones: bool) -> list[tuple[int, int, str]]:
+    """The cards and telephone numbers in a run of digit groups, each of whole groups.
+
+    Cards as they are printed come first, then the rest of the run as a whole, telephone
+    numbers with a sign in front, other Luhn numbers, and parts between blanks.
+    """
+    groups = [m.span() for m in GROUP.finditer(text, start, end)]
+    if re.match(r"\w", text[end : end + 1]):
+        groups.pop()
+    begins = [a - (a > start and text[a - 1] in "+(") for a, _ in groups]
+    sizes = [b - a for a, b in groups]
+    found, gaps = [], [(0, len(groups))]
+
+    def windows(i, last, most):
+        """Ends of windows from group i, the longest first."""
+        ends, digits = [], 0
+        for j in range(i, last):
+            digits += sizes[j]
+            if digits > most:
+                break
+            if digits >= 7:
+                ends.append(j + 1)
+        return ends[::-1]
+
+    def loose(i, last):
+        """A border of groups at a blank or at the end of the run."""
+        return i in (0, last, len(groups)) or " " in text[groups[i - 1][1] : groups[i][0]]
+
+    def one_number(i, last):
+        """Where a bracket opens the next telephone number; one after a country code does not."""
+        return next((j for j in range(i + 1, last) if text[begins[j]] == "(" and (j > i + 1 or text[begins[i]] != "+")), last)
+
+    def printed_card(i, first, last):
+        ends = [j for j in windows(i, last, 19) if card_shaped(sizes[i:j])]
+        for j in sorted(ends, key=lambda j: (j - i != 1, sizes[i:j] != [4] * 4)):
+            yield j, card
+
+    def whole(i, first, last):
+        if i == first and sum(sizes[i:last]) <= 19:
+            yield last, card
+            if phones and one_number(i, last) == last:
+                yield last, phone
+
+    def marked_phone(i, first, last):
+        if phones and text[begins[i]] in "+(":
+            for j in sorted(windows(i, one_number(i, last), 15), key=lambda j: not loose(j, last)):
+                yield j, phone
+
+    def other_card(i, first, last):
+        for j in windows(i, last, 19):
+            if min(sizes[i:j]) > 2:
+                yield j, card
+
+    def part(i, first, last):
+        if phones and loose(i, last):
+            j = next((j for j in range(i + 1, last + 1) if loose(j, last)), last)
+            if sum(sizes[i:j]) <= 15:
+                yield j, phone
+
+    for finder in (printed_card, whole, marked_phone, other_card, part):
+        left = []
+        for first, last in gaps:
+            i = begin = first
+            while i < last:
+                for j, maker in finder(i, begin, last):
+                    if new := maker(text[begins[i] : groups[j - 1][1]], key):
+                        found.append((begins[i], groups[j - 1][1], new))
+                        left.append((begin, i))
+                        i = begin = j
+                        break
+                else:
+                    i += 1
+            left.append((begin, last))
+        gaps = [(a, b) for a, b in left if sum(sizes[a:b]) >= 7]
+    return found
+
+
+def pseudonymised(text: str | None, key: bytes) -> tuple[str | None, int]:
+    """The text with pseudonyms, and how many values were replaced."""
+    if text is None:
+        return None, 0
+    # Spans with their pseudonym, or None: a wrong value, which is not part of another either.
+    spans, typos, at = [], [], 0
+    while found := KINDS.search(text, at):
+        (start, end), kind = found.span(), found.lastgroup
+        kind = kind if kind in MAKERS else "date"
+        at = end
+        if kind == "iban":
+            length, new = iban_within(found[0], key)
+            end = start + length
+            if new is None:
+                typos.append((start, end))
+                at = start + 2
+                continue
+            at = end
+        elif kind == "ssn" and DIALLED.search(text[max(0, start - 10) : start]):
+            continue
+        else:
+            new = MAKERS[kind](found[0], key)
+        spans.append((start, end, new))
+    out, before = list(spans), 0
+    for start, end, _ in [*spans, (len(text), 0, None)]:
+        while run := RUN.search(text, before, start):
+            before = run.end()
+            phones = not any(a <= run.start() < b for a, b in typos)
+            out += in_run(text, *run.span(), key, phones)
+        before = end
+    out = sorted(x for x in out if x[2] is not None)
+    pieces, before = [], 0
+    for start, end, new in out:
+        pieces += [text[before:start], new]
+        before = end
+    return "".join([*pieces, text[before:]]), len(out)
 
 
 def pseudonyms(

@@ -58,3 +58,25 @@ def test_query_and_odd_texts(spark, small, docs_of):
     got = p.pseudonyms(odd, "key").collect()
     assert sorted((r.id or 0, r.n_values) for r in got) == [(0, 0), (1, 0), (2, 0), (2, 1)]
     assert p.pseudonyms(odd.limit(0), "key").count() == 0
+
+
+CARD, DAY = "4845168114407329", "2024-02-29"
+NEIGHBOURS = [
+    ("card {} 12 items", [CARD]), ("{}. 3 days", [CARD]), ("room 12 {}", [CARD]), ("call {} {}", ["(017) 555-7713", DAY]),
+    ("page 7 {}", ["123-45-6789"]), ("12 {}", [DAY]), ("pay {} USD", ["BE68 5390 0754 7034"]), ("{} {}", [CARD, "4845-1681-1440-7329"]),
+    ("12 34 {} 5", ["4845 1681 1440 7329"]), ("4 {} 12", ["97.51.17.173"]), ("AB12 {}", [CARD]), ("x 123 {}", ["4567890@x.org"]),
+    ("{} {}", [DAY, CARD]), ("12 {} 2000 30 40 50", ["017-555-7713"]), ("{} {} {}", ["(017) 555-7713", "(018) 555-7713", "123-45-6789"]),
+]
+
+
+@pytest.mark.parametrize("form, values", NEIGHBOURS)
+def test_neighbours_are_told_apart(form, values):
+    """Each value has the pseudonym that it has alone."""
+    alone = [p.pseudonymised(v, KEY)[0] for v in values]
+    assert all(a != v for a, v in zip(alone, values, strict=True))
+    assert p.pseudonymised(form.format(*values), KEY) == (form.format(*alone), len(values))
+
+
+@pytest.mark.parametrize("text", ["10 20 30 40 50 60 70 80 90", "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "7 000-45-6789", "12 2023-02-29"])
+def test_lists_and_wrong_values_stay(text):
+    assert p.pseudonymised(text, KEY) == (text, 0)
