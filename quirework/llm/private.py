@@ -32,8 +32,10 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 KINDS = re.compile(
     r"""
     (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-]))
-  | (?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))
-  | (?P<date>(?<![\w./-])(?:[0-9]{4}(?P<d1>[-/.])[0-9]{2}(?P=d1)[0-9]{2}|[0-9]{2}(?P<d2>[-/.])[0-9]{2}(?P=d2)[0-9]{4})(?![\w/-]|\.[0-9]))
+  | (?P<iban>(?<!\w)[A-Za-z]{2}[0-9]{2}(?:[ ]?[A-Za-z0-9]{4}){2,7}(?:[ ]?[A-Za-z0-9]{1,3})?(?!\w))
+  | (?P<date>(?:(?<![\w./-])|(?<=[0-9]{7}-))
+      (?:[0-9]{4}(?P<d1>[-/.])[0-9]{1,2}(?P=d1)[0-9]{1,2}|[0-9]{1,2}(?P<d2>[-/.])[0-9]{1,2}(?P=d2)[0-9]{4})
+      (?:(?![\w/-]|\.[0-9])|(?=[Tt][0-9]{2})|(?=-[0-9]{7})))
   | (?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9]))
   | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
     """,
@@ -100,12 +102,21 @@ def card(text: str, key: bytes) -> str | None:
 
 
 def phone(text: str, key: bytes) -> str | None:
-    """Plain runs of digits, decimals and lists of small numbers are no telephone numbers."""
+    """Plain runs of digits, decimals and lists of small numbers are no telephone numbers.
+
+    Two groups are one if the first is an area code with its leading 0. A number that starts
+    with 0 has a pseudonym that does, and no other has, however they are punctuated.
+    """
     groups = GROUP.findall(text)
     digits = "".join(groups)
-    marked = text[0] in "+(" or len(groups) > 2
+    trunk = len(groups) == 2 and groups[0][0] == "0" and 3 <= len(groups[0]) <= 6 and len(groups[1]) > 3
+    marked = text[0] in "+(" or len(groups) > 2 or trunk
     if 7 <= len(digits) <= 15 and marked and all(len(g) > 1 for g in groups[1:]):
-        return shaped(text, digits_of(digits, key, "phone"), is_digit)
+        if digits[0] == "0":
+            return shaped(text, "0" + digits_of(digits[1:], key, "phone0"), is_digit)
+        least = 10 ** (len(digits) - 1)
+        number = least + permuted(int(digits) - least, 9 * least, key, "phone")
+        return shaped(text, str(number), is_digit)
     return None
 
 
@@ -132,7 +143,8 @@ def date(text: str, key: bytes) -> str | None:
             continue
         if FIRST_DAY <= day <= LAST_DAY:
             moved = FIRST_DAY + datetime.timedelta(permuted((day - FIRST_DAY).days, DAYS, key, "date"))
-            return moved.strftime(form).replace("-", sign)
+            new = moved.strftime(form).split("-")
+            return sign.join(n if len(p) > 1 else n.lstrip("0") for n, p in zip(new, parts, strict=True))
     return None
 
 
@@ -253,6 +265,8 @@ def in_run(text: str, start: int, end: int, key: bytes, phones: bool) -> list[tu
             j = next((j for j in range(i + 1, last + 1) if loose(j, last)), last)
             if sum(sizes[i:j]) <= 15:
                 yield j, phone
+            if j < last and loose(j + 1, last) and text[begins[i]] == "0":
+                yield j + 1, phone
 
     for finder in (printed_card, whole, marked_phone, other_card, part):
         left = []

@@ -80,3 +80,26 @@ def test_neighbours_are_told_apart(form, values):
 @pytest.mark.parametrize("text", ["10 20 30 40 50 60 70 80 90", "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "7 000-45-6789", "12 2023-02-29"])
 def test_lists_and_wrong_values_stay(text):
     assert p.pseudonymised(text, KEY) == (text, 0)
+
+
+COMMON = [
+    (DAY, DAY + "T10:15:00", "T10:15:00"), (DAY, DAY + " 10:15:00", " 10:15:00"), (DAY, DAY + "t10:15", "t10:15"),
+    (CARD + "-" + DAY, "", ""), ("1/5/2024", "", ""), ("2024-1-5", "", ""), ("1.12.2024", "", ""), ("030 1234567", "", ""),
+    ("0171-5557713", "", ""), ("gb82 west 1234 5698 7654 32", "", ""), ("be68539007547034", "", ""),
+]
+
+
+@pytest.mark.parametrize("value, text, rest", COMMON)
+def test_common_forms(value, text, rest):
+    new, n = p.pseudonymised(f"id {text or value} is", KEY)
+    assert n == 1 + (CARD in value) and new.endswith(f"{rest} is") and value not in new
+    assert p.pseudonymised(new, KEY)[1] == n
+
+
+def test_forms_of_a_value_stay_linked():
+    new = lambda t: p.pseudonymised(t, KEY)[0]
+    numbers = lambda t: [int(x) for x in t.split("/")]
+    assert numbers(new("1/5/2024")) == numbers(new("01/05/2024"))
+    assert new(f"{CARD}-{DAY}") == f"{new(CARD)}-{new(DAY)}" and new(DAY + "T10:15") == new(DAY) + "T10:15"
+    assert new("030 1234567") == new("(030) 1234567").replace("(", "").replace(")", "")
+    assert new("be68539007547034").upper() == new("BE68 5390 0754 7034").replace(" ", "")
