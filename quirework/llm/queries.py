@@ -83,7 +83,7 @@ def op6_window_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    manifest = tokens.write_tokens(docs, tokenizer_path())
+    manifest = tokens.write_tokens(docs, tokenizer_path(), added_tokens=True)
     return tokens.read_tokens(manifest, docs).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

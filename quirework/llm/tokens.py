@@ -63,10 +63,11 @@ class WordEncoder:
     something else than white space. So a text is cut there, and each piece has the same
     ids wherever it stands. The pieces of the last `memory` to twice as many different ones
     are kept. New ones go through the library's own pre-tokenizer and model. Strings of
-    special tokens in a text are ordinary text.
+    added tokens in a text are ordinary text, or, with `added`, get their own ids: a text
+    that holds one is encoded by the library as a whole.
     """
 
-    def __init__(self, path: str, memory: int = 300_000):
+    def __init__(self, path: str, memory: int = 300_000, added: bool = False):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -75,6 +76,8 @@ class WordEncoder:
             raise ValueError("the tokenizer must be byte-level, without a normalizer")
         if whole.pre_tokenizer.add_prefix_space or not whole.pre_tokenizer.use_regex:
             raise ValueError("the tokenizer must split by its pattern, without a prefix space")
+        names = [t.content for t in whole.get_added_tokens_decoder().values()] if added else []
+        self.whole, self.named = whole, re.compile("|".join(map(re.escape, names))).search if names else None
         self.model, self.split = whole.model, whole.pre_tokenizer.pre_tokenize_str
         self.type = np.dtype("<u2" if whole.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
         size = self.type.itemsize
@@ -129,6 +132,8 @@ class WordEncoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.named and self.named(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.type).tobytes()
         first, *rest = text.split(" ")
         try:
             found = b"".join(map(self.after.__getitem__, rest))
@@ -138,14 +143,14 @@ class WordEncoder:
         return self.bytes_of([p for p, _ in self.split(first)]) + found
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, added: bool = False) -> WordEncoder:
     """One for each Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = WordEncoder(path, added=added)
+    return _ENCODERS[path, added]
 
 
 # The index ----------------------------------------------------------------------------
@@ -259,16 +264,19 @@ def write_tokens(
     end_id: int | None = 2,
     shard_bytes: int = 256 << 20,
     folder: str | None = None,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Write all documents' ids and indexes; returns the manifest, a written table.
 
     A null text has no ids but the end. Equal ids, null ones too (they come first), are
     told apart by their number in order of their texts. An empty table gives no shards.
+    With `added_tokens`, strings of added tokens get their ids, as in the library's plain
+    call; else they are ordinary text.
     """
     folder = folder or new_folder(docs.sparkSession, "tokens")
 
     def write(batches):
-        encode, end = encoder(tokenizer_path), b""
+        encode, end = encoder(tokenizer_path, added_tokens), b""
         if end_id is not None:
             end = np.array([end_id], encode.type).tobytes()
         part, seq, last = TaskContext.get().partitionId(), 0, (None, 0)

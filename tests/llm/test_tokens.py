@@ -74,3 +74,18 @@ def test_memory_of_words_may_run_over(plain):
     small_memory = tokens.WordEncoder(PATH, memory=3)
     text = "one two, three four five one two six seven"
     assert np.frombuffer(small_memory(text), small_memory.type).tolist() == plain(text)[:-1]
+
+
+def test_query_and_stage_give_added_tokens_their_ids(spark, docs_of, tmp_path):
+    """Against the library's plain call, without encode_special_tokens."""
+    import corpus_pipeline
+
+    whole = Tokenizer.from_file(PATH)
+    ids = lambda t: whole.encode(t or "", add_special_tokens=False).ids + [2]
+    assert ids("x<|endoftext|>y") == [87, 50256, 88, 2]
+    docs = docs_of([(n, t, "en", "s") for n, t in enumerate(ODD)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = expected(list(enumerate(ODD)), ids)
+    assert sorted(tuple(r) for r in op7_token_shards(spark, str(tmp_path)).collect()) == want
+    rows = corpus_pipeline.token_output(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows) == want
