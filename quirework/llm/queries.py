@@ -41,7 +41,8 @@ def op1_attention_mil(spark: SparkSession, folder: str) -> DataFrame:
 def op2_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     archives = warc.normalise(warc.write_archives(table(spark, folder, "pages")))
     records = written(warc.read_records(archives, with_payload=False).drop("payload"), "records")
-    number = lambda c: F.regexp_extract(c, r"page:(-?\d+)", 1).cast("long")
+    # A page without an id has no number in its record's name.
+    number = lambda c: F.regexp_extract(c, r"page:(-?\d+)", 1).try_cast("long")
     return warc.resolved(records).select(
         number(F.col("record_id")).alias("page_id"),
         "payload_bytes",

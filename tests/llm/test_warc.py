@@ -92,3 +92,13 @@ def test_normalising_members_is_the_same(spark, tmp_path):
     (tmp_path / "many.warc.gz").write_bytes(b"".join(map(gzip.compress, data)))
     frame = spark.createDataFrame([(str(tmp_path / "many.warc.gz"),)], "uri string")
     assert sorted(r.payload_bytes for r in warc.read_records(warc.normalise(frame)).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_query_keeps_a_page_without_an_id(spark, small, tmp_path):
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet(f"{small}/pages.parquet").limit(20)
+    least = pages.agg(F.min("page_id")).first()[0]
+    pages.withColumn("page_id", F.nullif("page_id", F.lit(least))).write.parquet(f"{tmp_path}/pages.parquet")
+    rows = op2_warc_members(spark, str(tmp_path)).collect()
+    assert len(rows) == 20 and sum(r.page_id is None for r in rows) == 1
