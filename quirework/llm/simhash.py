@@ -301,7 +301,9 @@ def near_duplicates(
     return prints.join(by_print, "fingerprint").select("id", "tag", "fingerprint", "component_id", "group")
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def first_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups=near_duplicates, **options
+) -> DataFrame:
     """One row of each group of near-duplicates, as it is: that with the smallest id.
 
     Of rows that share this id, that with the smallest fingerprint and hash of its text
@@ -309,7 +311,7 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     order = F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "fingerprint", "tag")
     kept = (
-        near_duplicates(docs, id_col, text_col, **options)
+        groups(docs, id_col, text_col, **options)
         .groupBy("group")
         .agg(F.min(order).alias("first"))
         .select("first.id", "first.tag")
