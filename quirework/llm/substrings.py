@@ -309,15 +309,17 @@ def without_repeats(
     (without `with_text`: the SHA-256 of that). One row for each input row. Windows are
     judged on the input. Rows that share an id are not repeats of each other. Rows without
     an id come after all others, in an order of their texts' hashes; their id stays null.
-    A null text has no words. Of texts that are the same as a whole, those after the first
+    An id of 2**62 or more is an error. A null text has no words. Of texts that are the same as a whole, those after the first
     are settled by a digest of the text and take no further part.
 
     The text is shuffled once, by id; the three passes that need it read that shuffle.
     """
     tag = F.xxhash64("text")
+    number = F.col(id_col).cast("long")
+    too_large = F.raise_error(F.lit(f"without_repeats: ids of {UNNUMBERED} and above are not supported")).cast("long")
     base = docs.select(
         F.coalesce(
-            F.col(id_col).cast("long"),
+            F.when(number >= UNNUMBERED, too_large).otherwise(number),
             F.lit(UNNUMBERED) + F.shiftrightunsigned(F.xxhash64(F.col(text_col)), 3),
         ).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),

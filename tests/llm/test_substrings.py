@@ -95,3 +95,10 @@ def test_hashes_do_not_depend_on_where_a_text_is_cut():
     for word, h in zip([b"a", *text.split(), b"b", b"a"], whole.tolist(), strict=True):
         assert by_word.setdefault(word, h) == h
     assert len(set(by_word.values())) == len(by_word)
+
+
+def test_ids_that_would_be_lost_are_an_error(spark, docs_of):
+    rows = lambda i: substrings.without_repeats(docs_of([(i, "some words", None, None)])).collect()
+    assert [r.id for r in rows(2**62 - 1)] == [2**62 - 1]
+    with pytest.raises(Exception, match="not supported"):
+        rows(2**62)
