@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import decontaminate, mixing, quality, shingles, simhash, tokens
+from quirework.llm import decontaminate, mixing, quality, simhash, tokens
 from quirework.llm.queries import LEAST_QUALITY, quality_model, table, tokenizer_path
 from quirework.llm.shared import new_folder
 
@@ -16,8 +16,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8): that with the smallest id."""
-    return simhash.first_of_each(docs, groups=shingles.near_copies)
+    """One document of each group of near copies (4-word shingles, 4 bits): that with the smallest id."""
+    return simhash.first_of_each(docs, words=4, radius=4)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +40,13 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality classifier", good_quality),
-    ("near-dedup by word shingles", one_of_each),
+    ("SimHash near-dedup", one_of_each),
     ("benchmark decontamination", without_benchmark),
     ("mixing sources to target weights", mixed_sources),
-    ("token output", token_output),
+    ("token-ID / binary output", token_output),
 ]
 
-#: SQL has no tokenizer, classifier or MinHash: tests hold the stages against plain versions.
+#: SQL has no tokenizer, classifier or XXH64 bits: tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
