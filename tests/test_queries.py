@@ -2,7 +2,6 @@
 
 import check_queries
 import pytest
-from conftest import SMALL
 
 import __spark_entry__ as entry_module
 from quirework.queries import all_queries
@@ -11,14 +10,14 @@ QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")
-def database():
-    return check_queries.database(SMALL)
+def database(small):
+    return check_queries.database(small)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_sql(spark, database, name):
+def test_query_equals_sql(spark, small, database, name):
     run, sql = QUERIES[name]
-    assert check_queries.compare(spark, database, run, sql, SMALL) is None
+    assert check_queries.compare(spark, database, run, sql, small) is None
 
 
 def test_entry(spark):
