@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm import decontaminate, language, lattice, mixing, private, quality, simhash, substrings, tokens, warc
+from quirework.llm import (
+    codes,
+    decontaminate,
+    language,
+    lattice,
+    mixing,
+    private,
+    quality,
+    resample,
+    shards,
+    simhash,
+    sql,
+    substrings,
+    tokens,
+    warc,
+)
 from quirework.llm.shared import written
 
 
@@ -103,45 +118,37 @@ def op10_capped_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-#: Water-filling by the level at which the targets fill up; see `mixing.water_fill`.
-OP10_SQL = r"""
-WITH sized AS (
-  SELECT doc_id, source,
-         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS hash
-  FROM documents),
-weighed AS (
-  SELECT source, sum(size)::BIGINT AS source_size,
-         ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight
-  FROM sized GROUP BY source),
-levels AS (
-  SELECT *, source_size * 3.0::DOUBLE AS cap, source_size * 3.0::DOUBLE / weight AS ratio,
-         (sum(source_size) OVER ()
-          - coalesce(sum(source_size * 3) OVER (ORDER BY source_size * 3.0::DOUBLE / weight,
-              source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
-         / sum(weight) OVER (ORDER BY source_size * 3.0::DOUBLE / weight, source NULLS LAST
-              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-  FROM weighed),
-targets AS (
-  SELECT source, source_size,
-         least(cap, (SELECT max(level) FROM levels WHERE level <= ratio) * weight) AS target
-  FROM levels),
-placed AS (
-  SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words,
-         coalesce(sum(size) OVER (PARTITION BY source ORDER BY hash, doc_id
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM sized JOIN targets USING (source)),
-parts AS (
-  SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS whole,
-         CASE WHEN source_size > 0 THEN words % source_size ELSE 0 END AS rest
-  FROM placed),
-cuts AS (
-  SELECT *, least(greatest(rest - before, 0), size) AS extra FROM parts)
-SELECT doc_id, size, source_size, target,
-       (whole * size + extra)::BIGINT AS taken,
-       (whole + CASE WHEN extra = size AND size > 0 THEN 1 ELSE 0 END)::BIGINT AS copies
-FROM cuts
-"""
+def op11_lpt_heap(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.sharded(table(spark, folder, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id",
+        shards.byte_size(F.col("text")).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_bitmask_codes(spark: SparkSession, folder: str) -> DataFrame:
+    rows, books = codes.compressed(table(spark, folder, "embeddings"))
+    return rows.select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op13_automaton_resample(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resample.resampled(docs, items).select(
+        F.col("id").alias("doc_id"), "n_features", "weight", "score", F.col("rank").cast("long").alias("rank")
+    )
+
 
 QUERIES = {
     "op1_attention_mil": (op1_attention_mil, None),
@@ -153,5 +160,8 @@ QUERIES = {
     "op7_token_shards": (op7_token_shards, None),
     "op8_simhash_pigeonring": (op8_simhash_pigeonring, None),
     "op9_cover_anchors": (op9_cover_anchors, None),
-    "op10_capped_mix": (op10_capped_mix, OP10_SQL),
+    "op10_capped_mix": (op10_capped_mix, sql.OP10),
+    "op11_lpt_heap": (op11_lpt_heap, sql.OP11),
+    "op12_bitmask_codes": (op12_bitmask_codes, sql.OP12),
+    "op13_automaton_resample": (op13_automaton_resample, sql.OP13),
 }

@@ -7,6 +7,7 @@ import uuid
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quirework.session import shared_folder
 
@@ -27,6 +28,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_hot_key(rows: DataFrame, groups: DataFrame, key: str, share: int = 4096) -> DataFrame:
+    """Each row with the columns of its group. `groups`: one row for each `key`, `n` (its rows).
+
+    Groups of more than 1/`share` of all rows, fewer than `share` of them whatever the table's
+    size, are broadcast, so that their rows aren't shuffled; the others meet by a shuffled join,
+    in which none has more than that share. Null keys are equal. Both sides are read twice.
+    """
+    total = groups.agg(F.sum("n").alias("n")).first().n or 0
+    found = groups.withColumnsRenamed({key: "group_key", "n": "group_n"})
+    hot = F.col("group_n") * share > total
+    same = F.col(key).eqNullSafe(F.col("group_key"))
+    large, small = found.where(hot).drop("group_n"), found.where(~hot).drop("group_n")
+    near = rows.join(F.broadcast(large), same).drop("group_key")
+    far = rows.join(F.broadcast(large.select("group_key")), same, "left_anti").join(small, same).drop("group_key")
+    return near.unionByName(far)
+
+
 def located(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
     if uri.startswith("file:"):

@@ -8,6 +8,9 @@ BOUNDED = {
     "tokens.py": 1,  # the list of shards
     "language.py": 1,  # the model
     "quality.py": 1,  # the training sample
+    "codes.py": 3,  # the first vectors, and the codebook sums
+    "resample.py": 1,  # counts by bucket
+    "shards.py": 1,  # bins of all parts
 }
 
 
