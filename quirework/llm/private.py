@@ -11,11 +11,14 @@ Texts stay where they are read; there is no shuffle and no table of values.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
+import itertools
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +29,8 @@ ROUNDS = 8
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 DAYS = (LAST_DAY - FIRST_DAY).days + 1
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: Names of more letters and digits are permuted place by place, not as one number.
+MOST_SYMBOLS = 40
 
 #: Values told by their form alone. They are looked for before runs of digit groups, so that
 #: a number beside one is not joined to it.
@@ -74,6 +79,30 @@ def permuted(x: int, size: int, key: bytes, kind: str) -> int:
             return x
 
 
+def stream(data: bytes, key: bytes, n: int) -> np.ndarray:
+    """`n` keyed numbers that depend on all of `data`: a digest of it, hashed with a counter."""
+    seed = hashlib.blake2b(data, key=key).digest()
+    blocks = (hashlib.blake2b(seed + k.to_bytes(8, "little"), key=key).digest() for k in range(-(-n // 8)))
+    return np.frombuffer(b"".join(blocks), "<u8")[:n]
+
+
+def permuted_places(values: np.ndarray, sizes: np.ndarray, key: bytes, kind: str) -> np.ndarray:
+    """A keyed permutation of sequences that have a number below its size at each place.
+
+    A Feistel network over the two halves of the sequence: in turn, each is added to by a
+    stream that the other determines, modulo the sizes. Time and memory are linear.
+    """
+    half = len(values) // 2
+    parts, of = [values[:half].astype(np.uint64), values[half:].astype(np.uint64)], [sizes[:half], sizes[half:]]
+    label = hashlib.blake2b(kind.encode(), key=key).digest()
+    for n in range(ROUNDS):
+        own, other = n % 2, 1 - n % 2
+        seed = bytes([n]) + label + parts[other].astype(np.uint8).tobytes()
+        added = stream(seed, key, len(parts[own])) % of[own].astype(np.uint64)
+        parts[own] = (parts[own] + added) % of[own].astype(np.uint64)
+    return np.concatenate(parts).astype(np.int64)
+
+
 def luhn_digit(digits: str) -> str:
     total = sum(n if k % 2 else sum(divmod(2 * n, 10)) for k, n in enumerate(map(int, reversed(digits))))
     return str(-total % 10)
@@ -172,21 +201,33 @@ def email(text: str, key: bytes) -> str:
     name, _, domain = text.partition("@")
     lowered = name.lower()
     letters = "".join(c for c in lowered if c in LETTERS)
+    digits = "".join(filter(is_digit, lowered))
+    shape = "".join("a" if c in LETTERS else "0" if is_digit(c) else c for c in lowered)
+    kind = f"email:{shape}@{domain.lower()}"
+    if len(letters) + len(digits) > MOST_SYMBOLS:
+        values = np.array([LETTERS.index(c) for c in letters] + [int(c) for c in digits])
+        sizes = np.repeat([26, 10], [len(letters), len(digits)])
+        new = permuted_places(values, sizes, key, kind).tolist()
+        letters = "".join(LETTERS[x] for x in new[: len(letters)])
+        digits = "".join(map(str, new[len(letters) :]))
+    else:
+        letters, digits = permuted_name(letters, digits, key, kind)
+    name = shaped(lowered, letters, lambda c: c in LETTERS)
+    return f"{shaped(name, digits, is_digit)}@{domain.lower()}"
+
+
+def permuted_name(letters: str, digits: str, key: bytes, kind: str) -> tuple[str, str]:
+    """Letters and digits together as one number of base 26 and 10."""
     x = 0
     for c in letters:
         x = x * 26 + LETTERS.index(c)
-    digits = "".join(filter(is_digit, lowered))
-    shape = "".join("a" if c in LETTERS else "0" if is_digit(c) else c for c in lowered)
-    size = 26 ** len(letters) * 10 ** len(digits)
-    x = permuted(x * 10 ** len(digits) + int(digits or 0), size, key, f"email:{shape}@{domain.lower()}")
-    x, number = divmod(x, 10 ** len(digits))
+    x = x * 10 ** len(digits) + int(digits or 0)
+    x, number = divmod(permuted(x, 26 ** len(letters) * 10 ** len(digits), key, kind), 10 ** len(digits))
     out = ""
     for _ in letters:
         x, c = divmod(x, 26)
         out = LETTERS[c] + out
-    name = shaped(lowered, out, lambda c: c in LETTERS)
-    name = shaped(name, f"{number:0{len(digits)}}" if digits else "", is_digit)
-    return f"{name}@{domain.lower()}"
+    return out, f"{number:0{len(digits)}}" if digits else ""
 
 
 MAKERS = {"email": email, "iban": iban, "date": date, "ip": ip, "ssn": ssn}
@@ -245,7 +286,7 @@ def in_run(text: str, start: int, end: int, key: bytes, phones: bool) -> list[tu
             yield j, card
 
     def whole(i, first, last):
-        if i == first and sum(sizes[i:last]) <= 19:
+        if i == first and last - i <= 19 and sum(sizes[i:last]) <= 19:
             yield last, card
             if phones and one_number(i, last) == last:
                 yield last, phone
@@ -310,10 +351,13 @@ def pseudonymised(text: str | None, key: bytes) -> tuple[str | None, int]:
             new = MAKERS[kind](found[0], key)
         spans.append((start, end, new))
     out, before = list(spans), 0
+    # The end of the last wrong value that starts at or before a place.
+    begins, ends = [a for a, _ in typos], list(itertools.accumulate((b for _, b in typos), max))
     for start, end, _ in [*spans, (len(text), 0, None)]:
         while run := RUN.search(text, before, start):
             before = run.end()
-            phones = not any(a <= run.start() < b for a, b in typos)
+            known = bisect.bisect_right(begins, run.start())
+            phones = not known or ends[known - 1] <= run.start()
             out += in_run(text, *run.span(), key, phones)
         before = end
     out = sorted(x for x in out if x[2] is not None)
@@ -330,7 +374,8 @@ def pseudonyms(
     """`id`, `text` (with pseudonyms), `n_values` for each row.
 
     Numbers that fail their check (Luhn, IBAN, octets, areas) and days that don't exist
-    stay. A null text stays null.
+    stay. A null text stays null, an empty one empty. Values have any length, texts too: the
+    time for an e-mail name of a million letters is in proportion to it.
     """
     secret = hashlib.sha256(key.encode()).digest()
 

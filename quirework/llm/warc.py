@@ -173,19 +173,25 @@ def dealt(files: DataFrame) -> DataFrame:
 
 
 def inflated(uri: str) -> Iterator[bytes]:
-    """The bytes of a gzip file in blocks, of one member or of many."""
+    """The bytes of a gzip file in blocks, of one member or of many. A cut one is an error."""
     files, path = located(uri)
     with files.open_input_stream(path, compression=None) as f:
-        inflate = zlib.decompressobj(31)
+        inflate, begun = zlib.decompressobj(31), False
         while data := f.read(BLOCK):
             while data:
+                begun = True
                 yield inflate.decompress(data, BLOCK)
                 if inflate.eof:
                     data, inflate = inflate.unused_data, zlib.decompressobj(31)
+                    begun = bool(data)
                 else:
                     data = inflate.unconsumed_tail
-        if tail := inflate.flush():
-            yield tail
+        if begun:
+            # What the last bytes stand for may still be held back; only their end tells.
+            if tail := inflate.flush():
+                yield tail
+            if not inflate.eof:
+                raise ValueError(f"{uri}: the gzip stream is cut")
 
 
 class Stream:
@@ -194,9 +200,11 @@ class Stream:
     def __init__(self, blocks: Iterator[bytes]):
         self.blocks, self.kept = blocks, b""
 
-    def until(self, mark: bytes) -> bytes:
-        """With the mark; what is left if there is none."""
-        while mark not in self.kept:
+    def until(self, mark: bytes, most: int = BLOCK) -> bytes:
+        """With the mark, within `most` bytes; what is left if there is none."""
+        while mark not in self.kept[: most + len(mark)]:
+            if len(self.kept) > most:
+                raise ValueError(f"no record: no end of its head within {most} bytes")
             more = next(self.blocks, None)
             if more is None:
                 data, self.kept = self.kept, b""
@@ -228,15 +236,17 @@ def normalise(archives: DataFrame, level: int = 6, folder: str | None = None) ->
     """Rewrite each file of `archives` (column `uri`) with one gzip member for each record.
 
     Returns the list of new files, a written table; `index_uri` is the index beside each.
-    A file is inflated once, in blocks; at any time a task holds one block. A file that
-    ends inside a record, or holds something else than records, fails the job.
+    A file is inflated once, in blocks; at any time a task holds one block. A file whose
+    gzip stream is cut, that ends inside a record, holds something else than records, or
+    another number of them than `archives` says in a column `records`, fails the job.
     """
     folder = folder or new_folder(archives.sparkSession, "normalised")
-    spread = dealt(archives.select("uri"))
+    expected = F.col("records") if "records" in archives.columns else F.lit(None)
+    spread = dealt(archives.select("uri", expected.cast("long").alias("records")))
 
     def rewrite(batches):
         for batch in batches:
-            for uri in batch["uri"].to_pylist():
+            for uri, wanted in zip(batch["uri"].to_pylist(), batch["records"].to_pylist(), strict=True):
                 stem, offset, n = uri.rsplit("/", 1)[-1].split(".")[0], 0, 0
                 with (
                     NewFile(f"{folder}/records", stem, ".warc.gz") as out,
@@ -262,6 +272,8 @@ def normalise(archives: DataFrame, level: int = 6, folder: str | None = None) ->
                             "id": names["warc-record-id"],
                         }
                         index.write(json.dumps(entry).encode() + b"\n")
+                    if wanted not in (None, n):
+                        raise ValueError(f"{uri}: {n} records, not {wanted}")
                 yield pa.RecordBatch.from_pydict(
                     {"uri": [out.uri], "index_uri": [index.uri], "records": [n], "bytes": [offset]}
                 )
@@ -277,17 +289,21 @@ def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
 
     The digest and the number of bytes are those of the payload that is read. A revisit has
     no payload: its digest is what its head says, its payload and bytes are null. See
-    `resolved` for those of the record it refers to.
+    `resolved` for those of the record it refers to. An index with another number of lines
+    than the file has records is an error.
     """
-    spread = dealt(archives.select("uri", "index_uri"))
+    spread = dealt(archives.select("uri", "index_uri", "records"))
 
     def read(batches):
         for batch in batches:
-            for uri, index_uri in zip(batch["uri"].to_pylist(), batch["index_uri"].to_pylist(), strict=True):
+            for uri, index_uri, wanted in zip(*(batch[c].to_pylist() for c in ("uri", "index_uri", "records")), strict=True):
                 files, path = located(uri)
                 rows, held = [], 0
+                lines = read_bytes(index_uri).splitlines()
+                if len(lines) != wanted:
+                    raise ValueError(f"{index_uri}: {len(lines)} entries, not {wanted}")
                 with files.open_input_file(path) as f:
-                    for line in read_bytes(index_uri).splitlines():
+                    for line in lines:
                         entry = json.loads(line)
                         f.seek(entry["offset"])
                         data = zlib.decompress(f.read(entry["length"]), 31)

@@ -102,3 +102,58 @@ def test_query_keeps_a_page_without_an_id(spark, small, tmp_path):
     pages.withColumn("page_id", F.nullif("page_id", F.lit(least))).write.parquet(f"{tmp_path}/pages.parquet")
     rows = op2_warc_members(spark, str(tmp_path)).collect()
     assert len(rows) == 20 and sum(r.page_id is None for r in rows) == 1
+
+
+def read_or_fail(spark, path, data):
+    """Ids of the records that are read from a file of these bytes; None if that fails."""
+    path.write_bytes(data)
+    stream, found = warc.Stream(warc.inflated(str(path))), []
+    try:
+        while head := stream.until(b"\r\n\r\n"):
+            names = warc.fields(head)
+            for _ in stream.take(int(names["content-length"]) + 4):
+                pass
+            found.append(names["warc-record-id"])
+    except (ValueError, KeyError, zlib.error):
+        return None
+    return found
+
+
+def test_a_file_cut_at_any_byte_fails_or_loses_nothing(spark, tmp_path):
+    data = b"".join(warc.record("response", n, "u", b"body %d" % n, None) for n in range(3))
+    whole = gzip.compress(data)
+    want = [warc.record_id(n) for n in range(3)]
+    assert read_or_fail(spark, tmp_path / "x.gz", whole) == want
+    for end in range(1, len(whole)):
+        assert read_or_fail(spark, tmp_path / "x.gz", whole[:end]) is None, end
+    # The stream stops behind a whole record, flushed: all its records are there, more were.
+    squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
+    cut = squeeze.compress(warc.record("response", 1, "u", b"body", None)) + squeeze.flush(zlib.Z_FULL_FLUSH)
+    (tmp_path / "cut.warc.gz").write_bytes(cut)
+    frame = spark.createDataFrame([(str(tmp_path / "cut.warc.gz"),)], "uri string")
+    with pytest.raises(Exception, match="gzip stream is cut"):
+        warc.normalise(frame)
+
+
+def test_lost_members_and_index_lines_fail(spark, pages, tmp_path):
+    members = [gzip.compress(warc.record("response", n, "u", b"x", None)) for n in range(3)]
+    path = tmp_path / "many.warc.gz"
+    path.write_bytes(b"".join(members[:2]))
+    frame = spark.createDataFrame([(str(path), 3)], "uri string, records long")
+    with pytest.raises(Exception, match="2 records, not 3"):
+        warc.normalise(frame)
+    files = warc.normalise(spark.createDataFrame([(str(path),)], "uri string"))
+    index = files.first().index_uri.removeprefix("file:")
+    with open(index, "rb") as f:
+        lines = f.read().splitlines(keepends=True)
+    with open(index, "wb") as f:
+        f.writelines(lines[:1])
+    with pytest.raises(Exception, match="1 entries, not 2"):
+        warc.read_records(files).collect()
+
+
+def test_a_head_without_end_fails(spark, tmp_path):
+    (tmp_path / "long.warc.gz").write_bytes(gzip.compress(b"WARC/1.1\r\n" + b"x" * (3 << 20)))
+    frame = spark.createDataFrame([(str(tmp_path / "long.warc.gz"),)], "uri string")
+    with pytest.raises(Exception, match="no end of its head"):
+        warc.normalise(frame)
