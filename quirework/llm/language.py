@@ -8,6 +8,8 @@ there each text is a sparse row of bucket counts, scored by a product with it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,8 @@ from quirework.llm.words import groups_of_texts, values_of
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
+#: Texts of more characters are counted in pieces of this length.
+LONG = 1 << 18
 
 
 def held_out(id_col: Column, parts: int = 5) -> Column:
@@ -75,6 +79,52 @@ def gram_buckets(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.
     return out, limits
 
 
+def long_counts(text: str, buckets: int) -> tuple[np.ndarray, bool]:
+    """How often each bucket occurs in a text of any length, and whether it has a letter."""
+    lowered = f" {text.lower()} "
+    total, has_letter = np.zeros(buckets, np.int64), False
+    before, tail = True, np.zeros(0, np.uint32)
+    for at in range(0, len(lowered), LONG):
+        points = code_points([lowered[at : at + LONG]])[0]
+        letter = letters()[points]
+        keep = letter | np.concatenate(([before], letter[:-1]))
+        before, has_letter = bool(letter[-1]), has_letter or bool(letter.any())
+        # The last two of the piece before, for the n-grams that go on from there.
+        kept = np.concatenate((tail, np.where(letter, points, np.uint32(32))[keep]))
+        hashed = np.zeros(len(kept), np.uint32)
+        for order in ORDERS:
+            n = len(kept) - order + 1
+            if n <= 0:
+                break
+            hashed = hashed[:n] * np.uint32(0x9E3779B1) + kept[order - 1 :] + np.uint32(order)
+            new = hashed[max(len(tail) - order + 1, 0) :]
+            value = (new ^ (new >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+            total += np.bincount((value >> np.uint32(8)) % np.uint32(buckets), minlength=buckets)
+        tail = kept[-2:]
+    return total, has_letter
+
+
+def text_counts(texts: list[str | None], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """For each text its buckets, how often each occurs, and whether the text has a letter."""
+    short = [t if len(t or "") <= LONG else None for t in texts]
+    grams, limits = gram_buckets(short, buckets)
+    points, counts = code_points([t or "" for t in short])
+    ends = np.cumsum(counts)
+    seen = np.concatenate(([0], np.cumsum(letters()[points])))
+    has_letter = (seen[ends] > seen[ends - counts]).tolist()
+    for k, text in enumerate(texts):
+        own, known = grams[limits[k] : limits[k + 1]], has_letter[k]
+        if len(text or "") > LONG:
+            n, known = long_counts(text, buckets)
+        elif len(own) * 8 < buckets:
+            yield *np.unique(own, return_counts=True), known
+            continue
+        else:
+            n = np.bincount(own, minlength=buckets)
+        at = np.flatnonzero(n)
+        yield at, n[at], known
+
+
 def train(
     docs: DataFrame,
     text_col: str = "text",
@@ -105,10 +155,9 @@ def train(
         for batch in batches:
             langs = batch["lang"].to_pylist()
             for first, texts in groups_of_texts(values_of(batch["text"])):
-                grams, limits = gram_buckets(texts, buckets)
-                for k in range(len(texts)):
+                for k, (at, n, _) in enumerate(text_counts(texts, buckets)):
                     own = sums.setdefault(langs[first + k], np.zeros(buckets + 1, np.int64))
-                    own[:buckets] += np.bincount(grams[limits[k] : limits[k + 1]], minlength=buckets)
+                    own[at] += n
                     own[buckets] += 1  # texts
             while len(sums) > most_languages:
                 yield rows_of(next(iter(sums)))
@@ -137,7 +186,8 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
     """`id`, `lang_pred`, `score` (its posterior probability) for each row.
 
     Texts that are null or without a letter, and all texts if nothing was learnt, are
-    `und` with score 0. Equal scores go to the first language.
+    `und` with score 0. Equal scores go to the first language. A long text is counted in
+    pieces, whose memory doesn't grow with it; the result is that of the whole.
     """
     langs, priors, logs = model
     sent = docs.sparkSession.sparkContext.broadcast((priors, np.ascontiguousarray(logs.T)))
@@ -145,27 +195,14 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches):
         priors, table = sent.value
-        alpha = letters()
         for batch in batches:
             names, scores = [], []
             for _, texts in groups_of_texts(values_of(batch["text"])):
-                grams, limits = gram_buckets(texts, buckets)
-                points, counts = code_points([t or "" for t in texts])
-                ends = np.cumsum(counts)
-                seen = np.concatenate(([0], np.cumsum(alpha[points])))
-                has_letter = seen[ends] > seen[ends - counts]
-                for k, known in enumerate(has_letter.tolist()):
+                for at, n, known in text_counts(texts, buckets):
                     if not known or not langs:
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         continue
-                    own = grams[limits[k] : limits[k + 1]]
-                    if len(own) * 8 < buckets:
-                        at, n = np.unique(own, return_counts=True)
-                    else:
-                        n = np.bincount(own, minlength=buckets)
-                        at = np.flatnonzero(n)
-                        n = n[at]
                     joint = priors + n @ table[at]
                     best = int(joint.argmax())
                     names.append(langs[best])

@@ -51,12 +51,17 @@ class Powers:
 BYTES, WORDS, OTHER = Powers(0x5851F42D4C957F2D), Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5)
 
 
-def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
-    """The hash of values[start:end] for each pair."""
+def run_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+    """What `run_hashes` mixes: of a run put together from two, first + second * base**len(first)."""
     up, down = powers.to(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[: len(values)], out=sums[1:])
-    return mixed_bits((sums[ends] - sums[starts]) * down[starts], 3)
+    return (sums[ends] - sums[starts]) * down[starts]
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+    """The hash of values[start:end] for each pair."""
+    return mixed_bits(run_sums(values, starts, ends, powers), 3)
 
 
 def window_hashes(words: np.ndarray, at: np.ndarray, size: int, powers: Powers = WORDS) -> np.ndarray:

@@ -77,3 +77,25 @@ def test_odd_texts_and_nothing_learnt(spark, docs_of):
     assert language.predict(docs.limit(0), model).count() == 0
     with pytest.raises(ValueError):
         language.train(docs, most_languages=1)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 64])
+def test_pieces_give_what_the_whole_gives(monkeypatch, piece):
+    texts = ["ab", "A,b  c d. é1x the end ", "ΑΣ ΑΣΑ. Σ" * 9, "   ", "..a", "x" * 40, "漢字 😀 a"]
+    want = [tuple(map(list, x[:2])) + (x[2],) for x in language.text_counts(texts, 997)]
+    monkeypatch.setattr(language, "LONG", piece)
+    got = [language.long_counts(t, 997) for t in texts]
+    assert [(np.flatnonzero(n).tolist(), n[n > 0].tolist(), known) for n, known in got] == want
+
+
+def test_long_texts_take_bounded_memory(spark, docs_of):
+    import tracemalloc
+
+    text = "the quiet River, 12 mills and " * 500_000
+    tracemalloc.start()
+    n, known = language.long_counts(text, 1 << 14)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert known and peak < 3 * len(text) + 100 * language.LONG
+    docs = docs_of([(1, text, "en", None), (2, "das haus und der garten", "de", None)])
+    assert {r.id: r.lang_pred for r in language.predict(docs, language.train(docs)).collect()} == {1: "en", 2: "de"}

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -91,3 +93,97 @@ def test_passages_do_not_depend_on_their_neighbours():
     for n, t in enumerate(texts):
         assert np.allclose(x[limits[n] : limits[n + 1]], quality.passages([t])[0])
     assert limits.tolist()[:2] == [0, -(-len((GOOD * 9).split()) // quality.PASSAGE)]
+
+
+# A plain version, passage by passage, from the definitions.
+
+
+def plain_passages(text):
+    def kind(c):
+        if c in " \t\x0b\x0c":
+            return 4
+        if c in "\n\r":
+            return 5
+        if c.isalpha():
+            return 2 if c.isupper() else 1
+        if c.isdigit():
+            return 3
+        signs = [chr(n) for n in range(33, 127) if not chr(n).isalnum()]
+        return 6 + signs.index(c) if c in signs else 0
+
+    word, before, place = -1, True, []
+    for c in text:
+        blank = kind(c) in (4, 5)
+        word += not blank and before
+        before = blank
+        place.append(max(word, 0) // quality.PASSAGE)
+    n_passages = max(-(-(word + 1) // quality.PASSAGE), 1)
+    out = np.zeros((n_passages, quality.FEATURES))
+    at = 0
+    for order, size in ((1, quality.CLASSES), (2, 216), (3, 252)):
+        for i in range(len(text) - order + 1):
+            if place[i] == place[i + order - 1]:
+                code = 0
+                for c in text[i : i + order]:
+                    code = code * quality.CLASSES + kind(c)
+                out[place[i], at + (code if order == 1 else (code * 0x9E3779B1 >> 7) % size)] += 1
+        total = out[:, at : at + size].sum(axis=1, keepdims=True)
+        out[:, at : at + size] = np.sqrt(out[:, at : at + size] / np.maximum(total, 1))
+        at += size
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    for p in range(n_passages):
+        own = range(p * quality.PASSAGE, min((p + 1) * quality.PASSAGE, len(words)))
+        if own:
+            out[p, at] = sum(words[i] in words[:i] for i in own) / len(own)
+            earlier = list(zip(words, words[1:]))
+            out[p, at + 1] = sum((words[i], words[i + 1]) in earlier[:i] for i in own if i + 1 < len(words)) / len(own)
+    return out
+
+
+def plain_score(model, x):
+    h = [np.tanh(((row - model["mean"]) / model["spread"]) @ model["W"] + model["b"]) for row in x]
+    gate = lambda v: 1 / (1 + np.exp(-v))
+    e = np.array([(np.tanh(v @ model["V"]) * gate(v @ model["U"])) @ model["w"] for v in h])
+    a = np.exp(e) / np.exp(e).sum()
+    return float(gate(sum(w * v for w, v in zip(a, h, strict=True)) @ model["c"] + model["d"])[0])
+
+
+STRANGE = ["", " \n ", "One two, THREE 4!", GOOD * 9, BAD * 30, "x" * 300, "  lead " + "ab cd ab cd " * 60 + "\r\n", "é漢 😀\x85b " * 50]
+
+
+def test_scores_equal_a_plain_version():
+    bags = [quality.passages([t])[0] for t in STRANGE]
+    for t, x in zip(STRANGE, bags, strict=True):
+        assert np.allclose(x, plain_passages(t), atol=1e-6), t[:20]
+    model = quality.fit(bags, np.arange(len(bags)) % 2, epochs=3)
+    want = [plain_score(model, plain_passages(t)) for t in STRANGE]
+    assert np.allclose(quality.scored(model, STRANGE), want, atol=1e-5)
+    assert np.allclose([quality.streamed(model, [row[None] for row in x]) for x in bags], want, atol=1e-5)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 33, 1000])
+def test_blocks_give_what_the_whole_gives(monkeypatch, piece):
+    monkeypatch.setattr(quality, "LONG", piece)
+    for t in STRANGE[2:] + [" "]:
+        got = np.concatenate(list(quality.passage_blocks(t)))
+        assert np.allclose(got, quality.passages([t])[0], atol=1e-6), t[:20]
+
+
+def test_long_texts_take_bounded_memory(spark, docs_of):
+    import tracemalloc
+
+    text = "".join(f"{GOOD}{n} " for n in range(200_000))
+    model = quality.fit([quality.passages([GOOD])[0], quality.passages([BAD])[0]], np.array([1, 0]), epochs=2)
+    tracemalloc.start()
+    score = quality.scored(model, [text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < score < 1 and peak < 3 * len(text) + 300 * quality.LONG
+    one_word = "x" * 3_000_000
+    docs = docs_of([(1, text[:2_000_000], None, None), (2, one_word, None, None), (3, BAD, None, None)])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    assert {r.id for r in quality.score(docs, quality.train(docs, labels)).collect()} == {1, 2, 3}
+    # Bounded by rows: a text with too many passages teaches nothing, the others whole.
+    few = quality.train(docs, labels, most_passages=3, epochs=1)
+    two = quality.train(docs, labels.where("doc_id > 1"), epochs=1)
+    assert all(np.array_equal(few[k], two[k]) for k in few)
