@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quirework.functions.replies import checked_questions, read_reply
 from quirework.schemas import QUESTIONS
 
 EXTRACTION = f"questions {QUESTIONS}, status string, error string, attempts int"
@@ -48,37 +49,54 @@ def extract_pages(
 ) -> DataFrame:
     """Add `questions, status, error, attempts` by calling `extractor` for each page.
 
-    A result has to be a list of dicts that fit the columns. Anything else, and any
-    exception, is retried inside the task; a page that keeps failing becomes a row with
-    status `failed` and the last error, not a failed job. The other columns stay the Arrow
-    arrays they are. `parallelism` bounds the number of concurrent callers, and spreads
-    the pages evenly over them.
+    A result has to be a list of dicts that obey the rules for questions (required fields,
+    types, enumerations, topic length, confidence range). Anything else, and any exception,
+    is retried inside the task; a page that keeps failing becomes a row with status `failed`
+    and the last error, not a failed job. The other columns stay the Arrow arrays they are.
+    `parallelism` bounds the number of concurrent callers, and spreads the pages evenly over
+    them.
     """
+    return _extracted(df, text, lambda page: checked_questions(extractor(page)), max_attempts, retry_delay, parallelism)
+
+
+def extract_replies(
+    df: DataFrame,
+    text: str,
+    model: Callable[[str], str],
+    max_attempts: int = 3,
+    retry_delay: float = 1.0,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """`extract_pages` for a model that replies with text, in which the questions are JSON.
+
+    The reply is repaired, searched and checked in the task, so that a malformed one is asked
+    for again. `error` ends with the reason: `no_json`, `unparsable`, `no_questions`,
+    `too_deep`, or `invalid: ` with the first rule that is broken.
+    """
+    return _extracted(df, text, lambda page: read_reply(model(page)), max_attempts, retry_delay, parallelism)
+
+
+def _extracted(df, text, questions_of, max_attempts, retry_delay, parallelism) -> DataFrame:
     schema = _with_fields(df, EXTRACTION)
     added = to_arrow_schema(T.StructType.fromDDL(EXTRACTION))
-    kind = added.field("questions").type
 
     def one(page: str | None) -> tuple:
         error = None
         for attempt in range(1, max_attempts + 1):
             try:
-                found = extractor(page)
-                if not isinstance(found, (list, tuple)) or not all(isinstance(q, dict) for q in found):
-                    raise TypeError("the result is no list of dicts")
-                return pa.array([found], kind), "ok", None, attempt
+                return questions_of(page), "ok", None, attempt
             except Exception as exc:  # the user's code may raise or return anything
                 error = f"{type(exc).__name__}: {exc}"
                 if attempt < max_attempts:
                     time.sleep(retry_delay)
-        return pa.nulls(1, kind), "failed", error, max_attempts
+        return None, "failed", error, max_attempts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found, *rest = zip(*(one(page) for page in batch[text].to_pylist()), strict=True)
-            columns = [pa.concat_arrays(found)]
-            columns += [pa.array(x, f.type) for x, f in zip(rest, list(added)[1:], strict=True)]
+            results = zip(*(one(page) for page in batch[text].to_pylist()), strict=True)
+            columns = [pa.array(x, f.type) for x, f in zip(results, added, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *columns], names=[*batch.schema.names, *added.names]
             )

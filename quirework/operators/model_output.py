@@ -17,48 +17,124 @@ ANY_QUESTION = (
 )
 ANY_QUESTIONS = f"array<{ANY_QUESTION}>"
 
-_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_FLAT = rf'(?:{_STRING}|[-+.\w]++|\[(?:{_STRING}|[^"\[\]{{}}]++)*+\])'
-# The start of an object that has `answer_options`, after any number of flat fields.
-_OBJECT = (
-    rf'\{{\s*+(?:(?!"answer_options"){_STRING}\s*+:\s*+{_FLAT}\s*+,\s*+)*+"answer_options"\s*+:'
-)
-_LIST = r'(?s)"questions"\s*:\s*(\[.*)'
-_BARE_LIST = rf"(?s)(\[\s*{_OBJECT}.*)"
-_SINGLE = rf"(?s)({_OBJECT}.*)"
+#: Levels of objects and lists below the root that are searched.
+DEPTH = 6
+
+
+def _value(node: Column, path: str) -> Column:
+    return F.try_variant_get(node, path, "variant")
 
 
-def _read_list(text: Column) -> Column:
-    return F.from_json(text, ANY_QUESTIONS, {"mode": "PERMISSIVE"})
+def _has(node: Column, name: str) -> Column:
+    return _value(node, f"$.{name}").isNotNull()
 
 
-def _as_single(question: Column) -> Column:
-    complete = question["question_text"].isNotNull() & question["answer_options"].isNotNull()
-    return F.when(complete, F.array(question))
+def _is_question(node: Column) -> Column:
+    return _has(node, "question_text") & _has(node, "answer_options")
 
 
-def locate_questions(json: Column) -> Column:
-    """The question array of a JSON object, with values as they stand; null when it holds none.
+def _found_in(node: Column) -> Column:
+    """The JSON text of the questions that a parsed value holds itself; null if it holds none.
 
-    Tried in turn: a `questions` list at the root, a single question at the root, a
-    `questions` list at any depth, a bare list of questions or one question under
-    some other key. The nested shapes are read from where they start; the parser
-    stops at the end of the value, whatever follows it.
+    A `questions` field of an object, an object that is a question, or a list whose first
+    item is one.
     """
-    root = F.from_json(json, f"struct<questions: {ANY_QUESTIONS}>", {"mode": "PERMISSIVE"})
-    single = F.from_json(json, ANY_QUESTION, {"mode": "PERMISSIVE"})
+    questions = _value(node, "$.questions")
+    return (
+        F.when(questions.isNotNull(), F.when(~F.is_variant_null(questions), F.to_json(questions)))
+        .when(_is_question(node), F.concat(F.lit("["), F.to_json(node), F.lit("]")))
+        .when(_is_question(_value(node, "$[0]")), F.to_json(node))
+    )
 
-    def nested(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract(json, pattern, 1), F.lit(""))
 
-    below = F.from_json(nested(_SINGLE), ANY_QUESTION, {"mode": "PERMISSIVE"})
-    return F.coalesce(
-        root["questions"],
-        _as_single(single),
-        _read_list(nested(_LIST)),
-        _read_list(nested(_BARE_LIST)),
-        _as_single(below),
+def _below(node: Column) -> Column:
+    """The objects and lists that a value holds, in the order in which they are written.
+
+    Fields of a parsed value are in order of their names; only those of a map read from
+    the text keep theirs. One map has the fields parsed, for what they are, the other one as
+    text, for the order of what they hold. An object with a `questions` field, or one that is a
+    question, is not searched further.
+    """
+    text = node["text"]
+    as_object = F.startswith(F.ltrim(text), F.lit("{"))
+    parsed = F.coalesce(
+        F.map_values(F.from_json(F.when(as_object, text), "map<string,variant>")),
+        F.from_json(F.when(~as_object, text), "array<variant>"),
+    )
+    texts = F.coalesce(
+        F.map_values(F.from_json(F.when(as_object, text), "map<string,string>")),
+        F.from_json(F.when(~as_object, text), "array<string>"),
+    )
+    inner = F.transform(
+        F.arrays_zip(parsed.alias("value"), texts.alias("text")),
+        lambda pair, i: F.struct(
+            (node["list"] | ~as_object).alias("list"),
+            F.concat(node["at"], F.array(i)).alias("at"),
+            F.when(_is_container(pair["value"]), pair["text"]).alias("text"),
+            _found_in(pair["value"]).alias("found"),
+            _has(pair["value"], "questions").alias("closed"),
+        ),
+    )
+    return F.coalesce(F.filter(inner, lambda n: n["text"].isNotNull()), F.array())
+
+
+def _open(nodes: Column) -> Column:
+    """What is to be searched further."""
+    return F.filter(nodes, lambda n: n["found"].isNull() & ~n["closed"])
+
+
+def _is_container(value: Column) -> Column:
+    """Objects and lists that are not empty."""
+    return _value(value, "$[0]").isNotNull() | F.coalesce(
+        F.startswith(F.schema_of_variant(value), F.lit("OBJECT<")), F.lit(False)
+    )
+
+
+def locate_questions(df: DataFrame, json: str, parsed: str, name: str, depth: int = DEPTH) -> DataFrame:
+    """Add the JSON text of the questions in a parsed JSON object; null where it holds none.
+
+    The walk goes through values in the order in which they are written, each with all that
+    it holds before the next one, and takes the first that is a `questions` list, a question
+    or a list of questions. What lies in lists of other things counts only if there is nothing
+    else. It goes `depth` levels below the root; if nothing was found and there is more below,
+    or something was but a place before it has more, `<name>_deeper` is true.
+
+    Nearly all replies hold their questions at the root: deeper levels, a column each, are
+    empty for them.
+    """
+    root = F.col(parsed)
+    df = compute_once(df, name, _found_in(root))
+    start = F.struct(
+        F.lit(False).alias("list"),
+        F.array().cast("array<int>").alias("at"),
+        F.col(json).alias("text"),
+        F.lit(None).cast("string").alias("found"),
+        _has(root, "questions").alias("closed"),
+    )
+    nodes = F.when(F.col(name).isNull() & root.isNotNull(), F.array(start)).otherwise(F.array())
+    levels = []
+    for level in range(depth):
+        df = compute_once(df, f"_level{level}", F.flatten(F.transform(_open(nodes), _below)))
+        nodes = F.col(f"_level{level}")
+        levels.append(nodes)
+
+    def first(places: Column) -> Column:
+        return F.array_min(
+            F.transform(places, lambda n: F.struct(n["list"].alias("list"), n["at"].alias("at"), n["found"].alias("found")))
+        )
+
+    df = df.withColumns(
+        {
+            "_first": first(F.filter(F.concat(*levels), lambda n: n["found"].isNotNull())),
+            # Where the search stopped with things left to look into.
+            "_left": first(_open(nodes)),
+        }
     )
+    # A null text comes before all others, but no two places are the same.
+    deeper = F.col("_left").isNotNull() & (F.col("_first").isNull() | (F.col("_left") < F.col("_first")))
+    return df.withColumns(
+        {f"{name}_deeper": deeper, name: F.coalesce(name, F.col("_first.found"))}
+    ).drop("_first", "_left", *[f"_level{k}" for k in range(depth)])
 
 
 def _is_text(value: Column) -> Column:
@@ -139,31 +215,35 @@ def is_json_object(text: Column) -> Column:
 
 
 def parse_model_output(
-    df: DataFrame, raw: str, questions: str = "questions", status: str = "status"
+    df: DataFrame, raw: str, questions: str = "questions", status: str = "status", depth: int = DEPTH
 ) -> DataFrame:
     """Add the validated questions of each text and a status.
 
     `ok`; `no_json` (no object in the text), `unparsable` (still not JSON after the
-    repairs), `no_questions` (no known shape), `invalid` (a question breaks the
-    rules, which rejects the page). Questions are null unless the status is `ok`.
+    repairs), `no_questions` (in none of the places where they are looked for), `too_deep`
+    (the walk ended at `depth` levels with more below), `invalid` (what was found is no list of
+    questions, or one of them breaks the rules, which rejects the page). Questions are null
+    unless the status is `ok`.
     """
     text, json, found = F.col(raw), F.col("_json"), F.col("_found")
     repaired = trim_keys(drop_bad_escapes(json_span(text)))
-    steps = {
-        "_json": F.when(is_json_object(text), trim_keys(text)).otherwise(repaired),
-        "_whole": is_json_object(json),
-        "_any": F.when(F.col("_whole"), locate_questions(json)),
-        "_found": typed_questions(F.col("_any")),
-        status: F.when(json.isNull(), "no_json")
-        .when(~F.col("_whole"), "unparsable")
-        .when(found.isNull(), "no_questions")
-        .when(~page_is_valid(found), "invalid")
-        .otherwise("ok"),
-    }
-    for name, step in steps.items():
-        df = compute_once(df, name, step)
+    df = compute_once(df, "_json", F.when(is_json_object(text), trim_keys(text)).otherwise(repaired))
+    parsed = F.try_parse_json(json)
+    whole = F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
+    df = compute_once(df, "_parsed", F.when(whole, parsed))
+    df = locate_questions(df, "_json", "_parsed", "_text", depth)
+    df = compute_once(df, "_found", typed_questions(F.from_json("_text", ANY_QUESTIONS)))
+    state = (
+        F.when(json.isNull(), "no_json")
+        .when(F.col("_parsed").isNull(), "unparsable")
+        .when(F.col("_text_deeper"), "too_deep")
+        .when(F.col("_text").isNull(), "no_questions")
+        .when(found.isNull() | ~page_is_valid(found), "invalid")
+        .otherwise("ok")
+    )
+    df = compute_once(df, status, state)
     return df.withColumn(questions, F.when(F.col(status) == "ok", found)).drop(
-        "_json", "_whole", "_any", "_found"
+        "_json", "_parsed", "_text", "_text_deeper", "_found"
     )
 
 

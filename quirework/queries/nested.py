@@ -1,5 +1,7 @@
 """Question blocks, model output, validation, reliability and user hooks."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from quirework.operators import hooks
@@ -172,6 +174,59 @@ def model_output_dead_letters(spark, d):
     return dead_letters(_model_output(spark, d)).select("conv_id", "turn", "status")
 
 
+def model_output_nested(spark, d):
+    """Questions under other objects and lists, before and behind other things."""
+    turns = D.table(spark, d, "conversations")
+    kind = (c("conv_id") + c("turn")) % 12
+
+    def question(name, *before):
+        """A question as JSON text, after the fields `before`; its stimulus is the name."""
+        option = F.struct(
+            c("role").alias("answer_text"),
+            F.array().cast("array<string>").alias("answer_vocabulary_items"),
+            F.array(F.lit('{["')).alias("answer_grammar_patterns"),
+        )
+        return F.to_json(
+            F.struct(
+                *before,
+                F.array(F.lit("말")).alias("question_vocabulary_items"),
+                F.concat(F.lit("질문 "), c("text")).alias("question_text"),
+                F.lit(name).alias("question_stimulus"),
+                F.array(option, option).alias("answer_options"),
+                F.array().cast("array<string>").alias("question_grammar_patterns"),
+            )
+        )
+
+    meta = F.struct(c("conv_id").alias("a"), F.array(F.lit(1)).alias("b")).alias("meta")
+    one, two = question("one", meta), question("two")
+
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    raw = (
+        F.when(kind == 0, text('{"data":[', one, "]}"))
+        .when(kind == 1, text('{"z":{"y":{"questions":[', one, ']}},"a":{"questions":[', two, ",", two, "]}}"))
+        .when(kind == 2, text('{"n":{"questions":null},"o":{"p":', two, "}}"))
+        .when(kind == 3, text('{"list":[{"questions":[', one, ']}],"last":', two, "}"))
+        .when(kind == 4, text('{"list":[[1],[{"q":{"questions":[', one, ",", two, "]}}]]}"))
+        .when(kind == 5, text('{"text":"[{}]","out":[', two, ",", one, "]}"))
+        .when(kind == 6, text('{"a":{"b":{"c":{"d":{"e":{"f":', one, "}}}}}}"))
+        .when(kind == 7, text('{"a":{"b":{"c":{"d":{"e":{"f":{"g":', one, "}}}}}}}"))
+        .when(kind == 8, text('{"a":{"questions":"none"},"b":', one, "}"))
+        .when(kind == 9, text('{"a":{"question_text":"x"},"b":[{"answer_options":[]},[1]]}'))
+        .when(kind == 10, text('Sure! {" out ":', one, "} Done."))
+        .otherwise(F.lit('{"answer":{"b":[]}}'))
+    )
+    found = parse_model_output(turns.select("conv_id", "turn", raw.alias("raw")), "raw")
+    return found.select(
+        "conv_id",
+        "turn",
+        "status",
+        F.array_join("questions.question_stimulus", ",").alias("found"),
+        F.try_element_at("questions", F.lit(1))["question_text"].alias("first_text"),
+    )
+
+
 # ---- User hooks ------------------------------------------------------------
 # The user functions are local ones, so that they travel to the workers by value and
 # need no installed package there.
@@ -211,6 +266,87 @@ def extractor_hook(spark, d):
     )
 
 
+def extractor_hook_validated(spark, d):
+    """An extractor of documents that breaks a rule, always or at its first attempt."""
+
+    def by_length(text: str, asked={}) -> list[dict]:  # noqa: B006 - attempts of this worker
+        kind, again = len(text) % 8, asked.pop(text, False)
+        found = {
+            "question_text": text,
+            "answer_options": [],
+            "question_type": "grammar",
+            "question_vocabulary_items": [],
+            "question_grammar_patterns": [],
+            "confidence": 0.5,
+        }
+        if 1 <= kind <= 5 and not again:
+            asked[text] = True
+        if kind == 1:
+            del found["question_text"]
+        elif kind == 2:
+            found["question_type"] = "song"
+        elif kind == 3 and not again:
+            found["topic"] = "t" * 31
+        elif kind == 4:
+            found["answer_options"] = [{"answer_text": "a"}]
+        elif kind == 5 and not again:
+            found["confidence"] = 1.5
+        elif kind == 6:
+            return [found, found | {"confidence": "0.25"}]
+        return [found]
+
+    docs = D.table(spark, d, "documents").select("doc_id", "text")
+    found = hooks.extract_pages(docs, "text", by_length, max_attempts=2, retry_delay=0.0)
+    return found.select(
+        "doc_id",
+        "status",
+        "attempts",
+        "error",
+        F.size("questions").alias("n"),
+        F.length(F.array_join("questions.question_text", "")).alias("chars"),
+        F.array_max("questions.confidence").alias("confidence"),
+    )
+
+
+def extracted_replies(spark, d):
+    """A model that wraps what it is asked in JSON, with faults that it makes once or always."""
+
+    def reply(text: str, asked={}) -> str:  # noqa: B006 - attempts of this worker
+        kind, again = len(text) % 7, asked.pop(text, False)
+        question = {
+            "question_text": text,
+            "answer_options": [],
+            "question_type": "grammar",
+            "question_vocabulary_items": [],
+            "question_grammar_patterns": [],
+        }
+        whole = json.dumps({"out": {"questions": [question]}})
+        if kind in (1, 2, 3, 5) and not again:
+            asked[text] = True
+        if kind == 1 and not again:
+            return whole[:-3]
+        if kind == 2:
+            return "I found no questions."
+        if kind == 3:
+            return json.dumps({"answer": text})
+        if kind == 4:
+            return f"Here it is: {whole}"
+        if kind == 5 and not again:
+            return whole.replace("grammar", "song")
+        return whole
+
+    turns = D.table(spark, d, "conversations").select("conv_id", "turn", "text")
+    found = hooks.extract_replies(turns, "text", reply, max_attempts=2, retry_delay=0.0)
+    return found.select(
+        "conv_id",
+        "turn",
+        "status",
+        "attempts",
+        "error",
+        F.try_element_at("questions", F.lit(1))["question_text"].alias("question_text"),
+    )
+
+
 def parser_hook(spark, d):
     def lines_as_pages(text: str) -> dict[int, str]:
         return {i: line for i, line in enumerate(text.split("\n"), start=1) if line.strip(" ")}
@@ -303,6 +439,35 @@ QUERIES = {
           WHEN 9 THEN 'no_json' WHEN 10 THEN 'no_questions' ELSE 'invalid' END AS status
         FROM conversations WHERE (conv_id + turn) % 15 >= 7 AND (conv_id + turn) % 15 <> 13""",
     ),
+    "model_output_nested": (
+        model_output_nested,
+        """SELECT conv_id, turn, CASE WHEN k = 7 THEN 'too_deep' WHEN k = 8 THEN 'invalid'
+            WHEN k IN (9, 11) THEN 'no_questions' ELSE 'ok' END AS status,
+          CASE WHEN k IN (7, 8, 9, 11) THEN NULL WHEN k IN (2, 3) THEN 'two' WHEN k = 4 THEN 'one,two'
+            WHEN k = 5 THEN 'two,one' ELSE 'one' END AS found,
+          CASE WHEN k NOT IN (7, 8, 9, 11) THEN '질문 ' || text END AS first_text
+        FROM (SELECT *, (conv_id + turn) % 12 AS k FROM conversations)""",
+    ),
+    "extractor_hook_validated": (
+        extractor_hook_validated,
+        """SELECT doc_id, CASE WHEN k IN (1, 2, 4) THEN 'failed' ELSE 'ok' END AS status,
+          CAST(CASE WHEN k BETWEEN 1 AND 5 THEN 2 ELSE 1 END AS INTEGER) AS attempts,
+          'ValueError: invalid: ' || CASE k WHEN 1 THEN 'question_text is no text'
+            WHEN 2 THEN 'question_type is ' || chr(39) || 'song' || chr(39)
+            WHEN 4 THEN 'answer_vocabulary_items is no list of texts' END AS error,
+          CAST(CASE WHEN k IN (1, 2, 4) THEN NULL WHEN k = 6 THEN 2 ELSE 1 END AS INTEGER) AS n,
+          CAST(CASE WHEN k IN (1, 2, 4) THEN NULL WHEN k = 6 THEN 2 ELSE 1 END * length(text) AS INTEGER) AS chars,
+          CASE WHEN k NOT IN (1, 2, 4) THEN CAST(0.5 AS DOUBLE) END AS confidence
+        FROM (SELECT *, length(text) % 8 AS k FROM documents)""",
+    ),
+    "extracted_replies": (
+        extracted_replies,
+        """SELECT conv_id, turn, CASE WHEN k IN (2, 3) THEN 'failed' ELSE 'ok' END AS status,
+          CAST(CASE WHEN k IN (1, 2, 3, 5) THEN 2 ELSE 1 END AS INTEGER) AS attempts,
+          CASE k WHEN 2 THEN 'ValueError: no_json' WHEN 3 THEN 'ValueError: no_questions' END AS error,
+          CASE WHEN k NOT IN (2, 3) THEN text END AS question_text
+        FROM (SELECT *, length(text) % 7 AS k FROM conversations)""",
+    ),
     "extractor_hook": (
         extractor_hook,
         """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),

@@ -142,6 +142,94 @@ def test_model_output_shapes(spark):
     ]
 
 
+def shapes():
+    """Replies of many shapes, with the status that both parsers give them."""
+    q, named = question(), lambda n: question(question_stimulus=n)
+    deep = {"questions": [q]}
+    for _ in range(5):
+        deep = {"a": deep}
+    return [
+        ({"data": [{"meta": {"a": 1}} | q]}, "ok", [None]),
+        ({"z": {"questions": [named("z")]}, "a": {"questions": [named("a")]}}, "ok", ["z"]),
+        ({"z": {"y": {"x": named("deep")}}, "a": named("flat")}, "ok", ["deep"]),
+        ({"l": [{"questions": [named("in list")]}], "o": {"p": named("in object")}}, "ok", ["in object"]),
+        ({"l": [1, [{"questions": [named("x"), named("y")]}]]}, "ok", ["x", "y"]),
+        ({"a": {"questions": None}, "b": named("b")}, "ok", ["b"]),
+        ({"questions": None}, "no_questions", None),
+        ({"questions": None, "b": named("b")}, "no_questions", None),
+        ({"questions": {}}, "invalid", None),
+        ({"questions": "x"}, "invalid", None),
+        ({"questions": [1]}, "invalid", None),
+        ({"questions": [q, None]}, "invalid", None),
+        ({"a": [q, "x"]}, "invalid", None),
+        ({"a": [{"question_text": "x"}, q], "b": 1}, "ok", [None]),
+        ({"question_text": None, "answer_options": []}, "invalid", None),
+        ({"a": '{"questions": []}', "b": [[], {}]}, "no_questions", None),
+        (deep, "ok", [None]),
+        ({"a": deep}, "ok", [None]),
+        ({"a": {"a": deep}}, "too_deep", None),
+        ({"x": {"a": {"a": {"a": deep}}}, "y": named("y")}, "too_deep", None),
+        ({"x": named("x"), "y": {"a": {"a": {"a": deep}}}}, "ok", ["x"]),
+        ({"a:b": {"c d": {'e"f': {"questions": [named("keys")]}}}}, "ok", ["keys"]),
+        ({"questions": [question(confidence=True)]}, "ok", [None]),
+        ({"questions": [question(confidence="1e-1")]}, "ok", [None]),
+        ({"questions": [question(confidence=-0.1)]}, "invalid", None),
+        ({"questions": [question(question_stimulus=["x"])]}, "invalid", None),
+        ({"questions": [question(difficulty_level="extreme")]}, "invalid", None),
+    ]
+
+
+def test_nested_shapes_in_the_order_of_the_text(spark):
+    cases = shapes()
+    df = spark.createDataFrame(
+        [(i, json.dumps(v, ensure_ascii=False)) for i, (v, _, _) in enumerate(cases)], "i int, raw string"
+    )
+    got = parse_model_output(df, "raw").orderBy("i").collect()
+    for r, (value, status, stimuli) in zip(got, cases, strict=True):
+        found = None if r.questions is None else [q.question_stimulus for q in r.questions]
+        assert (r.status, found) == (status, stimuli), value
+
+
+def test_a_reply_is_read_as_a_column_is(spark):
+    from quirework.functions.replies import read_reply
+
+    texts = [json.dumps(v, ensure_ascii=False) for v, _, _ in shapes()]
+    whole = json.dumps({"questions": [question()]}, ensure_ascii=False)
+    texts += [f"Here: {whole} Done.", whole[:-4], "nothing", "", None, whole.replace("다음", "\\uXY다음"), f"[{whole}]",
+              whole.replace('"questions"', '" questions　" '), whole.replace('"topic"', '"confidence"'), whole + "}",
+              whole.replace("0.5", "NaN"), whole.replace("0.5", "01"), "{" + whole, whole.replace("말", "\t")]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw string")
+    for r in parse_model_output(df, "raw").orderBy("i").collect():
+        try:
+            status, found = "ok", read_reply(texts[r.i])
+        except (ValueError, TypeError) as exc:
+            status, found = str(exc).split(":")[0], None
+        assert (r.status, r.questions is None) == (status, found is None), texts[r.i]
+        for mine, native in zip(found or [], r.questions or [], strict=True):
+            native = native.asDict(recursive=True)
+            assert {k: mine.get(k) for k in native if k != "answer_options"} == {
+                k: v for k, v in native.items() if k != "answer_options"
+            }
+            assert [o["answer_text"] for o in mine["answer_options"]] == [o["answer_text"] for o in native["answer_options"]]
+
+
+def test_invalid_results_are_tried_again(spark):
+    wrong = {"none": {"question_text": None}, "song": {"question_type": "song"}, "once": {"confidence": 2}}
+    good, seen = question(), {}
+
+    def flaky(text):
+        seen[text] = seen.get(text, 0) + 1
+        return [good | (wrong.get(text, {}) if text != "once" or seen[text] < 2 else {})]
+
+    df = spark.createDataFrame([("none",), ("song",), ("once",), ("fine",)], "t string").coalesce(1)
+    rows = {r.t: (r.status, r.attempts, r.error) for r in hooks.extract_pages(df, "t", flaky, 3, 0.0).collect()}
+    assert rows == {
+        "none": ("failed", 3, "ValueError: invalid: question_text is no text"),
+        "song": ("failed", 3, "ValueError: invalid: question_type is 'song'"),
+        "once": ("ok", 2, None), "fine": ("ok", 1, None),
+    }
+
+
 def test_explode_counts_and_keys(spark):
     pages = spark.createDataFrame([("e", 3, PAGE)], "exam_id string, page_number int, t string")
     segmented = segment_pages(pages, "t")

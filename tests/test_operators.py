@@ -210,7 +210,7 @@ def test_keys_do_not_depend_on_partitioning(spark, hot):
 def test_no_python_and_no_cross_join_in_native_queries(spark, small):
     from quirework.queries import all_queries
 
-    hooks = {"extractor_hook", "file_audit", "parser_hook", "vectorized_text"}
+    hooks = {"extractor_hook", "extractor_hook_validated", "extracted_replies", "file_audit", "parser_hook", "vectorized_text"}
     writes = {"partition_scan", "written_counts", "refreshed_partition", "metadata_round_trip", "broken_metadata", "exported_splits"}
     for name, (run, _) in all_queries().items():
         if name in hooks or name in writes:
