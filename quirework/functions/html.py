@@ -10,13 +10,22 @@ from pyspark.sql import functions as F
 from quirework.constants import SPACE
 from quirework.functions.text import strip_space
 
-_HIDDEN = (
-    r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+_ANCHOR_START = r"(?i)<a(?=[\s/])"
+# The value of an attribute: in quotes, which may hold any sign, or up to a blank. A
+# quote that is never closed counts as a bare value.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+# The rest of a tag up to its end, values in quotes as units.
+_IN_TAG = rf"(?:[^>=]++|=\s*+{_VALUE})*+"
+_NAME = r"(?:=[^\s=>/]*+|[^\s=>/]++)"
+# What follows a link's start: other attributes, the address, then the text up to its end.
+_HREF = (
+    rf"(?is)^(?:[\s/]*+(?!href[\s=]){_NAME}(?:\s*+=\s*+{_VALUE})?+)*+[\s/]*+href\s*+=\s*+"
+    r"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
 )
-_ANCHOR_START = r"(?i)<a(?=\s)"
-# What follows a link's start: quoted or bare address, then the text up to its end.
-_HREF = r"""(?is)^[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-_LABEL = r"(?is)^[^>]*>(.*?)(?:</a\s*>|\z)"
+_LABEL = rf"(?is)^{_IN_TAG}>(.*?)(?:</a\s*>|\z)"
+# A tag within a label or a heading; a bare `<` up to the next `>` as well.
+_TAG = rf"<(?:/?[a-zA-Z]{_IN_TAG}|[^>]*+)>"
+_HIDDEN = rf"(?is)<!--.*?-->|<script\b{_IN_TAG}>.*?</script\s*>|<style\b{_IN_TAG}>.*?</style\s*>"
 _SEAM = "\ue000"  # private-use character that marks where a tag stood
 
 _AMPERSAND = "\ue001"  # stands for a numbered `&`, which starts no further reference
@@ -66,12 +75,12 @@ def unescape(text: Column) -> Column:
 
 def inner_text(fragment: Column) -> Column:
     """Text of a fragment, tags removed, white space as it stands."""
-    return unescape(F.regexp_replace(fragment, r"<[^>]*>", ""))
+    return unescape(F.regexp_replace(fragment, _TAG, ""))
 
 
 def stripped_text(fragment: Column) -> Column:
     """Text pieces between tags, each stripped, joined without a separator."""
-    marked = unescape(F.regexp_replace(fragment, r"<[^>]*>", _SEAM))
+    marked = unescape(F.regexp_replace(fragment, _TAG, _SEAM))
     return strip_space(
         F.regexp_replace(marked, rf"[{SPACE}]*{_SEAM}+[{SPACE}{_SEAM}]*", "")
     )
@@ -97,13 +106,13 @@ def anchors(html: Column) -> Column:
 
 def first_text(html: Column, tag: str) -> Column:
     """Text of the first element of this name; null when there is none."""
-    fragment = F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", 0)
+    fragment = F.regexp_extract(html, rf"(?is)<{tag}(?:\s{_IN_TAG})?>.*?</{tag}\s*>", 0)
     return F.when(fragment != "", inner_text(fragment))
 
 
 def paragraph_texts(html: Column, limit: int) -> Column:
     """Texts of the first `limit` paragraphs (a report of the page head)."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>"), F.lit(1))
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)<p(?:\s{_IN_TAG})?>(.*?)</p\s*>"), F.lit(1))
     return F.transform(F.slice(found, 1, limit), inner_text)
 
 
@@ -114,5 +123,5 @@ def heading_sections(html: Column) -> Column:
 
 def section_heading(section: Column) -> Column:
     """Lower-cased text of the heading a section starts with, null for none."""
-    fragment = F.regexp_extract(section, r"(?is)^<(h[2-4])(?:\s[^>]*)?>.*?</\1\s*>", 0)
+    fragment = F.regexp_extract(section, rf"(?is)^<(h[2-4])(?:\s{_IN_TAG})?>.*?</\1\s*>", 0)
     return F.when(fragment != "", F.lower(stripped_text(fragment)))

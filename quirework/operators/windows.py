@@ -5,12 +5,18 @@ A plain window puts a whole group into one task. Where groups can be large, pass
 head of a hash). The window then runs inside (group, chunk); what crosses chunks is
 one summary row for each, so a group holding a third of all rows is spread over
 as many tasks as it has chunks. Results are the same either way.
+
+The summaries of a group's chunks are combined in one task. Where a group can have millions of
+chunks, `tree` deals them out by ranges, combines each range by itself, and then the ranges,
+of which there are as many as tasks.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quirework.session import written
+
 
 def number_rows(
     df: DataFrame,
@@ -18,25 +24,23 @@ def number_rows(
     order: list[Column],
     name: str = "row_number",
     chunk: dict[str, Column] | None = None,
+    tree: bool = False,
 ) -> DataFrame:
-    """1, 2, ... per group in the given (total) order."""
+    """1, 2, ... per group in the given (total) order: int, or bigint with a `chunk`'s `tree`."""
     if not chunk:
         return df.withColumn(
             name, F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         )
-    chunked, keys, before = _chunked(df, group, chunk)
-    starts = (
-        chunked.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
+    chunked, keys = _chunked(df, group, chunk)
+    counts = chunked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    starts = _before(counts, keys, "_n", F.sum, F.sum, tree)
     inside = Window.partitionBy(*keys).orderBy(*order)
+    number = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")
     return (
         chunked.withColumn("_local", F.row_number().over(inside))
         .join(starts, keys)
-        .withColumn(name, (F.col("_start") + F.col("_local")).cast("int"))
-        .drop("_local", "_start", *keys)
+        .withColumn(name, number if tree else number.cast("int"))
+        .drop("_local", "_before", *keys)
     )
 
 
@@ -62,27 +66,32 @@ def carry_forward(
     name: str,
     default=None,
     chunk: dict[str, Column] | None = None,
+    tree: bool = False,
 ) -> DataFrame:
     """Latest non-null `value` at or before each row in its group's order."""
     if not chunk:
         running = Window.partitionBy(*group).orderBy(*order)
         latest = _latest(value, running)
         return df.withColumn(name, _or_default(latest, default))
-    chunked, keys, before = _chunked(df, group, chunk)
+    chunked, keys = _chunked(df, group, chunk)
     # The last value of each chunk; a chunk without one passes on what came before.
     last = F.max(F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value))))
-    opening = (
-        chunked.groupBy(*keys)
-        .agg(last.getField(value).alias("_close"))
-        .withColumn("_open", F.last("_close", ignorenulls=True).over(before))
-        .drop("_close")
-    )
+    closing = chunked.groupBy(*keys).agg(last.getField(value).alias("_close"))
+
+    def latest(column):
+        return F.last(column, ignorenulls=True)
+
+    def latest_of(column):
+        place = F.struct(*[k for k in keys if k.startswith("_chunk")], F.col(column).alias("_value"))
+        return F.max(F.when(F.col(column).isNotNull(), place)).getField("_value")
+
+    opening = _before(closing, keys, "_close", latest, latest_of, tree)
     inside = Window.partitionBy(*keys).orderBy(*order)
     return (
         chunked.withColumn("_inside", _latest(value, inside))
         .join(opening, keys)
-        .withColumn(name, _or_default(F.coalesce("_inside", "_open"), default))
-        .drop("_inside", "_open", *keys)
+        .withColumn(name, _or_default(F.coalesce("_inside", "_before"), default))
+        .drop("_inside", "_before", *keys)
     )
 
 
@@ -95,8 +104,7 @@ def number_items(df: DataFrame, items: str, name: str, position: str) -> DataFra
 
 
 def _chunked(df: DataFrame, group: list[str], chunk: dict[str, Column]):
-    """Rows with never-null keys for (group, chunk), their names, and the window over
-    the earlier chunks of a group.
+    """Rows with never-null keys for (group, chunk), and their names.
 
     A null key would be lost in the join with the chunk summaries, so it becomes its
     type's zero with a flag beside it. Nulls come first, as in an ascending sort.
@@ -109,13 +117,36 @@ def _chunked(df: DataFrame, group: list[str], chunk: dict[str, Column]):
         source = sources[field.name]
         columns[f"{field.name}_known"] = source.isNotNull()
         columns[field.name] = F.coalesce(source, _zero(field.dataType))
-    keys = list(columns)
-    before = (
-        Window.partitionBy(*[k for k in keys if k.startswith("_group")])
-        .orderBy(*[k for k in keys if k.startswith("_chunk")])
-        .rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumns(columns), list(columns)
+
+
+def _before(summaries: DataFrame, keys: list[str], value: str, combined, total, tree: bool) -> DataFrame:
+    """`_before`: what a group's earlier chunks have come to; `keys` of each chunk.
+
+    `combined` gives that over a window, `total` over all chunks of a range.
+    """
+    groups = [k for k in keys if k.startswith("_group")]
+    chunks = [k for k in keys if k.startswith("_chunk")]
+
+    def earlier(by: list[str], order: list[str], column: str) -> Column:
+        window = Window.partitionBy(*by).orderBy(*order)
+        return combined(column).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    if not tree:
+        return summaries.withColumn("_before", earlier(groups, chunks, value)).drop(value)
+    # Written, since a range's number must be the same wherever it is read.
+    placed = written(
+        summaries.repartitionByRange(*groups, *chunks).withColumn("_range", F.spark_partition_id()), "ranges"
     )
-    return df.withColumns(columns), keys, before
+    ranges = placed.groupBy(*groups, "_range").agg(total(value).alias("_total"))
+    ranges = ranges.withColumn("_ranges", earlier(groups, ["_range"], "_total")).drop("_total")
+    inside = placed.withColumn("_inside_range", earlier([*groups, "_range"], chunks, value)).drop(value)
+    both = inside.join(ranges, [*groups, "_range"])
+    if combined is F.sum:
+        known = F.coalesce("_inside_range", F.lit(0)) + F.coalesce("_ranges", F.lit(0))
+    else:
+        known = F.coalesce("_inside_range", "_ranges")
+    return both.withColumn("_before", known).select(*keys, "_before")
 
 
 def _zero(kind: T.DataType) -> Column:

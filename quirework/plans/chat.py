@@ -7,7 +7,7 @@ from quirework.constants import OPTIONS_PER_QUESTION, SYSTEM_PROMPT
 from quirework.functions.chat import chat_messages
 from quirework.functions.keys import hash_bucket
 from quirework.operators.aggregates import pivot_slots
-from quirework.operators.joins import broadcast_join
+from quirework.operators.joins import equi_join
 from quirework.operators.projections import conform
 from quirework.operators.windows import first_rows
 from quirework.schemas import CHAT_EXAMPLE
@@ -50,7 +50,7 @@ def chat_examples(
     """
     options = question_options(answers, option_order or ["answer_id"])
     levels = exams.select("exam_id", "topik_level")
-    joined = broadcast_join(questions.join(options, "question_id"), levels, "exam_id")
+    joined = equi_join(questions.join(options, "question_id"), levels, "exam_id")
     messages = chat_messages(
         level=F.col("topik_level"),
         topic=F.col("topic"),

@@ -14,6 +14,8 @@ from quirework.plans.bronze import file_audit, folder_audit, pages_raw
 from quirework.plans.chat import chat_examples
 from quirework.plans.stats import exam_stats
 from quirework.plans import star
+from quirework.session import written
+from quirework.sources.files import dealt_by_size, of_content
 from quirework.sources.metadata import list_files, read_metadata
 from quirework.sources.tables import read_table, write_checked, write_table, write_tables
 
@@ -26,13 +28,15 @@ def run_bronze(
     as_of: str | None = None,
     parallelism: int | None = None,
     audit_path: str | None = None,
+    content: bool = False,
 ) -> dict[str, int]:
     """Parse the PDFs under `source` (a folder per exam) into the page table.
 
-    `parser` is called with each file's path, inside the tasks. The list of files is
-    small beside the work of parsing them, so it is spread over `parallelism` tasks
-    (four per core by default) whatever its size. Returns the audit counts, taken
-    in the same pass: pages, blank pages, files that failed or had no pages.
+    `parser` is called with each file's path, inside the tasks; with `content`, with its
+    bytes, which a task reads from the store, one file at a time. The list of files is small
+    beside the work of parsing them: it is spread over `parallelism` tasks, or dealt by
+    the files' sizes, 64 MB a task and one for each larger file. Returns the audit counts,
+    taken in the same pass: pages, blank pages, files that failed or had no pages.
 
     With `audit_path`, what the parser gives is written to `<audit_path>/parsed` and read
     back, and `<audit_path>/files` has a row for each file, with the error of those that
@@ -40,12 +44,16 @@ def run_bronze(
     read stops the job; `broken_metadata` names such files.
     """
     metadata = read_metadata(spark, source)
-    tasks = parallelism or 4 * spark.sparkContext.defaultParallelism
+    listed = written(list_files(spark, source), "files")
     audit = Observation()
 
     def parse(files: DataFrame) -> DataFrame:
         with_path = files.withColumn("_document", F.col("source_pdf_path"))
-        parsed = parse_documents(with_path, "_document", parser, tasks)
+        if not parallelism:
+            sizes = listed.select("source_pdf_path", (F.col("size_kb") * 1024).alias("_size"))
+            with_path = dealt_by_size(with_path.join(sizes, "source_pdf_path", "left"), "_size").drop("_size")
+        of_path = of_content(parser) if content else parser
+        parsed = parse_documents(with_path, "_document", of_path, parallelism)
         if audit_path:
             write_table(parsed, f"{audit_path}/parsed")
             parsed = read_table(spark, f"{audit_path}/parsed")
@@ -56,7 +64,7 @@ def run_bronze(
             F.count_if(F.col("status") == "empty").alias("files_empty"),
         )
 
-    pages = pages_raw(metadata, list_files(spark, source), parse, as_of)
+    pages = pages_raw(metadata, listed, parse, as_of)
     counts = {"pages": write_checked(pages, target)} | audit.get
     if audit_path:
         write_table(file_audit(read_table(spark, f"{audit_path}/parsed")), f"{audit_path}/files")

@@ -127,6 +127,20 @@ def fact_qa(answers: DataFrame, questions: DataFrame) -> DataFrame:
     return conform(keyed, FACT_QA)
 
 
+def fact_qa_of_pages(questions: DataFrame) -> DataFrame:
+    """The same rows as `fact_qa` of the two dimensions, straight from question rows.
+
+    Questions and options are unfolded in one pass over the pages: a question's key tells its
+    exam, and an option's key its question, so neither dimension is needed, nor a join.
+    """
+    options = questions.select("exam_id", "question_id", F.explode("answer_options").alias("o"))
+    linked = options.select(
+        "exam_id", "question_id", hash_key("question_id", F.col("o.answer_text")).alias("answer_id")
+    ).distinct()
+    keyed = linked.withColumn("qa_id", hash_key("exam_id", "question_id", "answer_id"))
+    return conform(keyed, FACT_QA)
+
+
 def incomplete_questions(questions: DataFrame, answers: DataFrame, wanted: int = 4) -> DataFrame:
     """Questions left with fewer distinct options than `wanted`."""
     counts = answers.groupBy("question_id").agg(F.count_distinct("answer_id").alias("n_options"))

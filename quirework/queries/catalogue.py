@@ -59,6 +59,26 @@ def page_links(spark, d):
     return C.page_links(D.table(spark, d, "pages"))
 
 
+# Links whose attributes hold what looks like ends of tags, other addresses and odd signs.
+_QUOTED_HTML = (
+    "concat('<a title=''a>b'' href=\"/q/', page_id, '\">One <img alt=\"x>y\"> two</a>"
+    "<a data-x=\" href=/no \" href = ''/r>s'' >R</a><A class=x/y HREF=/bare', page_id, '>bare</A>"
+    "<a =odd href=\"/odd\"title=\"t>\">odd</a><a xhref=\"/no\">none</a><a title=it''s href=\"/its\">its</a>"
+    "<a title=\"open href=\"/w\">w</a><h2 title=\"2 > 1\">Head <b class=\">\">ing</b></h2>', html)"
+)
+_QUOTED_PAGES = {"page_id": "page_id", "url": "url", "html": _QUOTED_HTML}
+
+
+def quoted_links(spark, d):
+    """The first links and the first heading of pages with signs of tags in their attributes."""
+    pages = D.derive(spark, d, "pages", _QUOTED_PAGES)
+    links = C.page_links(pages).filter("link_pos < 6").select("page_id", "link_pos", "href", "label")
+    head = C.page_head(pages, "page_id").select(
+        "page_id", F.lit(-1).alias("link_pos"), F.lit(None).cast("string").alias("href"), c("h2").alias("label")
+    )
+    return links.unionByName(head)
+
+
 def page_headings(spark, d):
     head = C.page_head(D.table(spark, d, "pages"), "page_id")
     return head.select(
@@ -89,6 +109,12 @@ QUERIES = {
         page_links,
         f"{_LINKS_SQL} SELECT page_id, url, link_pos, href, label FROM links",
     ),
+    "quoted_links": (
+        quoted_links,
+        """SELECT page_id, CAST(unnest([-1, 0, 1, 2, 3, 4, 5]) AS INTEGER) AS link_pos,
+          unnest([NULL, '/q/' || page_id, '/r>s', '/bare' || page_id, '/odd', '/its', 'open href=']) AS href,
+          unnest(['Heading', 'Onetwo', 'R', 'bare', 'odd', 'its', 'w']) AS label FROM pages""",
+    ),
     "page_headings": (
         page_headings,
         rf"""WITH v AS (SELECT page_id, {_VISIBLE} AS html FROM pages), x AS (SELECT page_id,

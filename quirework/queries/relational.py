@@ -96,7 +96,7 @@ def conjunction_filter(spark, d):
 
 
 def broadcast_join(spark, d):
-    return J.broadcast_join(
+    return J.equi_join(
         table(spark, d, "supplier").withColumnRenamed("s_nationkey", "nationkey"),
         table(spark, d, "nation").withColumnRenamed("n_nationkey", "nationkey"),
         "nationkey",
@@ -110,7 +110,7 @@ def shuffled_join(spark, d):
     orders = table(spark, d, "orders").select(
         c("o_orderkey").alias("orderkey"), "o_custkey", "o_orderpriority"
     )
-    return J.shuffled_join(lines, orders, "orderkey")
+    return J.equi_join(lines, orders, "orderkey")
 
 
 def left_join(spark, d):
@@ -121,6 +121,18 @@ def left_join(spark, d):
     return J.left_join(orders, lines, "orderkey", many_matches=True)
 
 
+def hot_left_join(spark, d):
+    """Orders with lines of which a third have the first order's key."""
+    orders = table(spark, d, "orders").select(c("o_orderkey").alias("orderkey"), "o_custkey")
+    lines = table(spark, d, "lineitem").select(
+        F.when(c("l_orderkey") % 3 == 0, F.lit(1)).otherwise(c("l_orderkey")).alias("orderkey"),
+        c("l_orderkey").alias("line_order"),
+        "l_linenumber",
+        "l_partkey",
+    )
+    return J.left_join(orders, lines, "orderkey", many_matches=True)
+
+
 def semi_join(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang", "source")
     return J.keep_existing(docs, table(spark, d, "labels"), "doc_id")
@@ -135,6 +147,17 @@ def gap_fill(spark, d):
     return J.fill_gaps(per_line, ["l_orderkey"], "l_linenumber", "quantity", 0, "line_count")
 
 
+def spread_gap_fill(spark, d):
+    """Order numbers of a priority as a line of numbers, one of which is a third of all rows."""
+    orders = table(spark, d, "orders").select(
+        F.when(c("o_orderkey") % 3 == 0, F.lit("0-ALL")).otherwise(c("o_orderpriority")).alias("line"),
+        c("o_orderkey").alias("number"),
+        "o_orderstatus",
+    )
+    dense = J.fill_gaps(orders, ["line"], "number", "o_orderstatus", "-", "last", spread=True)
+    return dense.filter("number % 10 < 5")
+
+
 def distinct_rows(spark, d):
     return A.distinct_rows(table(spark, d, "documents").select("text", "lang"))
 
@@ -316,6 +339,21 @@ QUERIES = {
         """SELECT o_orderkey AS orderkey, o_custkey, l_partkey, l_linenumber
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
     ),
+    "hot_left_join": (
+        hot_left_join,
+        """SELECT o_orderkey AS orderkey, o_custkey, l_orderkey AS line_order, l_linenumber, l_partkey
+        FROM orders LEFT JOIN lineitem
+          ON o_orderkey = CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_orderkey END""",
+    ),
+    "spread_gap_fill": (
+        spread_gap_fill,
+        """WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN '0-ALL' ELSE o_orderpriority END AS line,
+            o_orderkey AS number, o_orderstatus FROM orders),
+          n AS (SELECT line, last, unnest(range(1, last + 1)) AS number FROM (
+            SELECT line, max(number) AS last FROM o GROUP BY 1))
+        SELECT line, number, last, coalesce(o_orderstatus, '-') AS o_orderstatus
+        FROM n LEFT JOIN o USING (line, number) WHERE number % 10 < 5""",
+    ),
     "semi_join": (
         semi_join,
         """SELECT doc_id, lang, source FROM documents d

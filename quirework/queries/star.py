@@ -11,6 +11,8 @@ from quirework.operators.windows import number_rows
 from quirework.plans import bronze, chat, star, stats
 from quirework.queries import derive as D
 from quirework.queries.text import sql_clean, sql_strip
+from quirework.session import shared_folder
+from quirework.sources.tables import read_table
 
 c = F.col
 AS_OF = "2025-03-01"
@@ -123,8 +125,7 @@ def dim_answer(spark, d):
 
 
 def fact_qa(spark, d):
-    questions = _questions(spark, d)
-    return star.fact_qa(star.dim_answer(questions), star.dim_question(questions))
+    return star.fact_qa_of_pages(_questions(spark, d))
 
 
 # ---- Orders as questions ---------------------------------------------------
@@ -254,13 +255,7 @@ def answer_order(spark, d):
     return number_rows(unique, ["question_id"], [c("answer_id")], "answer_order")
 
 
-def exam_stats(spark, d):
-    table = stats.exam_stats(
-        D.derive(spark, d, "orders", D.QUESTIONS),
-        D.derive(spark, d, "lineitem", D.ANSWERS),
-        f"{AS_OF} 00:00:00",
-    )
-
+def _printed_maps(table):
     def text(name):
         entries = F.array_sort(F.map_entries(name))
         return F.array_join(
@@ -272,6 +267,30 @@ def exam_stats(spark, d):
     )
 
 
+def exam_stats(spark, d):
+    return _printed_maps(
+        stats.exam_stats(
+            D.derive(spark, d, "orders", D.QUESTIONS),
+            D.derive(spark, d, "lineitem", D.ANSWERS),
+            f"{AS_OF} 00:00:00",
+        )
+    )
+
+
+def refreshed_stats(spark, d):
+    """Statistics of most orders, then of late ones of some customers, then of one customer anew."""
+    folder = shared_folder(spark)
+    questions = D.derive(spark, d, "orders", {**D.QUESTIONS, "late": "o_custkey % 7 = 3 AND o_orderkey % 2 = 0"})
+    answers = D.derive(spark, d, "lineitem", D.ANSWERS)
+    stats.start_stats(folder, questions.filter("NOT late"), answers, "first", "2025-01-01 00:00:00")
+    late = questions.filter("late")
+    stats.refresh_stats(folder, late, answers, "late", f"{AS_OF} 00:00:00")
+    stats.refresh_stats(folder, late, answers, "late", f"{AS_OF} 00:00:00")  # repeated, as after a lost run
+    again = questions.filter("exam_id = '8'")
+    stats.refresh_stats(folder, again, answers, "again", "2025-04-01 00:00:00", replaced=True)
+    return _printed_maps(read_table(spark, f"{folder}/stats").drop("bucket"))
+
+
 def split_and_gate(spark, d):
     questions = D.derive(spark, d, "orders", D.QUESTIONS)
     return chat.split_examples(
@@ -316,6 +335,24 @@ def _examples_sql(options: str, where: str = "", tables: str = _ORDERS_SQL) -> s
     SELECT * FROM x {where}"""
 
 
+def _stats_sql(last_updated):
+    return f"""WITH q AS ({D.as_sql('orders', D.QUESTIONS)}), a AS ({D.as_sql('lineitem', D.ANSWERS)}),
+          qa AS (SELECT exam_id, count(*) AS total_answers,
+            avg(len(string_split(raw_answer_text, ' '))) AS avg_word_count_answer
+            FROM q JOIN a USING (question_id) GROUP BY 1),
+          qs AS (SELECT exam_id, count(*) AS total_questions,
+            avg(len(string_split(raw_question_text, ' '))) AS avg_word_count_question FROM q GROUP BY 1),
+          df AS (SELECT exam_id, string_agg(k || '=' || n, ',' ORDER BY k) AS s FROM (SELECT exam_id,
+            difficulty_level AS k, count(*) AS n FROM q GROUP BY 1, 2) GROUP BY 1),
+          ty AS (SELECT exam_id, string_agg(k || '=' || n, ',' ORDER BY k) AS s FROM (SELECT exam_id,
+            question_type AS k, count(*) AS n FROM q WHERE question_type IS NOT NULL GROUP BY 1, 2) GROUP BY 1)
+        SELECT sha256(exam_id) AS stats_id, exam_id, CAST(total_questions AS INTEGER) AS total_questions,
+          CAST(coalesce(total_answers, 0) AS INTEGER) AS total_answers, avg_word_count_question,
+          avg_word_count_answer, df.s AS distribution_by_difficulty,
+          coalesce(ty.s, '') AS distribution_by_type, {last_updated} AS last_updated
+        FROM qs LEFT JOIN qa USING (exam_id) LEFT JOIN df USING (exam_id) LEFT JOIN ty USING (exam_id)"""
+
+
 QUERIES = {
     "pages_raw": (
         pages_raw,
@@ -429,23 +466,14 @@ QUERIES = {
             _REPLIES_SQL,
         ),
     ),
-    "exam_stats": (
-        exam_stats,
-        f"""WITH q AS ({D.as_sql('orders', D.QUESTIONS)}), a AS ({D.as_sql('lineitem', D.ANSWERS)}),
-          qa AS (SELECT exam_id, count(*) AS total_answers,
-            avg(len(string_split(raw_answer_text, ' '))) AS avg_word_count_answer
-            FROM q JOIN a USING (question_id) GROUP BY 1),
-          qs AS (SELECT exam_id, count(*) AS total_questions,
-            avg(len(string_split(raw_question_text, ' '))) AS avg_word_count_question FROM q GROUP BY 1),
-          df AS (SELECT exam_id, string_agg(k || '=' || n, ',' ORDER BY k) AS s FROM (SELECT exam_id,
-            difficulty_level AS k, count(*) AS n FROM q GROUP BY 1, 2) GROUP BY 1),
-          ty AS (SELECT exam_id, string_agg(k || '=' || n, ',' ORDER BY k) AS s FROM (SELECT exam_id,
-            question_type AS k, count(*) AS n FROM q WHERE question_type IS NOT NULL GROUP BY 1, 2) GROUP BY 1)
-        SELECT sha256(exam_id) AS stats_id, exam_id, CAST(total_questions AS INTEGER) AS total_questions,
-          CAST(coalesce(total_answers, 0) AS INTEGER) AS total_answers, avg_word_count_question,
-          avg_word_count_answer, df.s AS distribution_by_difficulty,
-          coalesce(ty.s, '') AS distribution_by_type, TIMESTAMP '{AS_OF} 00:00:00' AS last_updated
-        FROM qs LEFT JOIN qa USING (exam_id) LEFT JOIN df USING (exam_id) LEFT JOIN ty USING (exam_id)""",
+    "exam_stats": (exam_stats, _stats_sql(f"TIMESTAMP '{AS_OF} 00:00:00'")),
+    "refreshed_stats": (
+        refreshed_stats,
+        _stats_sql(
+            f"""CASE WHEN exam_id = '8' THEN TIMESTAMP '2025-04-01 00:00:00' WHEN exam_id IN (
+              SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_custkey % 7 = 3 AND o_orderkey % 2 = 0)
+            THEN TIMESTAMP '{AS_OF} 00:00:00' ELSE TIMESTAMP '2025-01-01 00:00:00' END"""
+        ),
     ),
     "split_and_gate": (
         split_and_gate,

@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from quirework.operators.hooks import parse_documents
 from quirework.operators.projections import conform
 from quirework.plans.chat import split_examples
 from quirework.queries import derive as D
 from quirework.schemas import METADATA
 from quirework.session import shared_folder
+from quirework.sources import files as Files
 from quirework.sources import metadata as M
 from quirework.sources import tables as T
 
@@ -47,6 +49,61 @@ def broken_metadata(spark, d):
     )
 
 
+def _document_files(spark, d):
+    """Every document as a file of its source's folder; every tenth one is no UTF-8. The root."""
+    root = shared_folder(spark)
+    name = F.concat(c("source"), F.lit("/part="), c("doc_id") % 3, F.lit("/"), c("doc_id"), F.lit(".Txt"))
+    broken = F.concat(F.unhex(F.lit("C328")), c("text").cast("binary"))
+    docs = D.table(spark, d, "documents").select(
+        name.alias("name"), F.when(c("doc_id") % 10 == 7, broken).otherwise(c("text").cast("binary")).alias("content")
+    )
+    Files.write_files(docs, root, "name", "content")
+    return root
+
+
+def listed_files(spark, d):
+    """Paths under the root and kilobytes of files in nested folders, listed by tasks."""
+    root = _document_files(spark, d)
+    files = M.list_files(spark, root, "*.[tT][xX][tT]")
+    inner = Files.located(root)[1]
+    return files.select(F.replace("source_pdf_path", F.lit(inner + "/"), F.lit("")).alias("path"), "size_kb")
+
+
+def parsed_files(spark, d):
+    """Pages out of files' bytes; those of broken files are a row with the error's kind."""
+
+    def lines_as_pages(data: bytes) -> dict[int, str]:
+        return {i: line for i, line in enumerate(data.decode().split("\n"), start=1) if line.strip(" ")}
+
+    files = Files.list_tree(spark, _document_files(spark, d), "*.Txt").withColumn("file", c("path"))
+    dealt = Files.dealt_by_size(files, "size", 8 << 20)
+    pages = parse_documents(dealt, "path", Files.of_content(lines_as_pages))
+    return pages.select(
+        F.regexp_extract("file", r"([0-9]+)\.Txt$", 1).cast("bigint").alias("doc_id"),
+        "size", "status", "page_count", "page_number", "raw_text",
+        F.regexp_extract("error", "^[A-Za-z]+", 0).alias("error"),
+    )
+
+
+def metadata_paths(spark, d):
+    """Metadata with the path that folder and file name give, read back from its folders."""
+    root = shared_folder(spark)
+    records = D.derive(spark, d, "documents", D.METADATA).drop("source_pdf_path")
+    M.write_metadata(records, root)
+    back = M.read_metadata(spark, root, pattern="*/*.json", json_array=False)
+    inner = Files.located(root)[1]
+    return back.select("exam_folder", F.replace("source_pdf_path", F.lit(inner), F.lit("")).alias("path"))
+
+
+def overwritten_input(spark, d):
+    """A table overwritten by a query that reads it."""
+    path = shared_folder(spark)
+    docs = D.table(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    T.write_table(docs, path, partition_by=["lang"])
+    T.write_table(T.read_table(spark, path).withColumn("n_chars", c("n_chars") + 1), path, partition_by=["lang"])
+    return T.read_table(spark, path)
+
+
 def crawled_pages(spark, d):
     return M.read_pages(spark, f"{d}/pages.parquet").select(
         "page_id", "url", F.length("html").alias("html_chars")
@@ -111,6 +168,33 @@ QUERIES = {
         f"""SELECT DISTINCT exam_folder, true AS has_data
         FROM ({D.as_sql('documents', D.METADATA)})""",
     ),
+    "listed_files": (
+        listed_files,
+        """SELECT source || '/part=' || doc_id % 3 || '/' || doc_id || '.Txt' AS path,
+          round((strlen(text) + CASE WHEN doc_id % 10 = 7 THEN 2 ELSE 0 END) / 1024.0::DOUBLE, 1) AS size_kb
+        FROM documents""",
+    ),
+    "parsed_files": (
+        parsed_files,
+        """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines, doc_id % 10 = 7 AS bad,
+            (strlen(text) + CASE WHEN doc_id % 10 = 7 THEN 2 ELSE 0 END)::BIGINT AS size FROM documents),
+          n AS (SELECT *, list_max(list_filter(range(1, len(lines) + 1),
+            lambda i: trim(lines[i], ' ') <> '')) AS last FROM l),
+          p AS (SELECT doc_id, size, lines, last, unnest(range(1, last + 1)) AS i FROM n WHERE NOT bad)
+        SELECT doc_id, size, 'ok' AS status, CAST(last AS INTEGER) AS page_count, CAST(i AS INTEGER) AS page_number,
+          CASE WHEN trim(lines[i], ' ') = '' THEN '' ELSE lines[i] END AS raw_text, NULL AS error FROM p
+        UNION ALL SELECT doc_id, size, CASE WHEN bad THEN 'failed' ELSE 'empty' END, NULL, NULL, NULL,
+          CASE WHEN bad THEN 'UnicodeDecodeError' END FROM n WHERE bad OR last IS NULL""",
+    ),
+    "metadata_paths": (
+        metadata_paths,
+        f"""SELECT exam_folder, '/exam_folder=' || exam_folder || '/' || filename AS path
+        FROM ({D.as_sql('documents', D.METADATA)})""",
+    ),
+    "overwritten_input": (
+        overwritten_input,
+        "SELECT doc_id, n_chars + 1 AS n_chars, lang FROM documents",
+    ),
     "broken_metadata": (
         broken_metadata,
         f"""SELECT exam_folder, CASE WHEN doc_id % 10 = 9 THEN 'broken' ELSE 'read' END AS status,

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,3 +18,10 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         return tempfile.mkdtemp(prefix="quirework-")
     return f"{root.rstrip('/')}/quirework-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a table in the shared folder: lineage ends there."""
+    spark, path = df.sparkSession, f"{shared_folder(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirework.schemas import METADATA
+from quirework.sources.files import is_known, list_tree, read_contents
 from quirework.sources.tables import write_table
 
 
@@ -107,16 +108,17 @@ def write_metadata(df: DataFrame, path: str, folder: str = "exam_folder") -> int
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.[pP][dD][fF]") -> DataFrame:
-    """(source_pdf_path, size_kb) of files in any folder under `root`, content unread."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(root)
-    )
+    """(source_pdf_path, size_kb) of files in any folder under `root`, content unread.
+
+    Tasks list the folders. Only a store that they can't open is listed by Spark, on the driver.
+    """
+    if is_known(root):
+        files = list_tree(spark, root, pattern)
+    else:
+        files = read_contents(spark, root, pattern).drop("content")
     return files.select(
         F.regexp_replace("path", _LOCAL, "").alias("source_pdf_path"),
-        F.round(F.col("length") / 1024, 1).alias("size_kb"),
+        F.round(F.col("size") / 1024, 1).alias("size_kb"),
     )
 
 

@@ -1,14 +1,26 @@
 """Parquet and JSON tables: fixed-schema scans, counted writes, partition refresh."""
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet scan; a missing path is an error, a given schema is applied as it is."""
+    """Parquet scan; a missing path is an error, a given schema is applied as it is.
+
+    A table that is missing because an overwrite was lost between its two renames is put
+    in place first.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND" or not settle(spark, path):
+            raise
+        return reader.parquet(path)
 
 
 def read_partition(
@@ -29,43 +41,132 @@ def write_table(
 
     Partitioned writes are rebalanced first: each partition value gets few, evenly
     sized files, and the rows of a hot value are split over several tasks.
-    Overwriting a path that the query itself reads is refused: Spark would delete
-    the input before reading it.
+
+    Overwriting is staged: the rows go to a folder beside the table, which takes the table's
+    place by renaming once all are written. A job that is lost before leaves the old table
+    whole, and a query can overwrite a table that it reads. What lies under or above such a
+    table can't be overwritten by the query. Where renaming is not atomic (object stores),
+    readers must wait for the job.
     """
-    if mode == "overwrite":
-        _refuse_own_input(df, path)
     counted = Observation()
     out = df.hint("rebalance", *partition_by) if partition_by else df
+    staged = None
+    if mode == "overwrite" and hasattr(df, "_jdf"):  # a remote session has no file systems
+        refuse_nested_input(df, path)
+        settle(df.sparkSession, path)
+        staged = _Folder(df.sparkSession, path).beside(f"{uuid.uuid4().hex}.new")
     writer = out.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    try:
+        writer.save(str(staged) if staged else path)
+        if staged:
+            replace_by(df.sparkSession, path, staged)
+    except Exception:
+        if staged and not _Folder(df.sparkSession, path).pending():
+            staged.delete()
+        raise
     return counted.get["n"]
 
 
+class _Folder:
+    """A folder in a Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, path):
+        self.spark, jvm = spark, spark._jvm
+        self.path = jvm.org.apache.hadoop.fs.Path(str(path).rstrip("/"))
+        self.files = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        self.path = self.path.makeQualified(self.files.getUri(), self.files.getWorkingDirectory())
+
+    def __str__(self) -> str:
+        return self.path.toString()
+
+    def beside(self, suffix: str) -> "_Folder":
+        """Hidden from listings of the parent by its leading dot."""
+        return _Folder(self.spark, f"{self.path.getParent().toString().rstrip('/')}/.{self.path.getName()}.{suffix}")
+
+    def exists(self) -> bool:
+        return self.files.exists(self.path)
+
+    def delete(self) -> None:
+        self.files.delete(self.path, True)
+
+    def rename(self, to: "_Folder") -> None:
+        if not self.files.rename(self.path, to.path):
+            raise OSError(f"{self} could not be renamed to {to}")
+
+    def pending(self) -> str | None:
+        """The staged folder that a manifest beside this table names."""
+        manifest = self.beside("replacing")
+        if not manifest.exists():
+            return None
+        found = self.files.open(manifest.path)
+        try:
+            return found.readUTF()
+        finally:
+            found.close()
+
+
+def replace_by(spark: SparkSession, path: str, staged: _Folder) -> None:
+    """Put a staged folder, all written, in a table's place.
+
+    A manifest that names it comes first; from then on the new rows count, and `settle`
+    finishes what a lost driver left.
+    """
+    manifest = _Folder(spark, path).beside("replacing")
+    out = manifest.files.create(manifest.path, False)
+    try:
+        out.writeUTF(str(staged))
+    finally:
+        out.close()
+    settle(spark, path)
+
+
+def settle(spark: SparkSession, path: str) -> bool:
+    """Finish an overwrite whose manifest is there; whether there was one."""
+    table = _Folder(spark, path)
+    named = table.pending()
+    if named is None:
+        return False
+    staged, retired = _Folder(spark, named), table.beside("retired")
+    if staged.exists():
+        if table.exists():
+            if retired.exists():
+                retired.delete()
+            table.rename(retired)
+        staged.rename(table)
+    table.beside("replacing").delete()
+    if retired.exists():
+        retired.delete()
+    return True
+
+
 def _input_roots(df: DataFrame) -> list[str]:
-    """Root paths of the file relations in the plan, not the files under them."""
+    """Root paths of the file relations in the plan, of either kind, not the files under them.
+
+    The analyzed plan shows what a cached table reads, too.
+    """
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     found = []
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
-        if leaf.getClass().getSimpleName() == "LogicalRelation":
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRelation" and hasattr(leaf.relation(), "location"):
             roots = leaf.relation().location().rootPaths()
-            found += [roots.apply(k).toString() for k in range(roots.size())]
+        elif kind in ("DataSourceV2Relation", "DataSourceV2ScanRelation") and hasattr(leaf.table(), "fileIndex"):
+            roots = leaf.table().fileIndex().rootPaths()
+        else:
+            continue
+        found += [roots.apply(k).toString() for k in range(roots.size())]
     return found
 
 
-def _refuse_own_input(df: DataFrame, path: str) -> None:
-    if not hasattr(df, "_jdf"):  # a remote session does not show its plan
-        return
-    spark = df.sparkSession
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    target = hadoop_path.makeQualified(file_system.getUri(), file_system.getWorkingDirectory())
-    mine = target.toString().rstrip("/") + "/"
+def refuse_nested_input(df: DataFrame, path: str) -> None:
+    """An error if the query reads a folder around `path`, or one within it."""
+    mine = f"{_Folder(df.sparkSession, path)}/"
     for root in _input_roots(df):
         other = root.rstrip("/") + "/"
-        if mine.startswith(other) or other.startswith(mine):
+        if mine != other and (mine.startswith(other) or other.startswith(mine)):
             raise ValueError(f"{path} is read by this query (as {root}); write elsewhere")
 
 

@@ -228,3 +228,64 @@ def test_row_functions_run_on_a_stream(spark, tmp_path):
              .trigger(availableNow=True).start(target))
     query.awaitTermination(120)
     assert sorted(r.n for r in spark.read.parquet(target).collect()) == [0, 1]
+
+
+def test_bronze_reads_contents(spark, tmp_path):
+    (tmp_path / "in" / "x").mkdir(parents=True)
+    names = ["1-Reading-Test-Paper.pdf", "2-Reading-Test-Paper.pdf"]
+    rows = [{"filename": n, "file_type": "Test Paper"} for n in names]
+    (tmp_path / "in" / "x" / "metadata.json").write_text(json.dumps(rows), encoding="utf-8")
+    (tmp_path / "in" / "x" / names[0]).write_bytes("한 글".encode())
+    (tmp_path / "in" / "x" / names[1]).write_bytes(b"\xff")
+    counts = layers.run_bronze(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), lambda data: {1: data.decode()}, content=True
+    )
+    assert counts == {"pages": 1, "pages_blank": 0, "files_failed": 1, "files_empty": 0}
+    assert [r.raw_text for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["한 글"]
+
+
+@pytest.mark.parametrize("replaced", [False, True])
+def test_statistics_kept_up_to_date_equal_those_computed_anew(spark, tmp_path, replaced):
+    from quirework.plans.stats import refresh_stats, start_stats
+
+    questions = spark.createDataFrame(
+        [(f"q{i}", [None, "a", "b", "c"][i % 4], ["easy", None, "hard"][i % 3], None if i % 5 else "grammar",
+          None if i % 7 == 6 else "one two " * (i % 4)) for i in range(60)],
+        "question_id string, exam_id string, difficulty_level string, question_type string, raw_question_text string",
+    )
+    answers = spark.createDataFrame(
+        [(f"q{i % 50}", None if i % 11 == 10 else "w " * (i % 6)) for i in range(130)],
+        "question_id string, raw_answer_text string",
+    )
+    folder, early = str(tmp_path / "mart"), c("question_id") < "q3"
+    start_stats(folder, questions.filter(early), answers, "1", "2025-01-01 00:00:00")
+    changed = c("exam_id").isin("a", "b") if not replaced else c("exam_id").isNull()
+    later = questions.filter(changed if replaced else ~early & changed)
+    for _ in range(2):
+        n = refresh_stats(folder, later, answers, "2", "2025-02-01 00:00:00", replaced)
+    assert n >= later.select("exam_id").distinct().count()
+    rest = questions.filter(early & ~F.coalesce(changed, F.lit(False))).unionByName(
+        later if replaced else questions.filter(changed)
+    )
+    want = {r.exam_id: r for r in exam_stats(rest, answers, "2025-01-01 00:00:00").collect()}
+    got = {r.exam_id: r for r in spark.read.parquet(f"{folder}/stats").drop("bucket").collect()}
+    assert set(got) == set(want)
+    for exam, row in got.items():
+        own = later.filter(c("exam_id").eqNullSafe(F.lit(exam))).count()
+        assert row.last_updated.month == (2 if own else 1)
+        assert {k: v for k, v in row.asDict().items() if k != "last_updated"} == {
+            k: v for k, v in want[exam].asDict().items() if k != "last_updated"
+        }, exam
+
+
+def test_links_of_pages_equal_links_of_dimensions(spark):
+    text = QUESTION.format(n=5) + "\n" + QUESTION.format(n=6) + QUESTION.format(n=5)
+    pages = spark.createDataFrame([("e", 3, text), ("e", 4, text), ("f", 3, text)], "exam_id string, page_number int, t string")
+    from quirework.operators.blocks import segment_pages
+
+    questions = star.reliable_questions(segment_pages(pages, "t"))
+    joined = star.fact_qa(star.dim_answer(questions), star.dim_question(questions))
+    direct = star.fact_qa_of_pages(questions)
+    text = direct._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Scan ExistingRDD") == 1
+    assert sorted(direct.collect()) == sorted(joined.collect()) and direct.count() == 24

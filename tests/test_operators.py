@@ -58,11 +58,47 @@ def test_chunked_carry_forward_equals_plain(hot):
     )
 
 
+def test_a_tree_of_chunks_equals_plain(hot):
+    """As many chunks as rows, nearly."""
+    chunk = {"_b": F.floor(c("i") / 2)}
+    same(
+        W.number_rows(hot, ["k"], [c("i")], "n", chunk, tree=True).select("k", "i", "n"),
+        W.number_rows(hot, ["k"], [c("i")], "n").select("k", "i", "n"),
+    )
+    same(
+        W.carry_forward(hot, "v", ["k"], ["i"], "last", -1, chunk, tree=True).select("k", "i", "last"),
+        W.carry_forward(hot, "v", ["k"], ["i"], "last", -1).select("k", "i", "last"),
+    )
+
+
+def test_chunks_of_one_group_are_dealt_evenly(spark, tmp_path):
+    """No task combines more than twice the median of the chunks."""
+    from pathlib import Path
+
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    try:
+        rows = spark.range(400_000).select(F.lit("one").alias("k"), "id")
+        out = W.number_rows(rows, ["k"], [c("id")], "n", {"_b": c("id")}, tree=True)
+        assert out.filter("n != id + 1").count() == 0 and out.count() == 400_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (folder,) = set(shared.iterdir()) - before
+    sizes = sorted(r["count"] for r in spark.read.parquet(f"{folder}/ranges").groupBy("_range").count().collect())
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+
+
 def test_null_groups_and_chunks_are_kept(spark):
     rows = [(g, s, o, v) for g in (None, "a", "") for s, o, v in
             ((None, 0, None), (None, 1, "x"), ("", 2, None), ("p", 3, None), ("q", 4, "y"), ("q", 5, None))]
     df = spark.createDataFrame(rows, "g string, s string, o int, v string").repartition(3)
     same(W.number_rows(df, ["g"], [c("o")], "n", {"b": c("s")}), W.number_rows(df, ["g"], [c("o")], "n"))
+    same(W.number_rows(df, ["g"], [c("o")], "n", {"b": c("s")}, tree=True), W.number_rows(df, ["g"], [c("o")], "n"))
+    same(W.carry_forward(df, "v", ["g"], ["o"], "l", "-", {"b": c("s")}, tree=True),
+         W.carry_forward(df, "v", ["g"], ["o"], "l", "-"))
     same(W.carry_forward(df, "v", ["g"], ["o"], "l", "-", {"b": c("s")}),
          W.carry_forward(df, "v", ["g"], ["o"], "l", "-"))
 
@@ -130,6 +166,11 @@ def test_fill_gaps(spark):
     assert len(rows) == 2503 and rows["g", 2500] == "z" and rows["g", 1024] == ""
     assert {r[0] for r in dense.filter("k = 'f'").select("page_count").collect()} == {3}
     assert J.fill_gaps(df.limit(0), ["k"], "n", "t", "").count() == 0
+    odd = df.unionByName(spark.createDataFrame([("f", 0, "x"), ("f", -3, "y"), ("g", 7, None), ("h", 0, "z"), ("i", 3073, "t")], df.schema))
+    for frame in (df, odd):
+        same(J.fill_gaps(frame, ["k"], "n", "t", "-"), J.fill_gaps(frame, ["k"], "n", "t", "-", spread=True))
+    text = plan(J.fill_gaps(df, ["k"], "n", "t", "-"))
+    assert "Join" not in text and text.count("Exchange") == 1
 
 
 def test_nothing_compressible_is_broadcast(spark, tmp_path):
@@ -137,7 +178,7 @@ def test_nothing_compressible_is_broadcast(spark, tmp_path):
     path = str(tmp_path / "wide")
     spark.range(300_000).selectExpr("id % 1000 AS k", "repeat('x', 200) AS t", "id").coalesce(1).write.parquet(path)
     wide, keys = spark.read.parquet(path), spark.range(2_000_000).selectExpr("id % 1000 AS k", "id AS n")
-    joined = J.broadcast_join(keys.limit(5_000_000), wide, "k").groupBy("k").agg(F.max("t"))
+    joined = J.equi_join(keys.limit(5_000_000), wide, "k").groupBy("k").agg(F.max("t"))
     assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
 
@@ -145,6 +186,14 @@ def test_nothing_compressible_is_broadcast(spark, tmp_path):
 def test_left_join_with_many_matches(hot, spark):
     keys = spark.range(-5, 300).select(c("id").cast("int").alias("k"))
     same(J.left_join(keys, hot, "k", many_matches=True), J.left_join(keys, hot, "k"))
+    assert J.hot_keys(hot, ["k"]) == ['{"k":0}'] and J.hot_keys(hot.limit(0), ["k"]) == []
+    joined = J.left_join(keys.union(keys), hot, "k", many_matches=True)
+    same(joined, J.left_join(keys.union(keys), hot, "k"))
+    two = hot.withColumn("s", F.when(c("k") == 0, "a'b").otherwise("x"))
+    left = two.select("k", "s").distinct().unionByName(spark.createDataFrame([(0, None), (None, "x"), (7, "none")], "k int, s string"))
+    same(J.left_join(left, two, ["k", "s"], many_matches=True, salts=4), J.left_join(left, two, ["k", "s"]))
+    text = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join") == 1  # both sides once
 
 
 def test_hot_key_of_a_shuffled_join_is_split(spark, hot):
@@ -160,7 +209,7 @@ def test_hot_key_of_a_shuffled_join_is_split(spark, hot):
     try:
         hot = hot.fillna(0, ["k"])
         keys = spark.range(0, 200).select(c("id").cast("int").alias("k"), F.lit("x").alias("x"))
-        joined = J.shuffled_join(hot, keys, "k")
+        joined = J.equi_join(hot, keys, "k")
         assert len(joined.collect()) == 30_000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -210,8 +259,10 @@ def test_keys_do_not_depend_on_partitioning(spark, hot):
 def test_no_python_and_no_cross_join_in_native_queries(spark, small):
     from quirework.queries import all_queries
 
-    hooks = {"extractor_hook", "extractor_hook_validated", "extracted_replies", "file_audit", "parser_hook", "vectorized_text"}
-    writes = {"partition_scan", "written_counts", "refreshed_partition", "metadata_round_trip", "broken_metadata", "exported_splits"}
+    hooks = {"extractor_hook", "extractor_hook_validated", "extracted_replies", "file_audit", "parser_hook", "vectorized_text",
+             "file_listing", "listed_files", "parsed_files"}
+    writes = {"partition_scan", "written_counts", "refreshed_partition", "metadata_round_trip", "broken_metadata", "exported_splits",
+              "metadata_paths", "overwritten_input", "refreshed_stats"}
     for name, (run, _) in all_queries().items():
         if name in hooks or name in writes:
             continue

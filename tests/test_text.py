@@ -158,6 +158,29 @@ def test_html(spark):
     assert values(spark, page, lambda v: H.first_text(v, "h1")) == ["One two", None]
 
 
+def test_attributes_are_read_as_units(spark):
+    cases = {
+        "<a title='a>b' href='/x.pdf'>L</a>": ("/x.pdf", "L"),
+        '<a title="x href=\'/no\'" href=/yes>y</a>': ("/yes", "y"),
+        '<a title="x"href="/glued">g</a>': ("/glued", "g"),
+        "<a\nhref\n=\n'/lines'\n>l</a\n>": ("/lines", "l"),
+        '<a title="never closed href=/x>z</a>': ("/x", "z"),
+        "<a/href=/slash>s</a>": ("/slash", "s"),
+        "<a href=''>empty</a>": ("", "empty"),
+        "<a href=/one href=/two>first</a>": ("/one", "first"),
+        '<a href="/i"><img alt="1 > 0"> text <b title=\'<\'>b</b></a>': ("/i", "textb"),
+        "<a href=/m>1 < 2 > 3</a>": ("/m", "13"),
+        "<a hrefx=/no>n</a>": None,
+        "<a title=href=/no>n</a>": None,
+    }
+    got = values(spark, list(cases), H.anchors)
+    assert [(a[0].href, a[0].label) if a else None for a in got] == list(cases.values())
+    long = "<a " + "x='>' " * 20_000 + "href='/far'>" + "<b title='>'>" * 20_000 + "end</a>"
+    assert [(a.href, a.label) for a in values(spark, [long], H.anchors)[0]] == [("/far", "end")]
+    head = ["<h1 title='a > b'>One</h1>", "<h1>1 <i class=\">\">x</i></h1>"]
+    assert values(spark, head, lambda v: H.first_text(v, "h1")) == ["One", "1 x"]
+
+
 def test_json_repairs(spark):
     assert values(spark, ['so {"a": {"b": 1}} ok {', "none"], J.json_span) == ['{"a": {"b": 1}}', None]
     assert values(spark, [r"aé \uZZ \u12"], J.drop_bad_escapes) == [r"aé ZZ 12"]
