@@ -152,14 +152,14 @@ def op13_automaton_resample(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_attention_mil": (op1_attention_mil, None),
-    "op2_warc_members": (op2_warc_members, None),
+    "op2_warc_members": (op2_warc_members, sql.OP2),
     "op3_naive_bayes": (op3_naive_bayes, None),
-    "op4_lattice_cells": (op4_lattice_cells, None),
+    "op4_lattice_cells": (op4_lattice_cells, sql.OP4),
     "op5_feistel_pseudonyms": (op5_feistel_pseudonyms, None),
     "op6_window_simhash": (op6_window_simhash, None),
     "op7_token_shards": (op7_token_shards, None),
     "op8_simhash_pigeonring": (op8_simhash_pigeonring, None),
-    "op9_cover_anchors": (op9_cover_anchors, None),
+    "op9_cover_anchors": (op9_cover_anchors, sql.OP9),
     "op10_capped_mix": (op10_capped_mix, sql.OP10),
     "op11_lpt_heap": (op11_lpt_heap, sql.OP11),
     "op12_bitmask_codes": (op12_bitmask_codes, sql.OP12),

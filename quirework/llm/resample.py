@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.llm.shared import NO_ID, written
+from quirework.llm.shared import written
 from quirework.llm.words import values_of
 
 # Words and their payloads -----------------------------------------------------------------
@@ -284,9 +284,7 @@ def drawn(scored: DataFrame, percent: int, least_words: int) -> DataFrame:
         .where(F.col("before") < draw)
         .select("score", "before")
     )
-    ties = Window.partitionBy("score").orderBy(
-        F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)), "weight", "n_features"
-    )
+    ties = Window.partitionBy("score").orderBy(F.col("id").asc_nulls_last(), "weight", "n_features")
     high = scored.where(eligible).join(F.broadcast(starts), "score")
     rank = F.col("before") + F.row_number().over(ties)
     ranked = high.withColumn("rank", F.when(rank <= draw, rank)).drop("before")

@@ -6,13 +6,35 @@ import os
 import uuid
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.session import shared_folder
 
-#: Larger than any real id: rows without an id come after all others.
-NO_ID = 2**63 - 1
+
+def id_or_none(column: str) -> Column:
+    """A row's id for a minimum: a row without one comes after all others, whatever their ids are."""
+    return F.struct(F.col(column).isNull().alias("none"), F.col(column).cast("long").alias("id"))
+
+
+def apart(rows: DataFrame, number: str, digest: str) -> DataFrame:
+    """Rows with different digests get different numbers, which are 64 bits of the digests.
+
+    Of ten billion some are expected to be equal by chance. Those few are numbered anew from
+    their digests; only if these meet another number again is it an error.
+    """
+    met = rows.groupBy(number).agg(F.count("*").alias("met")).where("met > 1").select(number)
+    if met.isEmpty():
+        return rows
+    # As many as there are collisions; the digests are different.
+    again = F.broadcast(met.withColumnRenamed(number, "met"))
+    moved = rows.join(again, F.col(number) == F.col("met"), "left").withColumn(
+        number, F.when(F.col("met").isNull(), F.col(number)).otherwise(F.xxhash64(F.lit("again"), digest))
+    )
+    moved = written(moved.drop("met"), "apart")
+    if not moved.groupBy(number).agg(F.count("*").alias("met")).where("met > 1").isEmpty():
+        raise ValueError("two digests have the same number twice")
+    return moved
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.llm.links import components
-from quirework.llm.shared import NO_ID, written
+from quirework.llm.shared import id_or_none, written
 
 SEGMENTS, WIDTH = 8, 8
 
@@ -286,17 +286,15 @@ def near_duplicates(
     component's fingerprints; fingerprints are signed longs here.
     """
     prints = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    least = F.min(F.coalesce(F.col("id"), F.lit(NO_ID)))
-    nodes = written(prints.groupBy(F.col("fingerprint").alias("print")).agg(least.alias("least")), "nodes")
+    least = F.min(id_or_none("id")).alias("least")
+    nodes = written(prints.groupBy(F.col("fingerprint").alias("print")).agg(least), "nodes")
     roots = components(links(nodes.select("print"), radius, chain, block_rows))
     rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
         "print", "least", F.coalesce("root", "print").alias("group")
     )
-    named = rooted.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = rooted.groupBy("group").agg(F.min("least").alias("first"))
     by_print = rooted.join(named, "group").select(
-        F.col("print").alias("fingerprint"),
-        "group",
-        F.nullif(F.col("component_id"), F.lit(NO_ID)).alias("component_id"),
+        F.col("print").alias("fingerprint"), "group", F.col("first.id").alias("component_id")
     )
     return prints.join(by_print, "fingerprint").select("id", "tag", "fingerprint", "component_id", "group")
 
@@ -307,22 +305,23 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Of rows that share this id, that with the smallest fingerprint and hash of its text
     stays; rows without an id come last. The texts are shuffled once, by id and hash.
     """
-    order = F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "fingerprint", "tag")
+    order = F.struct(id_or_none("id").alias("of"), "fingerprint", "tag")
     kept = (
         near_duplicates(docs, id_col, text_col, **options)
         .groupBy("group")
         .agg(F.min(order).alias("first"))
-        .select("first.id", "first.tag")
+        .select("first.of.none", F.coalesce("first.of.id", F.lit(0)).alias("id"), "first.tag")
     )
     kept = written(kept, "kept")
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.col(id_col).isNull().alias("none"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
         F.xxhash64(F.col(text_col)).alias("tag"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
-    number = F.row_number().over(Window.partitionBy("id", "tag").orderBy(F.lit(0)))
+    number = F.row_number().over(Window.partitionBy("none", "id", "tag").orderBy(F.lit(0)))
     return (
-        rows.join(kept, ["id", "tag"], "left_semi")
+        rows.join(kept, ["none", "id", "tag"], "left_semi")
         .withColumn("number", number)
         .where("number = 1")
         .select("row.*")

@@ -167,3 +167,61 @@ ranked AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
 FROM scored LEFT JOIN ranked USING (doc_id)
 """
+
+#: SHA-1 in base 32: each five hex digits are four signs.
+OP2 = """
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (
+  SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS hexed,
+         min(page_id) OVER (PARTITION BY body) AS first
+  FROM bodies)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(hexed, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests
+"""
+
+#: All pairs are compared; components are what links reach.
+OP4 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reached(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM roots LEFT JOIN counts USING (vec_id)
+"""
+
+#: Every window as text, and the words that lie in one that a smaller document has.
+OP9 = """
+WITH listed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+words AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM listed),
+windows AS (
+  SELECT *, CASE WHEN pos <= n - 49 THEN md5(string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) END AS hash
+  FROM words),
+judged AS (
+  SELECT *, hash IS NOT NULL AND min(doc_id) OVER (PARTITION BY hash) < doc_id AS repeated FROM windows),
+covered AS (
+  SELECT doc_id, word, pos, max(repeated::INTEGER) OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 1 AS gone
+  FROM judged),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS text
+  FROM covered GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""

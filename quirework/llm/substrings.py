@@ -219,8 +219,10 @@ def emit_windows(window: int):
                     )
                     size = np.diff(np.concatenate((begin, [len(at)]))) + window - 1
                     row = first + cut.text[at[begin]]
+                    # Dealt out evenly: they only pass through.
+                    spread = mixed_bits(mixed_bits(at[begin].astype(np.uint64), 1) ^ mixed_bits(ids[row].view(np.uint64), 2))
                     yield batch_of(
-                        WINDOW_SCHEMA, h1=signed(mixed_bits(at[begin].astype(np.uint64) ^ ids[row].view(np.uint64))),
+                        WINDOW_SCHEMA, h1=signed(spread),
                         id=ids[row], tag=tags[row], place=cut.place[at[begin]], size=size,
                     )
 
@@ -309,8 +311,9 @@ def without_repeats(
     (without `with_text`: the SHA-256 of that). One row for each input row. Windows are
     judged on the input. Rows that share an id are not repeats of each other. Rows without
     an id come after all others, in an order of their texts' hashes; their id stays null.
-    An id of 2**62 or more is an error. A null text has no words. Of texts that are the same as a whole, those after the first
-    are settled by a digest of the text and take no further part.
+    An id of 2**62 or more is an error. A null text has no words. Of texts that are the same
+    as a whole, those after the first are settled by a digest of the text and take no further
+    part.
 
     The text is shuffled once, by id; the three passes that need it read that shuffle.
     """

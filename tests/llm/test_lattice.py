@@ -80,3 +80,57 @@ def test_recall(spark, cosine, least):
     rows = [(i, x.tolist()) for i, x in enumerate(np.concatenate((u, v)))]
     found = lattice.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     assert found.where("n_links = 1 and component_id = vec_id % 1500".replace("vec_id", "id")).count() >= least * 3000
+
+
+@pytest.mark.parametrize("vectors", [300_000, 10**9])
+def test_recall_of_the_schemes_for_larger_tables(spark, vectors):
+    """Pairs at cosine 0.95 are found as in small tables, and far fewer unrelated ones meet."""
+    draw = np.random.default_rng(9)
+    u = draw.normal(size=(1500, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w = draw.normal(size=u.shape)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    v = 0.951 * u + np.sqrt(1 - 0.951**2) * w
+    rows = [(i, x.tolist()) for i, x in enumerate(np.concatenate((u, v)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = lattice.near_duplicates(frame, **lattice.scheme(vectors))
+    assert found.where("n_links = 1 and component_id = id % 1500").count() >= 0.97 * 3000
+    unrelated = {}
+    for n in (1000, vectors):
+        met, tables = 0, lattice.Tables(64, seed=1, **(lattice.scheme(n) | {"tables": 4}))
+        for own, probes in tables.cells(u):
+            met += np.isin(probes, own).sum()
+        unrelated[n] = met
+    assert unrelated[vectors] * 50 < unrelated[1000]
+
+
+def test_probes_are_the_nearest_cells():
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(50, 16))
+    tables = lattice.Tables(16, tables=1, scale=1.0, neighbours=20, seed=1, blocks=2)
+    y = x @ tables.directions[0] + tables.shifts[0]
+    cost, points = np.zeros((50, 1)), np.zeros((50, 1, 0), np.int64)
+    for at in (0, 8):
+        cost, points = tables.joined(cost, points, *tables.near(y[:, at : at + 8]))
+    own = np.concatenate((lattice.e8_point(y[:, :8]), lattice.e8_point(y[:, 8:])), axis=1)
+    assert (points[:, 0] == own).all() and points.shape == (50, 21, 16)
+    farther = ((y[:, None] - points / 2) ** 2).sum(axis=2) - ((y - own / 2) ** 2).sum(axis=1)[:, None]
+    assert np.allclose(farther, cost)
+
+
+def test_the_largest_id_is_an_id(spark):
+    top = 2**63 - 1
+    frame = spark.createDataFrame([(top, [1.0, 2.0]), (None, [1.0, 2.0]), (top, [-1.0, 2.0])], "vec_id long, embedding array<float>")
+    got = sorted(str(tuple(r)) for r in lattice.near_duplicates(frame).collect())
+    assert got == sorted([f"({top}, 1, {top}, True)", f"(None, 1, {top}, False)", f"({top}, 0, {top}, True)"])
+
+
+def test_equal_numbers_of_different_digests_are_set_apart(spark):
+    from quirework.llm.shared import apart
+
+    rows = [(7, b"a", 1), (7, b"b", 2), (8, b"c", 3), (7, b"d", 4)]
+    got = apart(spark.createDataFrame(rows, "node long, digest binary, n int"), "node", "digest").collect()
+    assert len({r.node for r in got}) == 4 and {r.n: r.node for r in got}[3] == 8
+    with pytest.raises(ValueError, match="same number"):
+        apart(spark.createDataFrame(rows[:1] * 2, "node long, digest binary, n int"), "node", "digest")

@@ -49,5 +49,11 @@ def test_stages_take_effect_on_what_is_left(spark, small):
 
 
 def test_run_is_the_stages_in_turn(spark, small):
+    """Row for row, each stage applied to what the one before it left."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, small), "stage")
     rows = corpus_pipeline.run(spark, small)
-    assert rows.count() > 100 and rows.columns == ["doc_id", "repeat", "start", "n_tokens", "ids_crc32"]
+    assert rows.columns == ["doc_id", "repeat", "start", "n_tokens", "ids_crc32"]
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, docs.collect())) and docs.count() > 100
+    assert [name for name, _ in corpus_pipeline.STAGES][:3] == ["quality classifier", "SimHash near-dedup", "benchmark decontamination"]

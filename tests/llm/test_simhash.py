@@ -65,6 +65,13 @@ def test_missing_and_repeated_ids(spark, docs_of):
     ]
 
 
+def test_the_largest_id_is_an_id(spark, docs_of):
+    top = 2**63 - 1
+    docs = docs_of([(top, "x y z", None, None), (None, "x y z", None, None), (top, "other text here", None, None)])
+    assert {r.component_id for r in simhash.near_duplicates(docs).collect()} == {top}
+    assert sorted((r.doc_id, r.text) for r in simhash.first_of_each(docs).collect()) == [(top, "other text here"), (top, "x y z")]
+
+
 @pytest.mark.parametrize("block_rows", [7, 64, 16_384])
 def test_clusters_and_long_runs(spark, block_rows):
     """A dense group, chains of small steps and strangers, with long runs cut into blocks."""
