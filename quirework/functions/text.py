@@ -19,6 +19,7 @@ from quirework.constants import (
     WORD,
 )
 
+# The patterns of the cleaning rules. They must stay exactly as they are.
 _NUMBER = rf"\p{{Nd}}{{1,3}}(?![{WORD}])"
 _NUMBER_BLOCK = rf"(?=\p{{Nd}})(?<![{WORD}]){_NUMBER}(?:[{SPACE}]{_NUMBER}){{5,}}+"
 _MARKUP = (

@@ -236,6 +236,29 @@ def run_audit(spark, d):
     return A.run_audit({"page": (docs.withColumn("s", state), "s"), "question": (labels, "kept")})
 
 
+def _in_one_group(spark, d):
+    """Line items of which a third are one group, and their order in all."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", *OPTION_ORDER)
+    group = F.when(c("l_orderkey") % 3 == 0, F.lit(-1)).otherwise(c("l_orderkey"))
+    return lines.withColumn("group", group)
+
+
+def tree_numbers(spark, d):
+    """Row numbers in groups of any size, with nearly as many chunks as rows."""
+    order = [c("l_orderkey"), *[c(o) for o in OPTION_ORDER]]
+    numbered = W.number_rows(_in_one_group(spark, d), ["group"], order, "n", {"o": c("l_orderkey")}, tree=True)
+    return numbered.select("group", "l_orderkey", "l_linenumber", "l_partkey", "n")
+
+
+def tree_carry_forward(spark, d):
+    """The last part of the first line of an order, carried over groups of any size."""
+    first = F.when((c("l_linenumber") == 1) & (c("l_partkey") % 2 == 0), c("l_partkey"))
+    lines = _in_one_group(spark, d).withColumn("first_part", first)
+    order = ["l_orderkey", *OPTION_ORDER]
+    carried = W.carry_forward(lines, "first_part", ["group"], order, "part", -1, {"o": c("l_orderkey")}, tree=True)
+    return carried.select("group", "l_orderkey", "l_linenumber", "l_partkey", "part")
+
+
 def carry_forward(spark, d):
     events = table(spark, d, "events").select(
         "user_id",
@@ -438,6 +461,20 @@ QUERIES = {
         UNION ALL SELECT 'question', CASE WHEN quality = 1 THEN 'kept' ELSE 'seen' END, count(*)
         FROM labels GROUP BY 2""",
     ),
+    "tree_numbers": (
+        tree_numbers,
+        f"""SELECT g AS "group", l_orderkey, l_linenumber, l_partkey,
+          row_number() OVER (PARTITION BY g ORDER BY l_orderkey, {_ORDER_SQL}) AS n
+        FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_orderkey END AS g FROM lineitem)""",
+    ),
+    "tree_carry_forward": (
+        tree_carry_forward,
+        f"""SELECT g AS "group", l_orderkey, l_linenumber, l_partkey, coalesce(last_value(
+            CASE WHEN l_linenumber = 1 AND l_partkey % 2 = 0 THEN l_partkey END IGNORE NULLS) OVER (
+            PARTITION BY g ORDER BY l_orderkey, {_ORDER_SQL}
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS part
+        FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_orderkey END AS g FROM lineitem)""",
+    ),
     "carry_forward": (
         carry_forward,
         """SELECT event_id, user_id, coalesce(last_value(

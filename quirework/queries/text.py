@@ -18,6 +18,7 @@ c = F.col
 
 
 # ---- SQL side: the same rules in RE2 syntax --------------------------------
+# The patterns below are those of the cleaning rules.
 def _sub(text: str, pattern: str, to: str = "''") -> str:
     return f"regexp_replace({text}, '{pattern}', {to}, 'g')"
 

@@ -1,4 +1,7 @@
-"""Table schemas, written as column lists; usable before any session exists."""
+"""Table schemas, written as column lists; usable before any session exists.
+
+Fixed values: names, types, order and nullability of the columns.
+"""
 
 from pyspark.sql import types as T
 

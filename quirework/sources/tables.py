@@ -2,6 +2,7 @@
 
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -151,11 +152,14 @@ def _input_roots(df: DataFrame) -> list[str]:
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
         kind = leaf.getClass().getSimpleName()
-        if kind == "LogicalRelation" and hasattr(leaf.relation(), "location"):
-            roots = leaf.relation().location().rootPaths()
-        elif kind in ("DataSourceV2Relation", "DataSourceV2ScanRelation") and hasattr(leaf.table(), "fileIndex"):
-            roots = leaf.table().fileIndex().rootPaths()
-        else:
+        try:
+            if kind == "LogicalRelation":
+                roots = leaf.relation().location().rootPaths()
+            elif kind in ("DataSourceV2Relation", "DataSourceV2ScanRelation"):
+                roots = leaf.table().fileIndex().rootPaths()
+            else:
+                continue
+        except Py4JError:  # a relation or table that is not made of files
             continue
         found += [roots.apply(k).toString() for k in range(roots.size())]
     return found

@@ -262,7 +262,7 @@ def test_no_python_and_no_cross_join_in_native_queries(spark, small):
     hooks = {"extractor_hook", "extractor_hook_validated", "extracted_replies", "file_audit", "parser_hook", "vectorized_text",
              "file_listing", "listed_files", "parsed_files"}
     writes = {"partition_scan", "written_counts", "refreshed_partition", "metadata_round_trip", "broken_metadata", "exported_splits",
-              "metadata_paths", "overwritten_input", "refreshed_stats"}
+              "metadata_paths", "overwritten_input", "refreshed_stats", "tree_numbers", "tree_carry_forward"}
     for name, (run, _) in all_queries().items():
         if name in hooks or name in writes:
             continue

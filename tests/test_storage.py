@@ -218,3 +218,16 @@ def test_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(root + "/")
+
+
+def test_scratch_can_be_removed(spark, monkeypatch):
+    from pathlib import Path
+
+    from quirework import session
+
+    monkeypatch.setattr(session, "_GIVEN", [])
+    rows = session.written(spark.range(3), "rows")
+    assert rows.count() == 3 and session.shared_folder(spark)
+    (folder,) = {Path(f.removeprefix("file:")).parents[1] for f in rows.inputFiles()}
+    assert folder.exists() and session.remove_scratch(spark) == 1 and not folder.exists()
+    assert session.remove_scratch(spark) == 0

@@ -8,6 +8,7 @@ import datetime
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -30,6 +31,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="check-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
