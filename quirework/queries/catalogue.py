@@ -64,7 +64,7 @@ _QUOTED_HTML = (
     "concat('<a title=''a>b'' href=\"/q/', page_id, '\">One <img alt=\"x>y\"> two</a>"
     "<a data-x=\" href=/no \" href = ''/r>s'' >R</a><A class=x/y HREF=/bare', page_id, '>bare</A>"
     "<a =odd href=\"/odd\"title=\"t>\">odd</a><a xhref=\"/no\">none</a><a title=it''s href=\"/its\">its</a>"
-    "<a title=\"open href=\"/w\">w</a><h2 title=\"2 > 1\">Head <b class=\">\">ing</b></h2>', html)"
+    "<a title=\"no href=/x\" rel=''y'' href=/w >w</a><h2 title=\"2 > 1\">Head <b class=\">\">ing</b></h2>', html)"
 )
 _QUOTED_PAGES = {"page_id": "page_id", "url": "url", "html": _QUOTED_HTML}
 
@@ -112,8 +112,8 @@ QUERIES = {
     "quoted_links": (
         quoted_links,
         """SELECT page_id, CAST(unnest([-1, 0, 1, 2, 3, 4, 5]) AS INTEGER) AS link_pos,
-          unnest([NULL, '/q/' || page_id, '/r>s', '/bare' || page_id, '/odd', '/its', 'open href=']) AS href,
-          unnest(['Heading', 'Onetwo', 'R', 'bare', 'odd', 'its', 'w']) AS label FROM pages""",
+          unnest([NULL, '/q/' || page_id, '/r>s', '/bare' || page_id, '/odd', '/its', '/w']) AS href,
+          unnest(['Head ing', 'Onetwo', 'R', 'bare', 'odd', 'its', 'w']) AS label FROM pages""",
     ),
     "page_headings": (
         page_headings,
