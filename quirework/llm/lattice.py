@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm.links import components
-from quirework.llm.shared import apart, id_or_none, written
+from quirework.llm.shared import apart, by_hot_key, id_or_none, written
 from quirework.llm.words import mixed_bits
 
 
@@ -240,12 +240,15 @@ def near_duplicates(
         .groupBy("col.node")
         .agg(F.sum("col.n").alias("linked"))
     )
-    rooted = nodes.join(components(links.select("a", "b")), "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
+    rooted = (
+        nodes.select("node", "digest", "least", "n")
+        .join(components(links.select("a", "b")), "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
     )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    rooted = written(rooted, "rooted")
+    groups = rooted.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("n"))
     known = (
-        rooted.join(least, "root")
+        by_hot_key(rooted, written(groups, "groups"), "root")
         .join(counts, "node", "left")
         .select("digest", "component", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("linked"))
     )
