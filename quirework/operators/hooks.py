@@ -21,6 +21,7 @@ from quirework.schemas import QUESTIONS
 
 EXTRACTION = f"questions {QUESTIONS}, status string, error string, attempts int"
 _HELD_CHARS = 8_000_000
+_HELD_RESULTS = 500_000  # characters of pages whose results are Python objects
 PAGES = "page_count int, page_number int, raw_text string, status string, error string"
 
 
@@ -91,15 +92,34 @@ def _extracted(df, text, questions_of, max_attempts, retry_delay, parallelism) -
                     time.sleep(retry_delay)
         return None, "failed", error, max_attempts
 
+    def as_arrays(results: list[tuple]) -> list[pa.Array]:
+        return [pa.array(x, f.type) for x, f in zip(zip(*results, strict=True), added, strict=True)]
+
+    def fitting(result: tuple) -> tuple:
+        try:
+            as_arrays([result])
+        except Exception as exc:  # what the rules let pass may still be no value of the columns
+            return None, "failed", f"{type(exc).__name__}: {exc}", result[3]
+        return result
+
+    def made(part: pa.RecordBatch, results: list[tuple]) -> pa.RecordBatch:
+        try:
+            columns = as_arrays(results)
+        except Exception:  # one page's result keeps all from being put together
+            columns = as_arrays([fitting(r) for r in results])
+        return pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *added.names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            results = zip(*(one(page) for page in batch[text].to_pylist()), strict=True)
-            columns = [pa.array(x, f.type) for x, f in zip(results, added, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *columns], names=[*batch.schema.names, *added.names]
-            )
+            first, results, held = 0, [], 0
+            for at, page in enumerate(batch[text]):
+                page = page.as_py()
+                results.append(one(page))
+                held += len(page or "")
+                # Hand on what was found before it fills the memory.
+                if held > _HELD_RESULTS or at + 1 == batch.num_rows:
+                    yield made(batch.slice(first, at + 1 - first), results)
+                    first, results, held = at + 1, [], 0
 
     spread = df.repartition(parallelism) if parallelism else df
     return spread.mapInArrow(run, schema)

@@ -230,6 +230,24 @@ def test_invalid_results_are_tried_again(spark):
     }
 
 
+def test_results_that_fit_no_column_fail_alone(spark):
+    good = question()
+    odd = {
+        "surrogate": [good | {"topic": "\ud800"}],
+        "in an option": [good | {"answer_options": [{"answer_text": "\udfff", "answer_vocabulary_items": [], "answer_grammar_patterns": []}]}],
+        "word list": [good | {"question_vocabulary_items": "말"}],
+        "number list": [good | {"question_grammar_patterns": [1]}],
+        "no options": [{k: v for k, v in good.items() if k != "answer_options"}],
+        "tuple": (good | {"answer_options": ()},),
+    }
+    df = spark.createDataFrame([(k, "x" * 300_000) for k in [*odd, "fine"]], "k string, t string").coalesce(1)
+    found = hooks.extract_pages(df, "k", lambda k: odd.get(k, [good]), 1, 0.0)
+    rows = {r.k: (r.status, len(r.t)) for r in found.collect()}
+    assert rows == {k: ("ok" if k in ("tuple", "fine") else "failed", 300_000) for k in [*odd, "fine"]}
+    long = df.select(F.concat("k", "t").alias("t"))  # several hand-ons within a batch
+    assert hooks.extract_pages(long, "t", lambda t: [good], 1, 0.0).filter("status = 'ok'").count() == 7
+
+
 def test_explode_counts_and_keys(spark):
     pages = spark.createDataFrame([("e", 3, PAGE)], "exam_id string, page_number int, t string")
     segmented = segment_pages(pages, "t")
