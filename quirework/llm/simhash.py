@@ -6,7 +6,8 @@ floor(l * 4 / 8) bits, for every l from 1 to 8 (the strong form of the pigeonrin
 principle). The budgets are 0, 1, 1, 2, 2, 3, 3, 4. Those of the first five segments leave
 three of them equal: the first, one of the next two, and one more of the next four. These
 three make a 24-bit key. So each fingerprint stands under 40 keys, and fingerprints that
-link meet under one of them at least.
+link meet under one of them at least. The budgets of seven segments leave four equal: 70
+keys of 32 bits, by which very many fingerprints meet few others each.
 
 Fingerprints under one key are checked segment by segment along the chain, each budget
 pruning what the next one sees; the last is the full Hamming check. Links are not written
@@ -28,6 +29,9 @@ from quirework.llm.links import components
 from quirework.llm.shared import id_or_none, written
 
 SEGMENTS, WIDTH = 8, 8
+#: From so many different fingerprints on, keys are taken from chains of seven segments.
+#: With keys of 24 bits each would then meet 32 strangers under a key, with 32 bits one in eight.
+MANY = 1 << 29
 
 # Fingerprints -------------------------------------------------------------------------
 
@@ -92,6 +96,11 @@ def key_segments(radius: int, chain: int) -> list[tuple[int, ...]]:
     return sorted(tuple(sorted(s)) for s in least)
 
 
+def chain_for(prints: int) -> int:
+    """How many segments of a chain set the keys of so many fingerprints; each choice finds all links."""
+    return 5 if prints < MANY else 7
+
+
 def chained(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
     """Which pairs have a chain within all budgets, from any start; the last is the distance.
 
@@ -274,7 +283,7 @@ def near_duplicates(
     text_col: str = "text",
     words: int = 4,
     radius: int = 4,
-    chain: int = 5,
+    chain: int | None = None,
     block_rows: int = 16_384,
 ) -> DataFrame:
     """`id`, `tag`, `fingerprint`, `component_id`, `group` for each row.
@@ -283,11 +292,13 @@ def near_duplicates(
     most `radius` differing bits. Texts without words, nulls included, have fingerprint
     zero and link like any other. Rows without an id count as larger than all others: a
     component of such rows alone is null. `tag` is a hash of the text, `group` one of the
-    component's fingerprints; fingerprints are signed longs here.
+    component's fingerprints; fingerprints are signed longs here. `chain` sets the keys (none:
+    by the number of different fingerprints), not the result.
     """
     prints = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
     least = F.min(id_or_none("id")).alias("least")
     nodes = written(prints.groupBy(F.col("fingerprint").alias("print")).agg(least), "nodes")
+    chain = chain or chain_for(nodes.count())
     roots = components(links(nodes.select("print"), radius, chain, block_rows))
     rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
         "print", "least", F.coalesce("root", "print").alias("group")

@@ -72,8 +72,8 @@ def test_the_largest_id_is_an_id(spark, docs_of):
     assert sorted((r.doc_id, r.text) for r in simhash.first_of_each(docs).collect()) == [(top, "other text here"), (top, "x y z")]
 
 
-@pytest.mark.parametrize("block_rows", [7, 64, 16_384])
-def test_clusters_and_long_runs(spark, block_rows):
+@pytest.mark.parametrize(("block_rows", "chain"), [(7, 5), (64, 5), (16_384, 5), (16_384, 7)])
+def test_clusters_and_long_runs(spark, block_rows, chain):
     """A dense group, chains of small steps and strangers, with long runs cut into blocks."""
     rng = np.random.default_rng(5)
     flips = lambda n: sum(1 << int(b) for b in rng.choice(64, n, replace=False))
@@ -86,7 +86,7 @@ def test_clusters_and_long_runs(spark, block_rows):
     rows = [(i, p) for i, p in enumerate(prints)]
     signed = [p - 2**64 if p >= 2**63 else p for p in prints]
     frame = spark.createDataFrame([(p,) for p in signed], "print long")
-    roots = {r.node: r.root for r in simhash.components(simhash.links(frame, block_rows=block_rows)).collect()}
+    roots = {r.node: r.root for r in simhash.components(simhash.links(frame, chain=chain, block_rows=block_rows)).collect()}
     groups, want = {}, {}
     for p, c in zip(signed, plain_components(rows), strict=True):
         groups.setdefault(roots.get(p, p), set()).add(p)
@@ -110,5 +110,18 @@ def test_pigeonring_is_the_hamming_check():
             near = np.bitwise_count(a ^ b) <= radius
             assert (simhash.chained(a, b, radius) == near).all()
             parts = (a ^ b).view(np.uint8).reshape(-1, 8) == 0
-            met = np.any([parts[:, list(k)].all(axis=1) for k in simhash.key_segments(radius, 5)], axis=0)
-            assert met[near].all()
+            for chain in (5, 7):
+                met = np.any([parts[:, list(k)].all(axis=1) for k in simhash.key_segments(radius, chain)], axis=0)
+                assert met[near].all()
+
+
+def test_keys_grow_with_the_table(spark, docs_of, monkeypatch):
+    """32-bit keys from seven segments; the result does not depend on the choice."""
+    for prints, chain, keys, segments in ((simhash.MANY - 1, 5, 40, 3), (simhash.MANY, 7, 70, 4)):
+        assert simhash.chain_for(prints) == chain
+        assert [len(k) for k in simhash.key_segments(4, chain)] == [segments] * keys
+    texts = [f"{'same text for all of these rows ' * 9} {n % 5}" for n in range(20)] + [f"word{n}" for n in range(20)]
+    docs = docs_of([(n, t, None, None) for n, t in enumerate(texts)])
+    usual = sorted(simhash.near_duplicates(docs).select("id", "component_id").collect())
+    monkeypatch.setattr(simhash, "MANY", 3)
+    assert sorted(simhash.near_duplicates(docs).select("id", "component_id").collect()) == usual
