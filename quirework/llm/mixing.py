@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.llm.shared import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -17,6 +19,33 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def summed(rows: DataFrame, order: list[str], before: list[str], onward: list[str]) -> DataFrame:
+    """Add running sums along `order`: `before_x` of the rows in front, `onward_x` of a row and those behind it.
+
+    Rows are dealt by ranges of `order`, so that each task sums up a range. One row of each
+    range, as many as there are shuffle partitions, meets the others'.
+    """
+    ranged = written(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    inside, ranges = Window.partitionBy("range").orderBy(*order), Window.orderBy("range")
+    front, behind = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
+    here = (Window.currentRow, Window.unboundedFollowing)
+
+    def total(name, window):
+        return F.coalesce(F.sum(name).over(window), F.lit(0))
+
+    names = dict.fromkeys([*before, *onward])
+    others = ranged.groupBy("range").agg(*[F.sum(n).alias(n) for n in names]).select(
+        "range",
+        *[total(n, ranges.rowsBetween(*front)).alias(f"front_{n}") for n in before],
+        *[total(n, ranges.rowsBetween(*behind)).alias(f"behind_{n}") for n in onward],
+    )
+    return ranged.join(F.broadcast(others), "range").select(
+        *rows.columns,
+        *[(F.col(f"front_{n}") + total(n, inside.rowsBetween(*front))).alias(f"before_{n}") for n in before],
+        *[(F.col(f"behind_{n}") + total(n, inside.rowsBetween(*here))).alias(f"onward_{n}") for n in onward],
+    )
+
+
 def water_fill(sources: DataFrame, weights: tuple[float, ...], max_epochs: float) -> DataFrame:
     """A target for each source: `key`, `size` -> `key`, `size`, `target`.
 
@@ -26,29 +55,25 @@ def water_fill(sources: DataFrame, weights: tuple[float, ...], max_epochs: float
     weight, the first ones stay at their caps and the others get level times weight, where
     the level is what the capped ones leave over the weight of the others. From the first
     source that its level leaves below its cap, levels only fall: it is the highest such.
+
+    Sources may be as many as there are hosts: no task sees all of them, the driver two
+    numbers. With weights that are whole numbers all sums are exact, so reruns agree.
     """
-    weight = F.element_at(
-        F.array(*[F.lit(float(w)) for w in weights]),
-        (F.row_number().over(Window.orderBy("key")) - 1) % len(weights) + 1,
-    )
-    ordered = Window.orderBy(F.col("ratio"), F.col("key"))
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    onward = ordered.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    level = (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum(
-        "weight"
-    ).over(onward)
-    return (
-        sources.withColumn("weight", weight)
+    numbered = summed(sources.select("key", "size", F.lit(1).alias("one")), ["key"], ["one"], [])
+    of_place = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("before_one") % len(weights) + 1).cast("int"))
+    total = float(sources.agg(F.sum("size")).first()[0] or 0)
+    capped = (
+        numbered.withColumn("weight", of_place)
         .withColumn("cap", F.col("size") * F.lit(float(max_epochs)))
         .withColumn("ratio", F.col("cap") / F.col("weight"))
-        .withColumn("total", F.sum("size").over(everything).cast("double"))
-        .withColumn("level", level)
-        .withColumn(
-            "level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything)
-        )
-        .select("key", "size", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
+        .select("key", "size", "weight", "cap", "ratio")
+    )
+    leveled = summed(capped, ["ratio", "key"], ["cap"], ["weight"]).withColumn(
+        "level", (F.lit(total) - F.col("before_cap")) / F.col("onward_weight")
     )
+    level = leveled.agg(F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level")))).first()[0]
+    filled = F.least("cap", F.lit(level).cast("double") * F.col("weight"))
+    return leveled.select("key", "size", filled.alias("target"))
 
 
 def mix(
@@ -88,7 +113,8 @@ def mix(
         )
         .withColumn("part", F.substring("hash", 1, hex_digits))
     )
-    parts = rows.groupBy("key", "part").agg(F.sum("size").alias("part_size"))
+    # Read by the targets, which need all of them, and by each document's place.
+    parts = written(rows.groupBy("key", "part").agg(F.sum("size").alias("part_size")), "parts")
     sources = parts.groupBy("key").agg(F.sum("part_size").alias("size"))
     targets = water_fill(sources, weights, max_epochs).select(
         "key", F.col("size").alias("source_size"), "target"

@@ -5,6 +5,7 @@ import pytest
 
 from quirework.llm import mixing
 from quirework.llm.queries import op10_capped_mix
+from quirework.llm.shared import written
 
 ROWS = (
     [(i, "w " * (i % 7 + 1), "en", "hot") for i in range(60)]
@@ -85,6 +86,29 @@ def test_many_sources_against_repeated_clamping(spark, seed):
     assert sum(got.values()) == pytest.approx(sum(sizes.values()))
 
 
+def test_sources_in_many_ranges(spark, monkeypatch):
+    """More sources than ranges, ties of cap over weight among them: each range is a task's."""
+    rng = random.Random(3)
+    sizes = {f"h{n:04}": rng.choice((0, 60, 60, int(10 ** rng.uniform(0, 6)))) for n in range(1500)}
+    frame = spark.createDataFrame(list(sizes.items()), "key string, size long").repartition(7)
+    met = []
+
+    def seen(rows, name):
+        out = written(rows, name)
+        met.append(out.groupBy("range").count().collect())
+        return out
+
+    monkeypatch.setattr(mixing, "written", seen)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.key: r.target for r in mixing.water_fill(frame, (1, 2, 3), 3).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = filled(sizes, (1, 2, 3), 3)
+    assert got == {k: pytest.approx(want[k]) for k in sizes}
+    assert len(met) == 2 and all(len(m) == 8 and max(r["count"] for r in m) < 600 for m in met)
+
+
 def test_query_meets_the_contract(spark, small):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     rows = op10_capped_mix(spark, small).collect()
