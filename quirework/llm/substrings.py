@@ -11,7 +11,8 @@ compared whole, by a 128-bit hash, and each window's smallest document id is fou
 window that its own document is not the smallest for is removed there. The extension never
 forms pairs of documents: a passage in n documents costs n rows for each window. Each task
 settles what it can among its own documents, so a passage that a third of all documents
-hold sends at most two rows for each anchor and one for each window from each batch.
+hold sends at most two rows for each anchor and one for each window from each batch, however
+often its documents repeat it.
 """
 
 from __future__ import annotations
@@ -82,10 +83,8 @@ class Cut:
 
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     n = max(len(c) for c in columns.values() if c is not None)
-    arrays = [
-        pa.nulls(n, f.type) if columns.get(f.name) is None else pa.array(columns[f.name]).cast(f.type)
-        for f in schema
-    ]
+    found = {name: c if isinstance(c, pa.Array) else pa.array(c) for name, c in columns.items() if c is not None}
+    arrays = [found[f.name].cast(f.type) if f.name in found else pa.nulls(n, f.type) for f in schema]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
@@ -162,18 +161,33 @@ def shared_anchors(batches):
 
 # Windows ------------------------------------------------------------------------------
 
-WINDOWS = "h1 long, h2 long, id long, tag long, place int, size int, later boolean"
+#: Stretches of words that are repeats, as numbers in turn: first place, size, first place, ...
+WINDOWS = "h1 long, h2 long, id long, tag long, known boolean, stretches array<int>"
 WINDOW_SCHEMA = pa.schema(
-    [("h1", pa.int64()), ("h2", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()), ("place", pa.int32()), ("size", pa.int32()), ("later", pa.bool_())]
+    [("h1", pa.int64()), ("h2", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()), ("known", pa.bool_()), ("stretches", pa.list_(pa.int32()))]
 )
-REPEATS = "id long, tag long, place int, size int"
-REPEAT_SCHEMA = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("place", pa.int32()), ("size", pa.int32())])
+REPEATS = "id long, tag long, stretches array<int>"
+
+
+def stretches(group: np.ndarray, place: np.ndarray, window: int, groups: int) -> pa.Array:
+    """For each of `groups` groups, what windows at its places cover, as stretches that do not meet.
+
+    `group` rises, and `place` in a group; a group may have no place.
+    """
+    new = np.ones(len(group), bool)
+    new[1:] = (np.diff(group) > 0) | (np.diff(place) > window)
+    begin = np.flatnonzero(new)
+    last = np.concatenate((begin[1:], [len(group)]))[: len(begin)] - 1
+    pairs = np.stack((place[begin], place[last] - place[begin] + window), axis=1).astype(np.int32)
+    limits = 2 * np.searchsorted(group[begin], np.arange(groups + 1))
+    return pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(pairs.ravel()))
 
 
 def emit_windows(window: int):
-    """The windows around shared anchors: (hash, id, place), or repeats that are known already.
+    """The windows around shared anchors: (hash, id, places), or repeats that are known already.
 
-    Of the documents of a batch that share a window, only the smallest asks further.
+    Of the documents of a batch that share a window, only the smallest asks further, once for
+    all places where it has the window: a text that repeats a line sends no row for each line.
     """
 
     def run(batches):
@@ -201,62 +215,53 @@ def emit_windows(window: int):
                 h1 = window_hashes(cut.words, places, window, WORDS)
                 h2 = window_hashes(cut.words, places, window, OTHER)
                 row = first + cut.text[places]
-                order = np.lexsort((places, ids[row], h2, h1))
+                order = np.lexsort((places, row, ids[row], h2, h1))
                 h1, h2, row, places = h1[order], h2[order], row[order], places[order]
                 starts = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
                 least = ids[row][np.maximum.accumulate(np.where(starts, np.arange(len(row)), 0))]
                 repeat = ids[row] > least
-                asks, within = ~repeat, cut.place[places]
+                asks = np.flatnonzero(~repeat)
+                new = starts[asks] | np.concatenate(([True], np.diff(row[asks]) != 0))
+                group, wants = np.cumsum(new) - 1, later[places[asks]]
+                heads = asks[new]
                 yield batch_of(
-                    WINDOW_SCHEMA, h1=signed(h1[asks]), h2=signed(h2[asks]), id=ids[row[asks]], tag=tags[row[asks]],
-                    place=within[asks], later=later[places[asks]],
+                    WINDOW_SCHEMA, h1=signed(h1[heads]), h2=signed(h2[heads]), id=ids[row[heads]], tag=tags[row[heads]],
+                    known=np.zeros(len(heads), bool),
+                    stretches=stretches(group[wants], cut.place[places[asks[wants]]], window, len(heads)),
                 )
-                # Neighbouring repeats become one stretch.
+                # A text's known repeats are one row.
                 at = np.sort(places[repeat])
                 if len(at):
-                    begin = np.flatnonzero(
-                        np.concatenate(([True], (np.diff(at) > 1) | (np.diff(cut.text[at]) > 0)))
-                    )
-                    size = np.diff(np.concatenate((begin, [len(at)]))) + window - 1
-                    row = first + cut.text[at[begin]]
+                    new = np.concatenate(([True], np.diff(cut.text[at]) > 0))
+                    heads = at[new]
+                    row = first + cut.text[heads]
                     # Dealt out evenly: they only pass through.
-                    spread = mixed_bits(mixed_bits(at[begin].astype(np.uint64), 1) ^ mixed_bits(ids[row].view(np.uint64), 2))
+                    spread = mixed_bits(mixed_bits(heads.astype(np.uint64), 1) ^ mixed_bits(ids[row].view(np.uint64), 2))
                     yield batch_of(
-                        WINDOW_SCHEMA, h1=signed(spread),
-                        id=ids[row], tag=tags[row], place=cut.place[at[begin]], size=size,
+                        WINDOW_SCHEMA, h1=signed(spread), id=ids[row], tag=tags[row], known=np.ones(len(heads), bool),
+                        stretches=stretches(np.cumsum(new) - 1, cut.place[at], window, len(heads)),
                     )
 
     return run
 
 
-def repeated_windows(window: int):
+def repeated_windows(batches):
     """From rows sorted by hash and id: the stretches whose window a smaller document has."""
-
-    def run(batches):
-        h1_open = h2_open = least = None
-        for batch in batches:
-            known = np.asarray(batch["size"].is_valid())
-            if known.any():
-                past = pa.array(known)
-                yield batch_of(REPEAT_SCHEMA, **{c: batch[c].filter(past) for c in ("id", "tag", "place", "size")})
-            rows = pa.array(~known)
-            h1, h2, own, tag, place, later = (
-                batch[c].filter(rows).to_numpy(zero_copy_only=False)
-                for c in ("h1", "h2", "id", "tag", "place", "later")
-            )
-            if not len(h1):
-                continue
-            starts = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
-            smallest = own[np.maximum.accumulate(np.where(starts, np.arange(len(own)), 0))]
-            if h1[0] == h1_open and h2[0] == h2_open:
-                smallest[: np.argmax(starts[1:]) + 1 if starts[1:].any() else len(own)] = least
-            h1_open, h2_open, least = h1[-1], h2[-1], smallest[-1]
-            out = (own > smallest) & later.astype(bool)
-            yield batch_of(
-                REPEAT_SCHEMA, id=own[out], tag=tag[out], place=place[out], size=np.full(out.sum(), window)
-            )
-
-    return run
+    h1_open = h2_open = least = None
+    for batch in batches:
+        known = np.asarray(batch["known"])
+        yield batch.filter(pa.array(known)).select(["id", "tag", "stretches"])
+        rows = batch.filter(pa.array(~known))
+        h1, h2, own = (rows[c].to_numpy() for c in ("h1", "h2", "id"))
+        if not len(h1):
+            continue
+        starts = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
+        smallest = own[np.maximum.accumulate(np.where(starts, np.arange(len(own)), 0))]
+        if h1[0] == h1_open and h2[0] == h2_open:
+            smallest[: np.argmax(starts[1:]) + 1 if starts[1:].any() else len(own)] = least
+        h1_open, h2_open, least = h1[-1], h2[-1], smallest[-1]
+        out = (own > smallest) & (rows["stretches"].value_lengths().to_numpy() > 0)
+        yield rows.filter(pa.array(out)).select(["id", "tag", "stretches"])
 
 
 # The operator -------------------------------------------------------------------------
@@ -279,8 +284,8 @@ def apply_repeats(window: int, with_text: bool):
                     words, removed = [], len(words)
                 elif repeats.is_valid:
                     rows = repeats.values
-                    own = rows.field("tag").to_numpy() == tag.as_py()
-                    place, size = rows.field("place").to_numpy()[own], rows.field("size").to_numpy()[own]
+                    own = rows.field("stretches").filter(pa.array(rows.field("tag").to_numpy() == tag.as_py()))
+                    place, size = own.flatten().to_numpy().reshape(-1, 2).T
                     steps = np.zeros(len(words) + 1, np.int64)
                     np.add.at(steps, place, 1)
                     np.add.at(steps, place + size, -1)
@@ -352,9 +357,9 @@ def without_repeats(
         .mapInArrow(emit_windows(window), WINDOWS)
         .repartition("h1")
         .sortWithinPartitions("h1", "h2", "id")
-        .mapInArrow(repeated_windows(window), REPEATS)
+        .mapInArrow(repeated_windows, REPEATS)
         .groupBy("id")
-        .agg(F.collect_list(F.struct("tag", "place", "size")).alias("repeats"))
+        .agg(F.collect_list(F.struct("tag", "stretches")).alias("repeats"))
     )
     applied = (
         marked.join(repeats, "id", "left")

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from quirework.llm import substrings
@@ -72,6 +73,39 @@ def test_small_batches_and_many_partitions(spark, docs_of):
     assert sorted((r.id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == sorted(plain(rows, 20))
 
 
+def test_a_line_repeated_in_a_text_asks_once(spark, docs_of):
+    """Windows of repeated lines are one row for each text, however often the line stands there."""
+    lines = "a frequent line of eight words in all "
+    rows = [(n, f"{n} " + lines * 200 + f"end {n} " + lines * 3) for n in range(6)]
+    texts = pa.RecordBatch.from_pydict(
+        {
+            "id": [n for n, _ in rows],
+            "tag": [7 * n for n, _ in rows],
+            "text": [t.encode() for _, t in rows],
+            "shared": [[{"hash": h, "sides": 3} for h in anchors_of(t, 20)] for _, t in rows],
+        },
+        schema=pa.schema(
+            [
+                ("id", pa.int64()),
+                ("tag", pa.int64()),
+                ("text", pa.binary()),
+                ("shared", pa.list_(pa.struct([("hash", pa.int64()), ("sides", pa.int32())]))),
+            ]
+        ),
+    )
+    out = pa.Table.from_batches(substrings.emit_windows(20)([texts])).to_pylist()
+    asks = [r for r in out if not r["known"]]
+    assert len({(r["h1"], r["h2"], r["id"]) for r in asks}) == len(asks) < 200
+    assert len([r for r in out if r["known"]]) == 5
+    got = substrings.without_repeats(docs_of([(i, t, None, None) for i, t in rows]).repartition(3), window=20).collect()
+    assert sorted((r.id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == sorted(plain(rows, 20))
+
+
+def anchors_of(text, window):
+    at, hashes = substrings.Cut([text.encode()], window).anchors()
+    return sorted(set(hashes.view("int64").tolist()))
+
+
 def test_missing_ids_and_empty_table(spark, docs_of):
     text = "one two three four five"
     docs = docs_of([(None, text, None, None), (None, text + " six", None, None), (4, text, None, None)])
