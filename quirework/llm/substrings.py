@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirework.llm.shared import by_hot_key, written
 from quirework.llm.words import (
     OTHER,
     PIECE,
@@ -320,7 +321,8 @@ def without_repeats(
     as a whole, those after the first are settled by a digest of the text and take no further
     part.
 
-    The text is shuffled once, by id; the three passes that need it read that shuffle.
+    The text is shuffled once, by id; the three passes that need it read that shuffle. Texts'
+    digests are written before, a narrow table.
     """
     tag = F.xxhash64("text")
     number = F.col(id_col).cast("long")
@@ -332,12 +334,13 @@ def without_repeats(
         ).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     ).select("id", tag.alias("tag"), F.col("text").cast("binary").alias("text"))
-    digests = base.select("id", "tag", F.unhex(F.sha2("text", 256)).alias("digest"))
-    firsts = (
-        digests.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    digests = written(base.select("id", "tag", F.unhex(F.sha2("text", 256)).alias("digest")), "digests")
+    firsts = written(
+        digests.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts"
     )
+    # Large groups of copies get their first by a broadcast of the few of them.
     copies = (
-        digests.join(firsts, "digest").where("id > first").groupBy("id").agg(F.collect_set("tag").alias("copies"))
+        by_hot_key(digests, firsts, "digest").where("id > first").groupBy("id").agg(F.collect_set("tag").alias("copies"))
     )
     is_copy = F.coalesce(F.array_contains("copies", F.col("tag")), F.lit(False))
     marked = base.join(copies, "id", "left").select("id", "tag", "text", is_copy.alias("copy"))

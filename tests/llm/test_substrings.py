@@ -101,6 +101,14 @@ def test_a_line_repeated_in_a_text_asks_once(spark, docs_of):
     assert sorted((r.id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == sorted(plain(rows, 20))
 
 
+def test_many_copies_of_a_whole_text(spark, docs_of):
+    """A group of copies that is most of the table, beside groups of two."""
+    rows = [(n, "the same words in most of all texts " * 4) for n in range(5, 400)]
+    rows += [(1000 + n, f"a pair of copies number {n // 2} " * 3) for n in range(60)] + [(3, rows[0][1] + "end")]
+    got = substrings.without_repeats(docs_of([(i, t, None, None) for i, t in rows]).repartition(7), window=12).collect()
+    assert sorted((r.id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == sorted(plain(rows, 12))
+
+
 def anchors_of(text, window):
     at, hashes = substrings.Cut([text.encode()], window).anchors()
     return sorted(set(hashes.view("int64").tolist()))
