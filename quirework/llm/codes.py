@@ -129,20 +129,20 @@ def learn(
     without an id last). In a round all parts go to their nearest entries, and each entry
     that is used becomes the floored mean of its parts. Tasks add up their own vectors first;
     positions * entries rows come to the driver. With fewer than `entries` vectors there are
-    as many entries. The first vector's length is that of all, a multiple of `positions`;
-    vectors of other lengths take no part.
+    as many entries. The length of the first vector that isn't empty is that of all, a
+    multiple of `positions`, else it is an error; vectors of other lengths take no part.
     """
     usable = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     first = (
         vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-        .where(F.col("vector").isNotNull() & usable)
+        .where(F.col("vector").isNotNull() & usable & (F.size("vector") > 0))
         .orderBy(F.col("id").asc_nulls_last(), "vector")
     )
     head = first.limit(1).collect()
     if not head:
         return None
     dims = len(head[0].vector)
-    if not dims or dims % positions:
+    if dims % positions:
         raise ValueError(f"a vector of {dims} components can't be cut into {positions} equal parts")
     start = first.where(F.size("vector") == dims).limit(entries).select("vector").toArrow()
     _, _, values = integer_vectors(start["vector"].combine_chunks())
@@ -225,7 +225,7 @@ def encode(
         found = [] if books is None else [Codebook(b) for b in books]
         for batch in batches:
             kept, sizes, values = integer_vectors(batch["vector"])
-            fits = sizes[kept] == length
+            fits = (sizes[kept] == length) & (length > 0)
             n = int(kept.sum())
             codes, errors = np.full(n, None, object), np.zeros(n, np.int64)
             if length and fits.any():

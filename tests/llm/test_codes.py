@@ -93,5 +93,11 @@ def test_repeated_rows_missing_ids_and_empty_tables(spark):
     assert books is None and got.count() == 0
     got, books = codes.compressed(spark.createDataFrame([], KIND))
     assert books is None and got.count() == 0
+    empty = [(0, [], "a", "x", 1)]
+    got, books = codes.compressed(spark.createDataFrame(empty + rows, KIND), positions=2)
+    assert books.shape == (2, 3, 1)
+    assert sorted((r.id, r.codes is None) for r in got.collect() if r.id is not None) == [(0, True), (1, False), (1, False)]
+    got, books = codes.compressed(spark.createDataFrame(empty, KIND))
+    assert books is None and [(r.codes, r.error) for r in got.collect()] == [(None, None)]
     with pytest.raises(ValueError, match="can't be cut"):
         codes.compressed(spark.createDataFrame(rows, KIND), positions=16)
