@@ -114,15 +114,21 @@ def dim_answer(questions: DataFrame, with_position: bool = False) -> DataFrame:
     return conform(named, PRINTED_ANSWER if with_position else DIM_ANSWER)
 
 
-def fact_qa(answers: DataFrame, questions: DataFrame) -> DataFrame:
+def fact_qa(answers: DataFrame, questions: DataFrame, text: str | None = None) -> DataFrame:
     """Keys of exam, question and answer for every option.
 
     Both sides are made unique before the join (map-side first), so no distinct is
     needed after it and adaptive execution is free to split hot question keys.
+
+    With `text`, the column of the options' texts, `answers` needs no `answer_id`: the key is
+    made after the join. Within a question there is one key for each text, so the rows are the
+    same, and both shuffles carry short texts in place of digests, which don't compress.
     """
-    linked = answers.select("question_id", "answer_id").distinct().join(
+    linked = answers.select("question_id", text or "answer_id").distinct().join(
         questions.select("question_id", "exam_id").distinct(), "question_id"
     )
+    if text:
+        linked = linked.withColumn("answer_id", hash_key("question_id", text))
     keyed = linked.withColumn("qa_id", hash_key("exam_id", "question_id", "answer_id"))
     return conform(keyed, FACT_QA)
 

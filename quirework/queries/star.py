@@ -136,7 +136,7 @@ def _order_answers(spark, d):
 
 def order_links(spark, d):
     questions = D.derive(spark, d, "orders", D.QUESTIONS)
-    return star.fact_qa(_order_answers(spark, d), questions)
+    return star.fact_qa(D.derive(spark, d, "lineitem", D.ANSWERS), questions, "raw_answer_text")
 
 
 def incomplete_questions(spark, d):
@@ -251,7 +251,8 @@ def model_chat_examples(spark, d):
 
 def answer_order(spark, d):
     """Rank by key."""
-    unique = _order_answers(spark, d).select("question_id", "answer_id").distinct()
+    texts = D.derive(spark, d, "lineitem", D.ANSWERS).select("question_id", "raw_answer_text").distinct()
+    unique = texts.select("question_id", hash_key("question_id", "raw_answer_text").alias("answer_id"))
     return number_rows(unique, ["question_id"], [c("answer_id")], "answer_order")
 
 
