@@ -20,8 +20,8 @@ from quirework.functions.replies import checked_questions, read_reply
 from quirework.schemas import QUESTIONS
 
 EXTRACTION = f"questions {QUESTIONS}, status string, error string, attempts int"
-_HELD_CHARS = 8_000_000
-_HELD_RESULTS = 500_000  # characters of pages whose results are Python objects
+_HELD_RESULTS = 500_000  # characters of pages that are held as Python objects, or of what they gave
+_PER_RESULT = 100  # what a result counts for besides
 PAGES = "page_count int, page_number int, raw_text string, status string, error string"
 
 
@@ -165,27 +165,34 @@ def parse_documents(
 
     names = schema.names
 
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        kept = pa.Table.from_batches([batch]).drop_columns([document])
+        sources, pages, held = [], [], 0
+
+        def made() -> list[pa.RecordBatch]:
+            columns = [pa.array(v, k) for v, k in zip(zip(*pages), kinds)]
+            source = kept.take(pa.array(sources, pa.int64()))
+            return pa.table([*source.columns, *columns], names).to_batches()
+
+        for at, value in enumerate(batch.column(document)):
+            for page in pages_of(value.as_py()):
+                sources.append(at)
+                pages.append(page)
+                held += len(page[2] or "") + _PER_RESULT
+                # Hand on pages before they fill the memory, blank ones and those of one
+                # document too.
+                if held > _HELD_RESULTS:
+                    yield from made()
+                    sources, pages, held = [], [], 0
+        if pages:
+            yield from made()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = pa.Table.from_batches([batch]).drop_columns([document])
-            sources, pages, held = [], [], 0
-
-            def flush() -> Iterator[pa.RecordBatch]:
-                columns = [pa.array(v, k) for v, k in zip(zip(*pages), kinds)]
-                source = kept.take(pa.array(sources, pa.int64()))
-                yield from pa.table([*source.columns, *columns], names).to_batches()
-
-            for at, value in enumerate(batch.column(document)):
-                for page in pages_of(value.as_py()):
-                    sources.append(at)
-                    pages.append(page)
-                    held += len(page[2] or "")
-                # Hand on finished documents before their pages fill the memory.
-                if held > _HELD_CHARS:
-                    yield from flush()
-                    sources, pages, held = [], [], 0
-            if pages:
-                yield from flush()
+            yield from each(batch)
+            # Nothing of it stays while the next one is read.
+            del batch
+            pa.default_memory_pool().release_unused()
 
     spread = df.repartition(parallelism) if parallelism else df
     return spread.mapInArrow(run, schema)

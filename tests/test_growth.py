@@ -1,6 +1,10 @@
 """What keeps shuffles, time and memory in proportion to the input."""
 
+import pyarrow as pa
+from pyspark.sql import types as T
+
 from quirework.functions.keys import hash_key
+from quirework.operators import hooks
 from quirework.plans import star
 from quirework.queries import star as star_queries
 
@@ -31,3 +35,23 @@ def test_links_by_text_equal_links_by_key(spark):
 def test_order_keys_are_hashed_after_the_shuffles(spark, small):
     assert "sha2" not in below_shuffles(star_queries.order_links(spark, small))[0]
     assert "sha2" not in below_shuffles(star_queries.answer_order(spark, small))[-1]
+
+
+class Held:
+    """Stands in for a table of one batch, so that what a task hands on can be looked at."""
+
+    def __init__(self, *texts):
+        self.batch = pa.record_batch({"i": pa.array(range(len(texts)), pa.int32()), "t": pa.array(texts)})
+        self.schema = T.StructType().add("i", T.IntegerType()).add("t", T.StringType())
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return list(run(iter([self.batch])))
+
+
+def test_pages_are_handed_on_before_they_fill_the_memory(spark):
+    long = lambda text: {int(n): "x" * (int(n) % 3) for n in text.split()} if text else None
+    found = hooks.parse_documents(Held("100000", "", "2 3", "30000"), "t", long)
+    assert max(b.num_rows for b in found) <= 5_001 and max(b.nbytes for b in found) < 1_000_000
+    rows = pa.Table.from_batches(found).to_pylist()
+    assert [r["page_number"] for r in rows] == [*range(1, 100_001), None, 1, 2, 3, *range(1, 30_001)]
+    assert [r["i"] for r in rows] == [0] * 100_000 + [1, 2, 2, 2] + [3] * 30_000
