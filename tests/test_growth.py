@@ -1,5 +1,8 @@
 """What keeps shuffles, time and memory in proportion to the input."""
 
+import gc
+import weakref
+
 import pyarrow as pa
 from pyspark.sql import types as T
 
@@ -55,3 +58,20 @@ def test_pages_are_handed_on_before_they_fill_the_memory(spark):
     rows = pa.Table.from_batches(found).to_pylist()
     assert [r["page_number"] for r in rows] == [*range(1, 100_001), None, 1, 2, 3, *range(1, 30_001)]
     assert [r["i"] for r in rows] == [0] * 100_000 + [1, 2, 2, 2] + [3] * 30_000
+
+
+def test_extractor_runs_without_the_collector_and_leaves_no_cycles(spark):
+    class Cycle:
+        def __init__(self):
+            self.me = self
+
+    seen, left = [], []
+
+    def one(text):
+        seen.append(gc.isenabled())
+        left.append(weakref.ref(Cycle()))
+        return []
+
+    found = hooks.extract_pages(Held(*["x" * 1000] * 1500), "t", one)
+    assert [b.num_rows for b in found] == [455, 455, 455, 135]
+    assert not any(seen) and gc.isenabled() and all(ref() is None for ref in left)
