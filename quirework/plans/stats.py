@@ -59,45 +59,63 @@ def exam_stats(
 CATEGORIES = {"difficulty_level": "distribution_by_difficulty", "question_type": "distribution_by_type"}
 
 
+def answer_totals(answers: DataFrame) -> DataFrame:
+    """One narrow row per question: its answers, those with a text, and their words.
+
+    `start_stats` and `refresh_stats` take this in place of the answers, so that several
+    batches count the words of one table of answers once.
+    """
+    words = word_count(F.col("raw_answer_text"))
+    return answers.groupBy("question_id").agg(
+        F.count(F.lit(1)).alias("_answers"),
+        F.count("raw_answer_text").alias("_worded"),
+        F.sum(words).alias("_words"),
+    )
+
+
 def stats_parts(questions: DataFrame, answers: DataFrame) -> DataFrame:
     """(exam_id, measure, category, n, worded, words) of some questions with their answers.
 
     Parts of tables that share no question add up to those of the whole. Each task adds up
     its own rows first, so an exam with a third of all questions sends a few rows a task.
+    Only what is added up by exam and categories is unfolded into measures.
     """
-    per_question = answers.groupBy("question_id").agg(
-        F.count(F.lit(1)).alias("_answers"),
-        F.count(word_count(F.col("raw_answer_text"))).alias("_worded"),
-        F.sum(word_count(F.col("raw_answer_text"))).alias("_words"),
-    )
-    joined = questions.withColumn("_own", word_count(F.col("raw_question_text"))).join(
-        per_question, "question_id", "left"
+    totals = answers if "_answers" in answers.columns else answer_totals(answers)
+    joined = questions.select(
+        "question_id", "exam_id", *CATEGORIES, word_count(F.col("raw_question_text")).alias("_own")
+    ).join(totals, "question_id", "left")
+    sums = joined.groupBy("exam_id", *CATEGORIES).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count("_own").alias("_own_worded"),
+        *[F.sum(name).alias(name) for name in ("_own", "_answers", "_worded", "_words")],
     )
 
-    def part(measure: str, category: Column, n: Column, worded: Column, words: Column) -> Column:
+    def part(measure: str, category: Column, n: str, worded: Column, words: Column) -> Column:
         zero = F.lit(0).cast("bigint")
-        numbers = {"n": n, "worded": worded, "words": words}
+        numbers = {"n": F.col(n), "worded": worded, "words": words}
         return F.struct(
             F.lit(measure).alias("measure"),
             category.cast("string").alias("category"),
             *[F.coalesce(c.cast("bigint"), zero).alias(name) for name, c in numbers.items()],
         )
 
-    none, one = F.lit(None), F.lit(1)
-    own = F.col("_own")
+    none = F.lit(None)
     parts = [
-        part("question", none, one, own.isNotNull().cast("int"), own),
-        part("answer", none, F.col("_answers"), F.col("_worded"), F.col("_words")),
-        *[part(c, F.col(c), one, none, none) for c in CATEGORIES],
+        part("question", none, "_n", F.col("_own_worded"), F.col("_own")),
+        part("answer", none, "_answers", F.col("_worded"), F.col("_words")),
+        *[part(c, F.col(c), "_n", none, none) for c in CATEGORIES],
     ]
-    rows = joined.select("exam_id", F.explode(F.array(*parts)).alias("_p")).select("exam_id", "_p.*")
+    rows = sums.select("exam_id", F.explode(F.array(*parts)).alias("_p")).select("exam_id", "_p.*")
     return rows.groupBy("exam_id", "measure", "category").agg(
         *[F.sum(name).alias(name) for name in ("n", "worded", "words")]
     )
 
 
 def stats_of(parts: DataFrame, as_of: str | None = None) -> DataFrame:
-    """The rows that `exam_stats` gives, from their parts, of one batch or of several."""
+    """The rows that `exam_stats` gives, from their parts, of one batch or of several.
+
+    An exam has few parts, however many questions it has: one shuffle by exam serves both sums.
+    """
 
     def total(measure: str, name: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("measure") == measure, F.col(name))), F.lit(0))
@@ -111,7 +129,8 @@ def stats_of(parts: DataFrame, as_of: str | None = None) -> DataFrame:
 
     updated = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
     numbers = [F.sum(name).alias(name) for name in ("n", "worded", "words")]
-    stats = parts.groupBy("exam_id", "measure", "category").agg(*numbers).groupBy("exam_id").agg(
+    dealt = parts.repartition("exam_id")
+    stats = dealt.groupBy("exam_id", "measure", "category").agg(*numbers).groupBy("exam_id").agg(
         total("question", "n").alias("total_questions"),
         total("answer", "n").alias("total_answers"),
         mean("question").alias("avg_word_count_question"),

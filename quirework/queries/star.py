@@ -11,7 +11,7 @@ from quirework.operators.windows import number_rows
 from quirework.plans import bronze, chat, star, stats
 from quirework.queries import derive as D
 from quirework.queries.text import sql_clean, sql_strip
-from quirework.session import shared_folder
+from quirework.session import shared_folder, written
 from quirework.sources.tables import read_table
 
 c = F.col
@@ -282,7 +282,7 @@ def refreshed_stats(spark, d):
     """Statistics of most orders, then of late ones of some customers, then of one customer anew."""
     folder = shared_folder(spark)
     questions = D.derive(spark, d, "orders", {**D.QUESTIONS, "late": "o_custkey % 7 = 3 AND o_orderkey % 2 = 0"})
-    answers = D.derive(spark, d, "lineitem", D.ANSWERS)
+    answers = written(stats.answer_totals(D.derive(spark, d, "lineitem", D.ANSWERS)), "totals")
     stats.start_stats(folder, questions.filter("NOT late"), answers, "first", "2025-01-01 00:00:00")
     late = questions.filter("late")
     stats.refresh_stats(folder, late, answers, "late", f"{AS_OF} 00:00:00")

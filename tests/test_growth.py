@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from quirework.functions.keys import hash_key
 from quirework.operators import hooks
-from quirework.plans import star
+from quirework.plans import star, stats
 from quirework.queries import star as star_queries
 
 
@@ -40,6 +40,29 @@ def test_order_keys_are_hashed_after_the_shuffles(spark, small):
     assert "sha2" not in below_shuffles(star_queries.answer_order(spark, small))[-1]
 
 
+def test_statistics_take_totals_of_answers(spark):
+    questions = spark.createDataFrame(
+        [("1", "e", "easy", None, "a b"), ("2", "e", "easy", "grammar", None), ("2", "e", None, "grammar", "c"), ("3", None, "hard", "x", "d e f"), (None, "g", None, None, "")],
+        "question_id string, exam_id string, difficulty_level string, question_type string, raw_question_text string",
+    )
+    answers = spark.createDataFrame(
+        [("1", "p q"), ("1", None), ("2", "r"), ("2", "r"), (None, "s"), ("9", "t")], "question_id string, raw_answer_text string"
+    )
+    parts = stats.stats_parts(questions, answers)
+    assert rows(stats.stats_parts(questions, stats.answer_totals(answers))) == rows(parts)
+    assert set(rows(parts)) == {
+        ("e", "question", None, 3, 2, 3), ("e", "answer", None, 6, 5, 6), ("e", "difficulty_level", "easy", 2, 0, 0),
+        ("e", "difficulty_level", None, 1, 0, 0), ("e", "question_type", "grammar", 2, 0, 0), ("e", "question_type", None, 1, 0, 0),
+        (None, "question", None, 1, 1, 3), (None, "answer", None, 0, 0, 0), (None, "difficulty_level", "hard", 1, 0, 0),
+        (None, "question_type", "x", 1, 0, 0), ("g", "question", None, 1, 1, 0), ("g", "answer", None, 0, 0, 0),
+        ("g", "difficulty_level", None, 1, 0, 0), ("g", "question_type", None, 1, 0, 0),
+    }
+    # Questions are added up before they are unfolded, and parts are shuffled once.
+    below = below_shuffles(parts)[0]
+    assert "HashAggregate(keys=[exam_id" in below[below.index("Generate") :]
+    assert len(below_shuffles(stats.stats_of(spark.createDataFrame(parts.collect(), parts.schema)))) == 1
+
+
 class Held:
     """Stands in for a table of one batch, so that what a task hands on can be looked at."""
 
